@@ -1,0 +1,241 @@
+"""The chain drop zone -> lake -> bronze -> silver -> gold over folders."""
+
+from __future__ import annotations
+
+import os
+from dataclasses import dataclass
+from datetime import date
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from carelake import schemas
+from carelake.operators import ledger, quality
+from carelake.operators.snapshot import newest_snapshot
+from carelake.plans import gold, runlog, silver
+from carelake.session import configure
+from carelake.sources import bronze, drops, privacy
+from carelake.sources.store import DeliveryStore, TableStore
+
+SECRET_SETTING = "spark.carelake.pseudonym.secret"  # "secret" in the name makes Spark redact it
+SECRET_VARIABLE = "CARELAKE_PSEUDONYM_SECRET"
+
+FLOW_KINDS = ("patients", "sejours", "diagnostics", "monitoring", "actes")
+
+_LEDGER = T.StructType([
+    T.StructField("source_date", T.DateType()),
+    T.StructField("synced_at", T.TimestampType()),
+    T.StructField("success", T.BooleanType()),
+    T.StructField("error", T.StringType()),
+])
+_REJECTS = T.StructType([
+    T.StructField("reason", T.StringType()),
+    T.StructField("record", T.StringType()),
+    *schemas.LINEAGE,
+])
+
+# How silver facts are laid out: rows that are read together lie together.
+_CLUSTERING = {
+    "fact_sejours": ("service_code", "admission_ts"),
+    "fact_diagnostics": ("code_cim10", "patient_pseudo_id"),
+    "fact_monitoring": ("service_code", "stay_id", "ts"),
+    "fact_acte": ("service_code", "code_ccam"),
+}
+
+
+def pseudonym_secret(spark: SparkSession) -> str:
+    """The key comes from the session or the environment; there is no default."""
+    secret = spark.conf.get(SECRET_SETTING, None) or os.environ.get(SECRET_VARIABLE)
+    if not secret:
+        raise ValueError(f"set {SECRET_SETTING} or {SECRET_VARIABLE}")
+    return secret
+
+
+@dataclass(frozen=True)
+class Folders:
+    """Where the layers are. All must be on storage every executor reaches."""
+
+    drops: str
+    warehouse: str
+
+    def under(self, layer: str) -> str:
+        return f"{self.warehouse}/{layer}"
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, folders: Folders, secret: str | None = None):
+        self.spark = configure(spark)
+        self.folders = folders
+        self.secret = secret or pseudonym_secret(spark)
+        entity = {kind: path.split("/")[0] for kind, path in drops.FILE_OF.items()}
+        self.lake = DeliveryStore(spark, folders.under("lake"), schemas.LAKE, entity)
+        tables = {bronze.TABLE_OF[kind]: folder for kind, folder in entity.items()}
+        self.bronze = DeliveryStore(spark, folders.under("bronze"), schemas.BRONZE, tables)
+        self.rejects = DeliveryStore(
+            spark, folders.under("rejects"), dict.fromkeys(schemas.BRONZE, _REJECTS), tables)
+        self.silver = TableStore(
+            spark, folders.under("silver"),
+            {**schemas.SILVER, "stay_index": _stay_index_schema()})
+        self.admin = TableStore(spark, folders.under("admin"), {"lake_sync": _LEDGER})
+
+    # ---- lake ------------------------------------------------------------------------------------
+
+    def sync_lake(self, force: bool = False) -> list[str]:
+        """Pseudonymise the drops of every date not yet synchronised; returns their files.
+
+        All dates go through one job per kind. If that fails, the dates are halved until the bad one
+        stands alone: it is recorded as failed and tried again by the next run.
+        """
+        files = drops.list_files(self.spark, self.folders.drops)
+        due = ledger.dates_to_process(files, self.admin.read("lake_sync"), force)
+        # one row per delivered file of the new dates: file names, never file content
+        listed = files.join(due, "source_date").orderBy("source_date", "source_file").collect()
+        return self._sync(listed) if listed else []
+
+    def _sync(self, files: list) -> list[str]:
+        dates = sorted({f.source_date for f in files})
+        try:
+            for kind in drops.FILE_OF:
+                paths = [f.path for f in files if f.kind == kind]
+                if paths:
+                    raw = drops.read(self.spark, kind, paths)
+                    self.lake.replace_files(kind, privacy.to_lake(kind, raw, self.secret))
+        except Exception as error:  # noqa: BLE001 - whatever a delivery can break is recorded
+            if len(dates) == 1:
+                self._record_sync(dates, str(error)[:runlog.ERROR_CHARS])
+                return []
+            middle = dates[len(dates) // 2]
+            return self._sync([f for f in files if f.source_date < middle]) + self._sync(
+                [f for f in files if f.source_date >= middle])
+        self._record_sync(dates)
+        return [f.source_file for f in files]
+
+    def _record_sync(self, dates: list[date], error: str | None = None) -> None:
+        rows = self.spark.createDataFrame(
+            [(d, error is None, error) for d in dates], "source_date date, success boolean, error string")
+        self.admin.append("lake_sync", rows.withColumn("synced_at", F.current_timestamp()))
+
+    # ---- bronze ----------------------------------------------------------------------------------
+
+    def load_bronze(self, force: bool = False) -> list[str]:
+        """Load the lake files bronze does not hold yet; returns them.
+
+        `force` loads every lake file again, each replacing its own rows.
+        """
+        loaded: list[str] = []
+        for kind in FLOW_KINDS:
+            table = bronze.TABLE_OF[kind]
+            files = self.lake.files([kind])
+            if not force:
+                held = self.bronze.files([table]).select("source_file").unionByName(
+                    self.rejects.files([table]).select("source_file"))
+                files = ledger.unseen(files, held)
+            new = sorted(row.source_file for row in files.select("source_file").collect())
+            if new:
+                # a predicate on partition columns: only the new files' partitions are scanned
+                rows = self.lake.read(kind).filter(F.col("source_file").isin(new))
+                self._write_bronze(table, bronze.tagged(kind, rows), self.bronze.replace_files)
+                loaded += new
+        for kind in drops.REFERENCE_KINDS:
+            snapshot = newest_snapshot(self.lake.read(kind))
+            if not snapshot.isEmpty():
+                self._write_bronze(
+                    bronze.TABLE_OF[kind], bronze.tagged(kind, snapshot), self.bronze.replace_table)
+        return loaded
+
+    def _write_bronze(self, table: str, tagged: DataFrame, write) -> None:
+        bad = quality.rejected(tagged).select(
+            F.col(quality.REASON).alias("reason"),
+            F.to_json(F.struct(*(c for c in tagged.columns if c != quality.REASON))).alias("record"),
+            "source_date", "source_file")
+        self.rejects.replace_files(table, bad)
+        write(table, quality.valid(tagged), stamp="ingested_at")
+
+    def bronze_tables(self) -> dict[str, DataFrame]:
+        return {name: self.bronze.read(name) for name in schemas.BRONZE}
+
+    # ---- silver and gold -------------------------------------------------------------------------
+
+    def build_silver(self) -> dict[str, DataFrame]:
+        """Rebuild the star schema.
+
+        The stay index is written first and read back: the three event facts look it up, and a lost
+        executor then repeats a scan, not the deduplication of all stays.
+        """
+        tables = self.bronze_tables()
+        self.silver.replace("stay_index", silver.stay_index(tables["sejours"]))
+        stays = self.silver.read("stay_index")
+        self.silver.replace("dim_patients", silver.dim_patients(tables["patients"]))
+        built = silver.build(tables, stays, patients=self.silver.read("dim_patients"))
+        for name, rows in built.items():
+            if name == "dim_patients":
+                continue
+            if name == "fact_monitoring":
+                rows = rows.withColumn("mois", F.date_format("ts", "yyyyMM"))
+            self.silver.replace(
+                name, rows,
+                cluster_by=_CLUSTERING.get(name, ()),
+                partition_by=("mois",) if name == "fact_monitoring" else (),
+                stamp="created_at" if name in ("fact_sejours", "fact_diagnostics", "fact_acte") else None,
+            )
+        return self.silver_tables()
+
+    def silver_tables(self) -> dict[str, DataFrame]:
+        return {name: self.silver.read(name) for name in schemas.SILVER}
+
+    def reject_counts(self) -> DataFrame:
+        """Q9, over what is stored: rows that did not type, then rows the silver rules leave out."""
+        untyped = reduce(DataFrame.unionByName, (
+            self.rejects.read(table).groupBy("reason").agg(F.count(F.lit(1)).alias("nb_rows"))
+            .select(F.lit(table).alias("table_name"), "reason", "nb_rows")
+            for table in schemas.BRONZE
+        ))
+        return silver.reject_counts(self.bronze_tables(), self.silver.read("stay_index")).unionByName(untyped)
+
+    # ---- run -------------------------------------------------------------------------------------
+
+    def run(self, force: bool = False, trigger: str = "MANUAL") -> str:
+        """All steps, logged; returns the run id. A failing step is logged and raised."""
+        log = runlog.RunLog(self.spark, self.folders.under("admin"), trigger)
+        step = runlog.SYNC
+        try:
+            synced = self.sync_lake(force)
+            log.step(step, synced)
+
+            step = runlog.INGEST
+            loaded = self.load_bronze(force)
+            counts = quality.table_counts({"ingested": self._rows_of(self.bronze, loaded),
+                                           "rejected": self._rows_of(self.rejects, loaded)})
+            rows = {r.table_name: r.nb_rows for r in counts.collect()}
+            log.step(step, loaded, rows["ingested"], rows["rejected"])
+
+            step = runlog.SILVER
+            tables = self.build_silver()
+            rejects = self.reject_counts().filter("reason not in ('valid', 'merged_duplicate')")
+            nb_rejected = rejects.agg(F.coalesce(F.sum("nb_rows"), F.lit(0))).first()[0]
+            nb_stays = tables["fact_sejours"].count()
+            log.step(step, ingested=nb_stays, rejected=nb_rejected)
+
+            step = runlog.GOLD
+            gold.register_views(tables)
+            log.step(step)
+            log.success(loaded, nb_stays, nb_rejected)
+        except Exception as error:
+            log.failure(step, error)
+            raise
+        return log.run_id
+
+    def _rows_of(self, store: DeliveryStore, files: list[str]) -> DataFrame:
+        per_table = (
+            store.read(bronze.TABLE_OF[kind]).filter(F.col("source_file").isin(files)).select("source_file")
+            for kind in FLOW_KINDS
+        )
+        return reduce(DataFrame.unionByName, per_table)
+
+
+def _stay_index_schema() -> T.StructType:
+    stays = {f.name: f for f in schemas.BRONZE["sejours"]}
+    names = ("stay_id", "patient_pseudo_id", "service_code", "admission_ts")
+    return T.StructType([stays[n] for n in names] + [T.StructField("acte_service", T.StringType())])

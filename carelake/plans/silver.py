@@ -181,10 +181,16 @@ def reject_counts(bronze: dict[str, DataFrame], stays: DataFrame) -> DataFrame:
     )
 
 
-def build(bronze: dict[str, DataFrame], stays: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All eight tables. Pass a written `stays` index to avoid computing it once per event fact."""
+def build(
+    bronze: dict[str, DataFrame], stays: DataFrame | None = None, patients: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """All eight tables.
+
+    Pass the `stay_index` and `dim_patients` already written, so the facts read them instead of
+    deduplicating stays and patients once more each.
+    """
     stays = stay_index(bronze["sejours"]) if stays is None else stays
-    patients = dim_patients(bronze["patients"])
+    patients = dim_patients(bronze["patients"]) if patients is None else patients
     return {
         "dim_services": dim_services(bronze["ref_services"], bronze["ref_description_service"]),
         "dim_ccam": dim_ccam(bronze["ref_ccam"]),

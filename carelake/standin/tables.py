@@ -116,7 +116,7 @@ class Standin:
         patient, version = F.col("o_custkey"), F.col("o_orderkey")
         return self.table("orders").select(
             _prefixed("P", patient).alias("patient_pseudo_id"),
-            F.when(patient % 37 != 0, 1920 + patient % 90).cast("int").alias("birth_year"),
+            F.when(patient % 37 != 0, 1920 + patient % 90).otherwise(0).cast("int").alias("birth_year"),
             _pick(version % 2, "F", "M").alias("sex"),
             _prefixed("R", version % 13).alias("region_code"),
             *_drop("patients", F.col("o_orderdate"), "patients.csv"),
@@ -128,9 +128,13 @@ class Standin:
 
     @cached_property
     def monitoring(self) -> DataFrame:
+        return self.monitoring_of(self.table("events"))
+
+    @staticmethod
+    def monitoring_of(events: DataFrame) -> DataFrame:
         """Events as vital signs, some missing, some implausible, some of unknown stays."""
         event = F.col("event_id")
-        return self.table("events").select(
+        return events.select(
             _prefixed("S", F.col("user_id") * 101).alias("stay_id"),
             F.col("ts").cast("timestamp").alias("ts"),
             F.when(event % 17 != 0, F.floor("value") + 30).cast("short").alias("heart_rate"),
