@@ -15,9 +15,8 @@ def tag(df: DataFrame, **rules: Column) -> DataFrame:
 
     A rule is the condition a valid row meets; a condition that is NULL counts as broken.
     """
-    reason = F.coalesce(*(
-        F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()
-    ))
+    broken = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
+    reason = F.coalesce(*broken, F.lit(None).cast("string"))
     return df.withColumn(REASON, reason)
 
 
@@ -29,9 +28,9 @@ def rejected(tagged: DataFrame) -> DataFrame:
     return tagged.filter(F.col(REASON).isNotNull())
 
 
-def count_by_reason(table: str, tagged: DataFrame) -> DataFrame:
-    """(table_name, reason, nb_rows); valid rows are counted under `valid`."""
-    reason = F.coalesce(F.col(REASON), F.lit("valid")).alias("reason")
+def count_by_reason(table: str, tagged: DataFrame, state: Column) -> DataFrame:
+    """(table_name, reason, nb_rows); rows without reject reason are counted under their `state`."""
+    reason = F.coalesce(F.col(REASON), state).alias("reason")
     counts = tagged.groupBy(reason).agg(F.count(F.lit(1)).alias("nb_rows"))
     return counts.select(F.lit(table).alias("table_name"), "reason", "nb_rows")
 

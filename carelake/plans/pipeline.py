@@ -115,7 +115,7 @@ class Pipeline:
     def _record_sync(self, dates: list[date], error: str | None = None) -> None:
         rows = self.spark.createDataFrame(
             [(d, error is None, error) for d in dates], "source_date date, success boolean, error string")
-        self.admin.append("lake_sync", rows.withColumn("synced_at", F.current_timestamp()))
+        self.admin.append_log("lake_sync", rows.withColumn("synced_at", F.current_timestamp()))
 
     # ---- bronze ----------------------------------------------------------------------------------
 
@@ -213,7 +213,8 @@ class Pipeline:
 
             step = runlog.SILVER
             tables = self.build_silver()
-            rejects = self.reject_counts().filter("reason not in ('valid', 'merged_duplicate')")
+            rejects = self.reject_counts().filter(
+                ~F.col("reason").isin("merged_duplicate", *silver.KEPT_STATES))
             nb_rejected = rejects.agg(F.coalesce(F.sum("nb_rows"), F.lit(0))).first()[0]
             nb_stays = tables["fact_sejours"].count()
             log.step(step, ingested=nb_stays, rejected=nb_rejected)

@@ -65,7 +65,7 @@ class RunLog:
         row = (
             self.run_id, self.started_at, _now() if finished else None, status, step,
             list(files), ingested, rejected, error)
-        self.store.append("pipeline_runs", self.spark.createDataFrame([row], schemas.RUN_LOG))
+        self.store.append_log("pipeline_runs", self.spark.createDataFrame([row], schemas.RUN_LOG))
 
 
 def _now() -> datetime:

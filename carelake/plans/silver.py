@@ -19,6 +19,9 @@ NO_CATEGORY = "Non catégorisé"
 NO_POLE = "Pôle Indéterminé"
 NO_SERVICE = "INCONNU"
 
+# States of rows that are kept, as counted by `reject_counts`.
+KEPT_STATES = ("latest", "ongoing", "finished", "alert", "normal")
+
 # ---- dimensions ----------------------------------------------------------------------------------
 
 
@@ -167,17 +170,22 @@ def fact_acte(actes: DataFrame, stays: DataFrame) -> DataFrame:
 def reject_counts(bronze: dict[str, DataFrame], stays: DataFrame) -> DataFrame:
     """Q9: (table_name, reason, nb_rows) for patients, stays and vital signs.
 
-    Merged patient versions and ongoing stays are no rejects but belong to the same account.
+    Every input row is counted once: rejected rows under their reason, kept rows under `latest`
+    (patients), `ongoing` or `finished` (stays), `alert` or `normal` (vital signs).
     """
     versions = bronze["patients"].groupBy("patient_pseudo_id").agg(F.count(F.lit(1)).alias("n"))
     merged = versions.agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("merged_duplicate"),
-        F.count(F.lit(1)).alias("valid"),
-    ).unpivot([], ["merged_duplicate", "valid"], "reason", "nb_rows")
+        F.count(F.lit(1)).alias("latest"),
+    ).unpivot([], ["merged_duplicate", "latest"], "reason", "nb_rows")
+    stay_state = F.when(F.col("discharge_ts").isNull(), "ongoing").otherwise("finished")
+    alert, *_ = clinical.alert_flags()
+    vital_state = F.when(alert == 1, "alert").otherwise("normal")
     return (
         merged.select(F.lit("patients").alias("table_name"), "reason", "nb_rows")
-        .unionByName(quality.count_by_reason("sejours", tagged_sejours(bronze["sejours"])))
-        .unionByName(quality.count_by_reason("monitoring", tagged_monitoring(bronze["monitoring"], stays)))
+        .unionByName(quality.count_by_reason("sejours", tagged_sejours(bronze["sejours"]), stay_state))
+        .unionByName(quality.count_by_reason(
+            "monitoring", tagged_monitoring(bronze["monitoring"], stays), vital_state))
     )
 
 

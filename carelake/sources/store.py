@@ -93,8 +93,9 @@ class TableStore:
                 *partition_by, *cluster_by)
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(table))
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.path(table))
+    def append_log(self, table: str, rows: DataFrame) -> None:
+        """Append a few log rows as one file."""
+        rows.coalesce(1).write.mode("append").parquet(self.path(table))
 
 
 def _stamped(rows: DataFrame, column: str | None) -> DataFrame:

@@ -352,18 +352,21 @@ SQL: dict[str, str] = {
         where cast(o_orderdate as date) not in (select source_date from last where success)""",
     # quality and audit
     "rejects_by_reason": _with("""
-        select 'patients' as table_name, 'valid' as reason, count(distinct patient_pseudo_id) as nb_rows from patients
+        select 'patients' as table_name, 'latest' as reason, count(distinct patient_pseudo_id) as nb_rows from patients
         union all
         select 'patients', 'merged_duplicate', count(*) - count(distinct patient_pseudo_id) from patients
         union all
-        select 'sejours', case when discharge_ts < admission_ts then 'discharge_before_admission' else 'valid' end,
+        select 'sejours', case when discharge_ts < admission_ts then 'discharge_before_admission'
+                               when discharge_ts is null then 'ongoing' else 'finished' end,
                count(*) from sejours group by 2
         union all
         select 'monitoring',
                case when heart_rate not between 20 and 250 then 'heart_rate_out_of_range'
                     when spo2 not between 50 and 100 then 'spo2_out_of_range'
                     when temp_c not between 30.0 and 45.0 then 'temp_c_out_of_range'
-                    when stay_id not in (select stay_id from stays) then 'unknown_stay' else 'valid' end,
+                    when stay_id not in (select stay_id from stays) then 'unknown_stay'
+                    when heart_rate < 50 or heart_rate > 120 or spo2 < 92 or temp_c < 36.0 or temp_c >= 38.5
+                    then 'alert' else 'normal' end,
                count(*) from monitoring group by 2""", "patients", "sejours", "monitoring", "stays"),
     "table_counts": _with(
         " union all ".join(
