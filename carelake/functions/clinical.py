@@ -104,7 +104,8 @@ def age_at(event: Column, year_of_birth: Column) -> Column:
 
 def age_band_start(age: Column) -> Column:
     """First age of the ten-year band (100 for everyone older); the order bands should be listed in."""
-    return F.least((F.floor(age / 10) * 10).cast("int"), F.lit(_OLDEST_BAND))
+    start = F.least((F.floor(age / 10) * 10).cast("int"), F.lit(_OLDEST_BAND))
+    return F.when(age.isNotNull(), start)  # least() ignores NULL
 
 
 def age_band(age: Column) -> Column:

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep, per key, the first row in the given order.
 
     Spark limits each group to one row before the shuffle (WindowGroupLimit), so a key that owns a
     large share of the rows still sends one row per map task. The order should end in enough columns
     to be total, or equal rows.
     """
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 

@@ -43,6 +43,7 @@ _CLUSTERING = {
     "fact_monitoring": ("service_code", "stay_id", "ts"),
     "fact_acte": ("service_code", "code_ccam"),
 }
+_STAMPED = ("fact_sejours", "fact_diagnostics", "fact_acte")
 
 
 def pseudonym_secret(spark: SparkSession) -> str:
@@ -167,19 +168,11 @@ class Pipeline:
         tables = self.bronze_tables()
         self.silver.replace("stay_index", silver.stay_index(tables["sejours"]))
         stays = self.silver.read("stay_index")
-        self.silver.replace("dim_patients", silver.dim_patients(tables["patients"]))
+        write_silver(self.silver, "dim_patients", silver.dim_patients(tables["patients"]))
         built = silver.build(tables, stays, patients=self.silver.read("dim_patients"))
         for name, rows in built.items():
-            if name == "dim_patients":
-                continue
-            if name == "fact_monitoring":
-                rows = rows.withColumn("mois", F.date_format("ts", "yyyyMM"))
-            self.silver.replace(
-                name, rows,
-                cluster_by=_CLUSTERING.get(name, ()),
-                partition_by=("mois",) if name == "fact_monitoring" else (),
-                stamp="created_at" if name in ("fact_sejours", "fact_diagnostics", "fact_acte") else None,
-            )
+            if name != "dim_patients":
+                write_silver(self.silver, name, rows)
         return self.silver_tables()
 
     def silver_tables(self) -> dict[str, DataFrame]:
@@ -236,6 +229,18 @@ class Pipeline:
         return reduce(DataFrame.unionByName, per_table)
 
 
+def write_silver(store: TableStore, name: str, rows: DataFrame) -> None:
+    """Write one silver table: vital signs by month, facts clustered by what the marts read them by."""
+    by_month = name == "fact_monitoring"
+    store.replace(
+        name,
+        rows.withColumn("mois", F.date_format("ts", "yyyyMM")) if by_month else rows,
+        cluster_by=_CLUSTERING.get(name, ()),
+        partition_by=("mois",) if by_month else (),
+        stamp="created_at" if name in _STAMPED else None,
+    )
+
+
 def _stay_index_schema() -> T.StructType:
     stays = {f.name: f for f in schemas.BRONZE["sejours"]}
     names = ("stay_id", "patient_pseudo_id", "service_code", "admission_ts")

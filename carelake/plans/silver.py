@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import clinical
 from carelake.operators import quality
-from carelake.operators.dedup import by_version, latest_per_key
+from carelake.operators.dedup import by_version, first_per_key
 
 # Words used for what the reference data does not say.
 NO_CATEGORY = "Non catégorisé"
@@ -27,8 +27,8 @@ KEPT_STATES = ("latest", "ongoing", "finished", "alert", "normal")
 
 def dim_services(ref_services: DataFrame, ref_description: DataFrame) -> DataFrame:
     """B1: services with category, beds and pole; services without description get defaults."""
-    services = latest_per_key(ref_services, ["service_code"], by_version("service_label"))
-    details = latest_per_key(
+    services = first_per_key(ref_services, ["service_code"], by_version("service_label"))
+    details = first_per_key(
         ref_description, ["service_code"], by_version("categorie", "capacite_lits", "pole"))
     return services.join(details.drop("source_date", "source_file"), "service_code", "left").select(
         "service_code",
@@ -41,13 +41,13 @@ def dim_services(ref_services: DataFrame, ref_description: DataFrame) -> DataFra
 
 def dim_ccam(ref_ccam: DataFrame) -> DataFrame:
     """B2: one label and tariff per procedure code."""
-    return latest_per_key(ref_ccam, ["code_ccam"], by_version("libelle", "tarif_euros")).select(
+    return first_per_key(ref_ccam, ["code_ccam"], by_version("libelle", "tarif_euros")).select(
         "code_ccam", "libelle", "tarif_euros")
 
 
 def dim_cim10(ref_cim10: DataFrame) -> DataFrame:
     """One label per diagnosis code."""
-    return latest_per_key(ref_cim10, ["code_cim10"], by_version("libelle")).select(
+    return first_per_key(ref_cim10, ["code_cim10"], by_version("libelle")).select(
         "code_cim10", "libelle")
 
 
@@ -73,7 +73,7 @@ def tagged_sejours(sejours: DataFrame) -> DataFrame:
 
 def fact_sejours(sejours: DataFrame) -> DataFrame:
     """Coherent stays, newest delivery per (service, admission, stay), with length of stay."""
-    newest = latest_per_key(
+    newest = first_per_key(
         sejours.filter(_coherent()),
         ["service_code", "admission_ts", "stay_id"],
         by_version("discharge_ts", "patient_pseudo_id", "admission_mode", "discharge_mode"),
@@ -116,9 +116,8 @@ def fact_diagnostics(diagnostics: DataFrame, stays: DataFrame, patients: DataFra
     A stay has one patient, so the key is settled before the joins; a code given both as principal
     and as associated diagnosis stays principal.
     """
-    rank = F.struct(F.col("diag_type") != "principal", F.col("diag_type"))
-    diagnoses = diagnostics.groupBy("stay_id", "code_cim10").agg(
-        F.min_by("diag_type", rank).alias("diag_type"))
+    diagnoses = first_per_key(
+        diagnostics, ["stay_id", "code_cim10"], [F.col("diag_type") != "principal", F.col("diag_type")])
     aged_stays = stays.join(patients, "patient_pseudo_id").select(
         "stay_id",
         "patient_pseudo_id",

@@ -11,10 +11,14 @@ PRINCIPAL = "principal"
 def flatten(nested: DataFrame) -> DataFrame:
     """One row per diagnosis of a stay; a stay with an empty list gives none.
 
-    A missing code becomes the empty text, a missing type the principal diagnosis.
+    A missing code becomes the empty text, a missing type the principal diagnosis. The empty lists go
+    after the explode: before it, Catalyst would evaluate the list once more only to test its size,
+    which for a list parsed from JSON means parsing it again.
     """
     lineage = [c for c in ("source_date", "source_file") if c in nested.columns]
-    return nested.select("stay_id", F.explode("diagnostics").alias("d"), *lineage).select(
+    return nested.select("stay_id", F.explode_outer("diagnostics").alias("d"), *lineage).filter(
+        F.col("d").isNotNull(),
+    ).select(
         F.coalesce("stay_id", F.lit("")).alias("stay_id"),
         F.coalesce("d.code_cim10", F.lit("")).alias("code_cim10"),
         F.coalesce("d.type", F.lit(PRINCIPAL)).alias("diag_type"),

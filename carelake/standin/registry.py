@@ -38,7 +38,7 @@ for _table in (
 ):
     _on_standin(_table, lambda s, table=_table: s.silver[table])
 
-for _name, _view in {
+GOLD = {
     "dms_by_service": gold.dms,
     "emergency_daily": gold.urgences,
     "readmission_30d": gold.readmissions_30j,
@@ -51,7 +51,8 @@ for _name, _view in {
     "procedures_by_code": gold.actes_ccam,
     "procedures_per_bed": gold.densite_plateau,
     "billing_by_service": gold.facturation_t2a,
-}.items():
+}
+for _name, _view in GOLD.items():
     _on_standin(_name, lambda s, view=_view: view(s.silver))
 
 _on_standin("cohorts_suppressed", lambda s: suppress_small_cells(gold.cohortes(s.silver), "nb_patients"))

@@ -1,0 +1,92 @@
+"""Small hand-written tables in the bronze schemas."""
+
+from __future__ import annotations
+
+from datetime import date, datetime
+
+from carelake import schemas
+
+
+def rows(df, *columns):
+    """Rows as a sorted list of tuples."""
+    df = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def at(text: str | None) -> datetime | None:
+    """Timestamp from `2026-08-01 10:00` or `2026-08-01`."""
+    if text is None:
+        return None
+    return datetime.fromisoformat(text)
+
+
+def day(text: str) -> date:
+    return date.fromisoformat(text)
+
+
+def sejours(spark, *stays):
+    """(stay, patient, service, admission, discharge[, admission mode, discharge mode, source date])"""
+    data = []
+    for stay in stays:
+        stay_id, patient, service, admission, discharge, *rest = stay
+        admission_mode, discharge_mode, delivered = (*rest, *("urgence", "domicile", "2026-08-01")[len(rest):])
+        data.append((
+            stay_id, patient, service, at(admission), at(discharge), admission_mode,
+            discharge_mode, day(delivered), f"sejours/{delivered}/sejours.csv"))
+    return spark.createDataFrame(data, schemas.BRONZE["sejours"])
+
+
+def patients(spark, *versions):
+    """(patient, birth year, sex[, region, source date, file])"""
+    data = []
+    for version in versions:
+        patient, year, sex, *rest = version
+        region, delivered, file = (*rest, *("R1", "2026-08-01", "patients.csv")[len(rest):])
+        data.append((patient, year, sex, region, day(delivered), f"patients/{delivered}/{file}"))
+    return spark.createDataFrame(data, schemas.BRONZE["patients"])
+
+
+def diagnostics(spark, *diagnoses):
+    """(stay, code, type)"""
+    return spark.createDataFrame(
+        [(*d, day("2026-08-01"), "diagnostics/2026-08-01/diagnostics.json") for d in diagnoses],
+        schemas.BRONZE["diagnostics"])
+
+
+def monitoring(spark, *measures):
+    """(stay, ts, heart rate, spo2, temperature)"""
+    return spark.createDataFrame(
+        [(s, at(ts), hr, spo2, temp, day("2026-08-01"), "monitoring/2026-08-01/monitoring.parquet")
+         for s, ts, hr, spo2, temp in measures],
+        schemas.BRONZE["monitoring"])
+
+
+def actes(spark, *procedures):
+    """(stay, code, ts)"""
+    return spark.createDataFrame(
+        [(s, c, at(ts), day("2026-08-29"), "actes/2026-08-29/actes.parquet") for s, c, ts in procedures],
+        schemas.BRONZE["actes"])
+
+
+def ref_services(spark, *services):
+    return spark.createDataFrame(
+        [(*s, day("2026-08-01"), "referentiels/2026-08-01/services.csv") for s in services],
+        schemas.BRONZE["ref_services"])
+
+
+def ref_description(spark, *services):
+    return spark.createDataFrame(
+        [(*s, day("2026-08-29"), "referentiels/2026-08-29/description_service.csv") for s in services],
+        schemas.BRONZE["ref_description_service"])
+
+
+def ref_ccam(spark, *codes):
+    return spark.createDataFrame(
+        [(*c, day("2026-08-29"), "referentiels/2026-08-29/ccam.csv") for c in codes],
+        schemas.BRONZE["ref_ccam"])
+
+
+def ref_cim10(spark, *codes):
+    return spark.createDataFrame(
+        [(*c, day("2026-08-01"), "referentiels/2026-08-01/cim10.csv") for c in codes],
+        schemas.BRONZE["ref_cim10"])

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+from helpers import day, rows
+from pyspark.sql import functions as F
+
+from carelake.operators import ledger, quality
+from carelake.operators.dedup import by_version, first_per_key
+from carelake.operators.snapshot import newest_snapshot
+from carelake.operators.suppression import suppress_small_cells
+
+
+def versions(spark, *data):
+    return spark.createDataFrame(
+        [(k, v, day(d), f) for k, v, d, f in data], "k string, v int, source_date date, source_file string")
+
+
+def test_newest_version_wins_and_ties_are_settled(spark):
+    df = versions(
+        spark, ("a", 1, "2026-08-01", "f1"), ("a", 2, "2026-08-02", "f0"), ("b", 5, "2026-08-01", "f1"),
+        ("b", 7, "2026-08-01", "f1"), ("b", 6, "2026-08-01", "f1"), ("c", 1, "2026-08-01", "f2"),
+        ("c", 9, "2026-08-01", "f1"))
+    assert rows(first_per_key(df, ["k"], by_version("v")), "k", "v") == [("a", 2), ("b", 7), ("c", 1)]
+
+
+def test_dedup_limits_each_group_before_the_shuffle(spark, capsys):
+    df = spark.range(1000).select(
+        (F.col("id") % 2).alias("k"), "id", F.current_date().alias("source_date"), F.lit("f").alias("source_file"))
+    first_per_key(df, ["k"], by_version("id")).explain()
+    plan = capsys.readouterr().out
+    assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
+
+
+def test_unseen_files(spark):
+    incoming = versions(spark, ("a", 1, "2026-08-01", "x"), ("b", 2, "2026-08-01", "y"), ("c", 3, "2026-08-01", "y"))
+    held = versions(spark, ("z", 1, "2026-08-01", "x"), ("z", 2, "2026-08-01", "x"))
+    assert rows(ledger.unseen(incoming, held), "k") == [("b",), ("c",)]
+    once = held.unionByName(ledger.unseen(incoming, held))
+    assert ledger.unseen(incoming, once).count() == 0
+
+
+def test_dates_to_process(spark):
+    available = spark.createDataFrame(
+        [(day(d),) for d in ("2026-08-03", "2026-08-01", "2026-08-02", "2026-08-04", "2026-08-01")], "source_date date")
+    log = spark.createDataFrame([
+        (day("2026-08-01"), datetime(2026, 9, 1), True),
+        (day("2026-08-02"), datetime(2026, 9, 1), True), (day("2026-08-02"), datetime(2026, 9, 2), False),
+        (day("2026-08-03"), datetime(2026, 9, 1), False), (day("2026-08-03"), datetime(2026, 9, 2), True),
+    ], "source_date date, synced_at timestamp, success boolean")
+    due = [str(r[0]) for r in ledger.dates_to_process(available, log).collect()]
+    assert due == ["2026-08-02", "2026-08-04"]
+    assert ledger.dates_to_process(available, log, force=True).count() == 4
+
+
+def test_newest_snapshot_replaces_all_earlier_rows(spark):
+    df = versions(spark, ("a", 1, "2026-08-01", "f"), ("b", 2, "2026-08-01", "f"), ("a", 3, "2026-08-29", "f"))
+    assert rows(newest_snapshot(df), "k", "v") == [("a", 3)]
+    assert newest_snapshot(df.filter("false")).count() == 0
+
+
+def test_small_cells(spark):
+    cells = spark.createDataFrame([("a", 4), ("b", 5), ("c", 6)], "c string, n long")
+    assert rows(suppress_small_cells(cells, "n"), "c") == [("b",), ("c",)]
+    assert suppress_small_cells(cells, "n", 6).count() == 1
+
+
+def test_every_row_is_valid_or_rejected_once(spark):
+    df = spark.createDataFrame([(1, 1), (None, 1), (5, None), (5, 1), (1, 5)], "a int, b int")
+    tagged = quality.tag(df, a_small=F.col("a") < 3, b_small=F.col("b") < 3)
+    assert rows(quality.valid(tagged)) == [(1, 1)]
+    assert rows(quality.rejected(tagged), "a", "reject_reason") == [
+        (1, "b_small"), (5, "a_small"), (5, "a_small"), (None, "a_small")]
+    counts = quality.count_by_reason("t", tagged, F.lit("kept"))
+    assert rows(counts) == [("t", "a_small", 3), ("t", "b_small", 1), ("t", "kept", 1)]
+
+
+def test_table_counts(spark):
+    counts = quality.table_counts({"a": spark.range(3), "b": spark.range(0)})
+    assert rows(counts) == [("a", 3), ("b", 0)]
