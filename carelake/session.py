@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # some writers store nanosecond timestamps, which Spark can only read as numbers; the drop reader
+    # turns them into timestamps
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     # one stay or patient may own a large share of the facts: let AQE split such partitions, even
     # where the operator above the join would have reused the join's partitioning
     "spark.sql.adaptive.skewJoin.enabled": "true",

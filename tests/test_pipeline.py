@@ -1,0 +1,269 @@
+from __future__ import annotations
+
+import json
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from carelake.plans import gold
+from carelake.plans.pipeline import SECRET_SETTING, SECRET_VARIABLE, Folders, Pipeline, pseudonym_secret
+from carelake.sources import drops
+from test_functions import expected_pseudonym
+
+SECRET = "test secret"
+
+PATIENTS = '''patient_id,nir,nom,prenom,birth_date,sex,region_code
+IPP1,185,Durand,Anne,1985-04-12, f ,R1
+IPP2,186,"Martin, dit ""Le""",Paul,85-04-12,M,R2
+ IPP3 ,187,Petit,Zoé,2001,m , R3
+'''
+SEJOURS = """stay_id,patient_id,service_code,admission_ts,discharge_ts,admission_mode,discharge_mode
+S1,IPP1,CARDIO,2026-08-01 06:23:00,2026-08-07 13:23:00,mutation,domicile
+S2 ,IPP2, URGENCES,2026-08-01 10:00:00,,urgence,
+S3,IPP3,CARDIO,2026-08-01 10:00:00,2026-08-01 08:00:00,urgence,domicile
+S4,IPP3,CARDIO,2026-08-01 10:00:00,tomorrow,urgence,domicile
+S5,IPP3,CARDIO,,2026-08-02 10:00:00,urgence,domicile
+"""
+DIAGNOSTICS = [
+    {"stay_id": "S1", "diagnostics": [{"code_cim10": "I21", "type": "principal"}, {"code_cim10": "E11"}]},
+    {"stay_id": "S2", "diagnostics": []},
+    {"stay_id": "S3", "diagnostics": [{"type": "associe"}]},
+]
+
+
+def put(root, path, content):
+    target = root / path
+    target.parent.mkdir(parents=True, exist_ok=True)
+    if isinstance(content, pd.DataFrame):
+        pq.write_table(pa.Table.from_pandas(content, preserve_index=False), target)
+    else:
+        target.write_text(content, encoding="utf-8")
+
+
+def first_delivery(root):
+    put(root, "patients/2026-08-01/patients.csv", PATIENTS)
+    put(root, "sejours/2026-08-01/sejours.csv", SEJOURS)
+    put(root, "diagnostics/2026-08-01/diagnostics.json", json.dumps(DIAGNOSTICS, indent=1))
+    put(root, "monitoring/2026-08-01/monitoring.parquet", pd.DataFrame({
+        "stay_id": ["S1", "S1", "S9"], "ts": pd.to_datetime(["2026-08-01 07:00:00"] * 3).astype("datetime64[ns]"),
+        "heart_rate": [130.0, np.nan, 70.0], "spo2": pd.array([98, None, 97], dtype="Int64"),
+        "temp_c": [37.0, np.nan, 36.5], "device": ["x", "y", "z"]}))
+    put(root, "referentiels/2026-08-01/services.csv", "service_code,service_label\nCARDIO,Cardiologie\n")
+    put(root, "referentiels/2026-08-01/cim10.csv", 'code_cim10,libelle\nI21,"Infarctus, aigu"\n')
+    put(root, "referentiels/2026-08-01/notes.csv", "a,b\n1,2\n")
+    put(root, "sejours/not-a-date/sejours.csv", SEJOURS)
+    put(root, "other/2026-08-01/sejours.csv", SEJOURS)
+
+
+def second_delivery(root):
+    put(root, "patients/2026-08-29/patients.csv", PATIENTS.replace("1985-04-12", "1986-04-12"))
+    put(root, "referentiels/2026-08-29/services.csv",
+        "service_code,service_label\nCARDIO,Cardio\nURGENCES,Urgences\n")
+    put(root, "referentiels/2026-08-29/description_service.csv",
+        "service_code,categorie,capacite_lits,pole\n CARDIO , medecine ,30, Coeur\nURGENCES,urgences,,\n")
+    put(root, "referentiels/2026-08-29/ccam.csv", "code_ccam,libelle,tarif_euros\nX1, Acte ,450\nX2,b,\nX3,c,cher\n")
+    put(root, "actes/2026-08-29/actes.parquet", pd.DataFrame({
+        "stay_id": ["S1", "S1", "S9"], "code_ccam": ["X1", "X1", "X2"],
+        "acte_ts": pd.to_datetime(["2026-08-02 10:00:00"] * 3).astype("datetime64[us]")}))
+
+
+@pytest.fixture
+def pipeline(spark, tmp_path):
+    first_delivery(tmp_path / "drops")
+    return Pipeline(spark, Folders(str(tmp_path / "drops"), str(tmp_path / "warehouse")), SECRET)
+
+
+def test_listing(spark, tmp_path):
+    assert drops.list_files(spark, str(tmp_path / "nothing")).count() == 0
+    first_delivery(tmp_path)
+    files = drops.list_files(spark, str(tmp_path))
+    assert rows(files, "kind", "source_file") == [
+        ("cim10", "referentiels/2026-08-01/cim10.csv"),
+        ("diagnostics", "diagnostics/2026-08-01/diagnostics.json"),
+        ("monitoring", "monitoring/2026-08-01/monitoring.parquet"),
+        ("patients", "patients/2026-08-01/patients.csv"),
+        ("sejours", "sejours/2026-08-01/sejours.csv"),
+        ("services", "referentiels/2026-08-01/services.csv"),
+    ]
+    assert [str(r[0]) for r in drops.source_dates(files).collect()] == ["2026-08-01"]
+
+
+def test_listing_takes_a_folder_of_part_files_as_one_delivery(spark, tmp_path):
+    spark.range(4, numPartitions=3).select(
+        F.concat(F.lit("S"), "id").alias("stay_id"), F.lit("X").alias("code_ccam"),
+        F.to_timestamp(F.lit("2026-08-01 10:00:00")).alias("acte_ts"),
+    ).write.parquet(f"{tmp_path}/actes/2026-08-29/actes.parquet")
+    files = drops.list_files(spark, str(tmp_path)).collect()
+    assert [f.source_file for f in files] == ["actes/2026-08-29/actes.parquet"]
+    read = drops.read(spark, "actes", [files[0].path])
+    assert read.count() == 4
+    assert rows(read.select("source_file").distinct()) == [("actes/2026-08-29/actes.parquet",)]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    put(tmp_path, "sejours/2026-08-01/sejours.csv", "service_code,extra,stay_id\nA,x,S1\n")
+    got = drops.read(spark, "sejours", [f"{tmp_path}/sejours/2026-08-01/sejours.csv"])
+    assert rows(got, "stay_id", "service_code", "patient_id") == [("S1", "A", None)]
+
+
+def test_csv_with_different_headers_is_refused(spark, tmp_path):
+    put(tmp_path, "sejours/2026-08-01/sejours.csv", "stay_id,service_code\nS1,A\n")
+    put(tmp_path, "sejours/2026-08-02/sejours.csv", "service_code,stay_id\nA,S2\n")
+    paths = [f"{tmp_path}/sejours/2026-08-0{d}/sejours.csv" for d in (1, 2)]
+    with pytest.raises(Exception, match="(?i)header"):
+        drops.read(spark, "sejours", paths).collect()
+
+
+def test_lake_holds_no_identifier(pipeline):
+    assert len(pipeline.sync_lake()) == 6
+    patients = pipeline.lake.read("patients")
+    assert patients.columns == [
+        "patient_pseudo_id", "birth_year", "sex", "region_code", "source_date", "source_file"]
+    assert rows(patients, "patient_pseudo_id", "birth_year", "sex", "region_code") == sorted([
+        (expected_pseudonym("IPP1", SECRET), "1985", "F", "R1"),
+        (expected_pseudonym("IPP2", SECRET), "", "M", "R2"),
+        (expected_pseudonym("IPP3", SECRET), "2001", "M", "R3"),
+    ], key=repr)
+    stays = pipeline.lake.read("sejours")
+    assert rows(stays.filter("stay_id = 'S2'"), "patient_pseudo_id", "service_code", "discharge_ts") == [
+        (expected_pseudonym("IPP2", SECRET), "URGENCES", "")]
+    assert stays.join(patients, "patient_pseudo_id").count() == 5
+    written = "".join(
+        p.read_bytes().decode("latin-1") for p in _files(pipeline.folders.warehouse, "part-*.parquet"))
+    assert "IPP1" not in written and "Durand" not in written
+
+
+def _files(root, pattern):
+    from pathlib import Path
+    return Path(root).rglob(pattern)
+
+
+def test_bronze_types_rejects_and_is_idempotent(pipeline):
+    pipeline.sync_lake()
+    assert len(pipeline.load_bronze()) == 4
+    bronze = pipeline.bronze_tables()
+    assert rows(bronze["patients"], "birth_year") == [(0,), (1985,), (2001,)]
+    assert rows(bronze["sejours"], "stay_id") == [("S1",), ("S2",), ("S3",)]
+    assert rows(bronze["sejours"].filter("discharge_ts is null"), "stay_id", "discharge_mode") == [("S2", "")]
+    assert rows(bronze["diagnostics"], "stay_id", "code_cim10", "diag_type") == [
+        ("S1", "E11", "principal"), ("S1", "I21", "principal"), ("S3", "", "associe")]
+    assert rows(bronze["monitoring"], "stay_id", "heart_rate", "spo2", "temp_c") == [
+        ("S1", 130, 98, 37.0), ("S1", None, None, None), ("S9", 70, 97, 36.5)]
+    assert rows(pipeline.rejects.read("sejours"), "reason") == [("malformed_discharge",), ("missing_admission",)]
+    assert rows(bronze["sejours"].select("source_date", "source_file").distinct())[0][1] == "sejours/2026-08-01/sejours.csv"
+
+    assert pipeline.sync_lake() == []
+    assert pipeline.load_bronze() == []
+    assert pipeline.bronze.read("sejours").count() == 3
+    assert pipeline.rejects.read("sejours").count() == 2
+
+
+def test_redelivered_file_is_ignored_until_forced(pipeline, tmp_path):
+    pipeline.sync_lake()
+    pipeline.load_bronze()
+    put(tmp_path / "drops", "sejours/2026-08-01/sejours.csv",
+        "\n".join(SEJOURS.splitlines()[:2]) + "\n")
+    assert pipeline.sync_lake() == []
+    assert pipeline.load_bronze() == []
+    assert pipeline.bronze.read("sejours").count() == 3
+    pipeline.sync_lake(force=True)
+    pipeline.load_bronze(force=True)
+    assert rows(pipeline.bronze.read("sejours"), "stay_id") == [("S1",)]
+    assert pipeline.bronze.read("patients").count() == 3
+
+
+def test_newest_reference_replaces_the_older(pipeline, tmp_path):
+    pipeline.sync_lake()
+    pipeline.load_bronze()
+    assert rows(pipeline.bronze.read("ref_cim10"), "libelle") == [("Infarctus, aigu",)]
+    second_delivery(tmp_path / "drops")
+    put(tmp_path / "drops", "referentiels/2026-08-30/services.csv", "service_code,service_label\n")
+    pipeline.sync_lake()
+    pipeline.load_bronze()
+    bronze = pipeline.bronze_tables()
+    assert rows(bronze["ref_services"], "service_code", "service_label") == [
+        ("CARDIO", "Cardio"), ("URGENCES", "Urgences")]
+    assert rows(bronze["ref_cim10"], "code_cim10") == [("I21",)]
+    assert rows(bronze["ref_description_service"], "service_code", "categorie", "capacite_lits", "pole") == [
+        ("CARDIO", "medecine", 30, "Coeur"), ("URGENCES", "urgences", 0, "")]
+    assert rows(bronze["ref_ccam"], "code_ccam", "libelle", "tarif_euros") == [("X1", "Acte", 450), ("X2", "b", 0)]
+    assert rows(pipeline.rejects.read("ref_ccam"), "reason") == [("malformed_tariff",)]
+
+
+def test_bad_date_is_recorded_and_tried_again(pipeline, tmp_path):
+    root = tmp_path / "drops"
+    put(root, "sejours/2026-08-02/sejours.csv", SEJOURS)
+    put(root, "monitoring/2026-08-03/monitoring.parquet", "this is not parquet")
+    put(root, "sejours/2026-08-04/sejours.csv", SEJOURS)
+    synced = pipeline.sync_lake()
+    assert {f.split("/")[1] for f in synced} == {"2026-08-01", "2026-08-02", "2026-08-04"}
+    log = pipeline.admin.read("lake_sync")
+    assert [str(r[0]) for r in rows(log.filter("not success"), "source_date")] == ["2026-08-03"]
+    assert log.filter("not success").first().error
+    first_delivery(root / "ignored")
+    put(root, "monitoring/2026-08-03/monitoring.parquet", pd.DataFrame({
+        "stay_id": ["S1"], "ts": pd.to_datetime(["2026-08-03"]).astype("datetime64[us]"),
+        "heart_rate": np.array([70], dtype="int16"), "spo2": np.array([98], dtype="int16"),
+        "temp_c": np.array([37], dtype="float32")}))
+    assert pipeline.sync_lake() == ["monitoring/2026-08-03/monitoring.parquet"]
+    assert pipeline.sync_lake() == []
+
+
+def test_run_from_drops_to_gold(pipeline, tmp_path, spark):
+    second_delivery(tmp_path / "drops")
+    run_id = pipeline.run()
+    tables = pipeline.silver_tables()
+    assert rows(tables["fact_sejours"], "stay_id", "duree_sejour_jours") == [("S1", 6.29), ("S2", None)]
+    assert rows(tables["dim_patients"], "birth_year") == [(0,), (1986,), (2001,)]
+    assert rows(tables["fact_monitoring"], "stay_id", "is_alert") == [("S1", 0), ("S1", 1)]
+    assert rows(tables["fact_acte"], "stay_id", "service_code", "code_ccam") == [
+        ("S1", "CARDIO", "X1"), ("S9", "INCONNU", "X2")]
+    assert [tuple(r) for r in gold.facturation_t2a(tables).collect()] == [
+        ("CARDIO", "Cardio", "medecine", "Coeur", 1, 450)]
+    assert spark.sql("select nb_sejours_termines from vue_pilotage_dms order by 1").first()[0] == 0
+
+    log = spark.read.parquet(f"{pipeline.folders.warehouse}/admin/pipeline_runs").filter(F.col("run_id") == run_id)
+    steps = {r.step_name: r for r in log.collect()}
+    assert set(steps) == {
+        "START (MANUAL)", "1_SYNC_LAKE", "2_INGEST_BRONZE", "3_TRANSFORM_SILVER", "4_TRANSFORM_GOLD",
+        "ALL_STEPS_COMPLETED"}
+    assert steps["ALL_STEPS_COMPLETED"].status == "SUCCESS"
+    assert steps["ALL_STEPS_COMPLETED"].records_ingested == 2
+    assert sorted(steps["2_INGEST_BRONZE"].files_processed) == [
+        "actes/2026-08-29/actes.parquet", "diagnostics/2026-08-01/diagnostics.json",
+        "monitoring/2026-08-01/monitoring.parquet", "patients/2026-08-01/patients.csv",
+        "patients/2026-08-29/patients.csv", "sejours/2026-08-01/sejours.csv"]
+    assert steps["2_INGEST_BRONZE"].records_ingested == 3 + 3 + 3 + 3 + 3 + 3
+    assert steps["2_INGEST_BRONZE"].records_rejected == 2
+    before = {name: df.count() for name, df in tables.items()}
+    pipeline.run()
+    assert {name: df.count() for name, df in pipeline.silver_tables().items()} == before
+
+
+def test_failing_step_is_logged(pipeline, monkeypatch, spark):
+    def fail(*_):
+        raise RuntimeError("x" * 5000)
+
+    monkeypatch.setattr(pipeline, "build_silver", fail)
+    with pytest.raises(RuntimeError):
+        pipeline.run()
+    log = spark.read.parquet(f"{pipeline.folders.warehouse}/admin/pipeline_runs")
+    failed = log.filter("status = 'FAILED'").first()
+    assert (failed.step_name, len(failed.error_message)) == ("3_TRANSFORM_SILVER", 1000)
+    assert failed.finished_at is not None
+
+
+def test_secret_is_required(spark, monkeypatch):
+    monkeypatch.delenv(SECRET_VARIABLE, raising=False)
+    with pytest.raises(ValueError):
+        pseudonym_secret(spark)
+    monkeypatch.setenv(SECRET_VARIABLE, "from the environment")
+    assert pseudonym_secret(spark) == "from the environment"
+    spark.conf.set(SECRET_SETTING, "from the session")
+    assert pseudonym_secret(spark) == "from the session"
+    spark.conf.unset(SECRET_SETTING)
