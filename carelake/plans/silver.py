@@ -1,8 +1,8 @@
 """Silver: four dimensions and four facts, each a function of bronze DataFrames.
 
 The facts are large and one stay or one patient may own a large share of their rows. So duplicates
-are removed by keys before anything is joined, and the joins carry no hints: Catalyst broadcasts a
-side whose size it knows to be small, and otherwise AQE splits the partitions it finds skewed.
+are removed by keys before anything is joined, and facts are joined by `lookup`, which leaves AQE free
+to split such keys. No join is hinted: Catalyst broadcasts a side only if it knows it to be small.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from carelake.functions import clinical
 from carelake.operators import quality
 from carelake.operators.dedup import by_version, first_per_key
+from carelake.operators.lookup import lookup
 
 # Words used for what the reference data does not say.
 NO_CATEGORY = "Non catégorisé"
@@ -118,7 +119,7 @@ def fact_diagnostics(diagnostics: DataFrame, stays: DataFrame, patients: DataFra
     """
     diagnoses = first_per_key(
         diagnostics, ["stay_id", "code_cim10"], [F.col("diag_type") != "principal", F.col("diag_type")])
-    aged_stays = stays.join(patients, "patient_pseudo_id").select(
+    aged_stays = lookup(stays, patients, "patient_pseudo_id").select(
         "stay_id",
         "patient_pseudo_id",
         clinical.age_at(F.col("admission_ts"), F.col("birth_year")).alias("age_at_diagnostics"),
@@ -138,7 +139,7 @@ def score_vitals(monitoring: DataFrame) -> DataFrame:
 def fact_monitoring(monitoring: DataFrame, stays: DataFrame) -> DataFrame:
     """Plausible measures of known stays, with service and alert flags."""
     services = stays.select("stay_id", "service_code")
-    return score_vitals(monitoring).join(services, "stay_id").select(
+    return lookup(score_vitals(monitoring), services, "stay_id").select(
         "stay_id", "service_code", "ts", "heart_rate", "spo2", "temp_c",
         "is_alert", "is_alert_fc", "is_alert_spo2", "is_alert_temp", "alert_reasons",
     )
@@ -148,14 +149,14 @@ def tagged_monitoring(monitoring: DataFrame, stays: DataFrame) -> DataFrame:
     known = stays.select("stay_id", F.lit(True).alias("known"))
     rules = {f"{v.column}_out_of_range": v.plausible for v in clinical.VITALS}
     return quality.tag(
-        monitoring.join(known, "stay_id", "left"), **rules, unknown_stay=F.col("known")).drop("known")
+        lookup(monitoring, known, "stay_id", "left"), **rules, unknown_stay=F.col("known")).drop("known")
 
 
 def fact_acte(actes: DataFrame, stays: DataFrame) -> DataFrame:
     """One row per (service, code, stay, time); procedures of unknown stays are kept."""
     distinct = actes.select("stay_id", "code_ccam", "acte_ts").distinct()
     services = stays.select("stay_id", "acte_service")
-    return distinct.join(services, "stay_id", "left").select(
+    return lookup(distinct, services, "stay_id", "left").select(
         "stay_id",
         F.coalesce("acte_service", F.lit(NO_SERVICE)).alias("service_code"),
         "code_ccam",

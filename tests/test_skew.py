@@ -1,0 +1,143 @@
+"""One key owns a third of the rows: nothing is lost, and no plan leaves it to one task."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from carelake.plans import gold, silver
+
+ROWS = 60_000
+STAYS = 3_000
+
+
+def hot_or(number, share=3):
+    """A third of the rows on key 0, the others spread."""
+    return F.when(F.col("id") % share == 0, F.lit(0)).otherwise(number)
+
+
+def stay_id():
+    return F.concat(F.lit("s"), hot_or(F.col("id") % STAYS).cast("string")).alias("stay_id")
+
+
+def lineage():
+    return [F.lit("2026-08-01").cast("date").alias("source_date"), F.lit("x/2026-08-01/f").alias("source_file")]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Written tables, so that sizes are known and the joins are planned as on large data."""
+    root = tmp_path_factory.mktemp("skew")
+    start = F.timestamp_seconds(F.lit(1_750_000_000) + F.col("id") * 3600)
+    tables = {
+        "sejours": spark.range(STAYS).select(
+            F.concat(F.lit("s"), F.col("id").cast("string")).alias("stay_id"),
+            F.concat(F.lit("p"), hot_or(F.col("id")).cast("string")).alias("patient_pseudo_id"),
+            F.concat(F.lit("v"), hot_or(F.col("id") % 10).cast("string")).alias("service_code"),
+            start.alias("admission_ts"), (start + F.expr("interval 30 hours")).alias("discharge_ts"),
+            F.lit("urgence").alias("admission_mode"), F.lit("domicile").alias("discharge_mode"), *lineage()),
+        "monitoring": spark.range(ROWS).select(
+            stay_id(), F.timestamp_seconds(F.lit(1_750_000_000) + F.col("id")).alias("ts"),
+            (F.lit(40) + F.col("id") % 100).cast("short").alias("heart_rate"), F.lit(98).cast("short").alias("spo2"),
+            F.lit(37.0).cast("float").alias("temp_c"), *lineage()),
+        "actes": spark.range(ROWS).select(
+            stay_id(), F.concat(F.lit("c"), (F.col("id") % 7).cast("string")).alias("code_ccam"),
+            F.timestamp_seconds(F.lit(1_750_000_000) + F.col("id")).alias("acte_ts"), *lineage()),
+        "diagnostics": spark.range(ROWS).select(
+            stay_id(), F.concat(F.lit("d"), (F.col("id") % 11).cast("string")).alias("code_cim10"),
+            F.when(F.col("id") % 2 == 0, "principal").otherwise("associe").alias("diag_type"), *lineage()),
+        "patients": spark.range(STAYS).select(
+            F.concat(F.lit("p"), F.col("id").cast("string")).alias("patient_pseudo_id"),
+            F.lit(1980).alias("birth_year"), F.lit("F").alias("sex"), F.lit("R").alias("region_code"), *lineage()),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in tables}
+
+
+@pytest.fixture
+def as_on_large_data(settings):
+    """No broadcast, and partitions of a few kilobytes count as large."""
+    settings(
+        autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k", adaptive__skewJoin__skewedPartitionFactor="1.2",
+        adaptive__advisoryPartitionSizeInBytes="20k", adaptive__coalescePartitions__enabled="false",
+        shuffle__partitions="16")
+
+
+def executed(df):
+    """Final adaptive plan of a collected DataFrame."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    return plan.toString()
+
+
+def test_hot_stay_in_vital_signs(tables, as_on_large_data):
+    facts = silver.fact_monitoring(tables["monitoring"], silver.stay_index(tables["sejours"]))
+    plan = executed(facts)
+    assert "SortMergeJoin(skew=true)" in plan, plan
+    assert facts.count() == ROWS
+    assert facts.filter("stay_id = 's0'").count() >= ROWS / 3
+
+
+def test_hot_stay_in_procedures_and_the_mart_above(tables, as_on_large_data):
+    facts = silver.fact_acte(tables["actes"], silver.stay_index(tables["sejours"]))
+    assert "SortMergeJoin(skew=true)" in executed(facts)
+    assert facts.count() == ROWS
+    # the mart groups by stay again: without `forceOptimizeSkewedJoin` the split would be given up
+    services = tables["sejours"].select("service_code").distinct().select(
+        "service_code", *(F.lit("x").alias(c) for c in ("service_label", "categorie", "pole")))
+    mart = gold.actes_services({"fact_acte": facts, "dim_services": services})
+    assert "SortMergeJoin(skew=true)" in executed(mart)
+    assert sum(r.nb_actes_total for r in mart.collect()) == ROWS
+
+
+def test_hot_stay_in_diagnoses_is_reduced_before_the_join(tables, as_on_large_data):
+    stays = silver.stay_index(tables["sejours"])
+    facts = silver.fact_diagnostics(tables["diagnostics"], stays, silver.dim_patients(tables["patients"]))
+    keys = tables["diagnostics"].select("stay_id", "code_cim10").distinct().count()
+    assert facts.count() == keys
+    assert facts.filter("stay_id = 's0'").count() == 11
+    both = tables["diagnostics"].groupBy("stay_id", "code_cim10").agg(
+        F.max(F.col("diag_type") == "principal").alias("p")).filter("p").count()
+    assert facts.filter("diag_type = 'principal'").count() == both
+
+
+def test_hot_patient_in_the_ages_of_diagnoses(tables, as_on_large_data, settings):
+    settings(
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="4k", adaptive__advisoryPartitionSizeInBytes="4k")
+    stays = silver.stay_index(tables["sejours"])
+    facts = silver.fact_diagnostics(tables["diagnostics"], stays, silver.dim_patients(tables["patients"]))
+    plan = executed(facts)
+    assert "SortMergeJoin(skew=true) [patient_pseudo_id" in plan, plan
+    assert facts.count() == tables["diagnostics"].select("stay_id", "code_cim10").distinct().count()
+
+
+def test_hot_patient_in_readmissions(tables, spark):
+    facts = silver.fact_sejours(tables["sejours"])
+    total, found, _ = gold.readmissions_30j({"fact_sejours": facts}).first()
+    assert total == STAYS
+    # the hot patient is admitted every three hours for thirty hours: every stay overlaps the next
+    assert found == 0
+    days = facts.filter("patient_pseudo_id = 'p0'").select(F.to_date("admission_ts")).distinct().count()
+    plan = gold.readmissions_30j({"fact_sejours": facts})._jdf.queryExecution().optimizedPlan().toString()
+    assert days < 130
+    assert plan.index("Window") < plan.index("Aggregate [patient_pseudo_id")  # days first, then the window
+
+
+def test_hot_service_in_length_of_stay(tables):
+    facts = silver.fact_sejours(tables["sejours"])
+    services = tables["sejours"].select("service_code", F.lit("x").alias("service_label")).distinct()
+    got = {r.service_code: r.nb_sejours_termines for r in gold.dms(
+        {"fact_sejours": facts, "dim_services": services}).collect()}
+    assert sum(got.values()) == STAYS
+    assert got["v0"] >= STAYS / 3
+
+
+def test_hot_copies_of_one_delivery(spark):
+    copies = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("code_ccam"),
+        F.lit("x").alias("libelle"), F.col("id").cast("int").alias("tarif_euros"), *lineage())
+    dimension = silver.dim_ccam(copies)
+    assert dimension.count() == 20_001
+    assert dimension.filter("code_ccam = 'hot'").first().tarif_euros == 29_997
