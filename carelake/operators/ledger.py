@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carelake.operators.lookup import lookup
+
 
 def unseen(incoming: DataFrame, ingested: DataFrame, key: str = "source_file") -> DataFrame:
     """Rows of `incoming` whose file is not in the ledger.
 
-    The ledger is reduced to its distinct keys first. Used on file listings by the pipeline, so old
+    The ledger is reduced to its distinct keys first. Used on file listings by the warehouse, so old
     files are not even opened; it also works on rows.
     """
-    return incoming.join(ingested.select(key).distinct(), key, "left_anti")
+    return lookup(incoming, ingested.select(key).distinct(), key, "left_anti")
 
 
 def dates_to_process(available: DataFrame, ledger: DataFrame, force: bool = False) -> DataFrame:

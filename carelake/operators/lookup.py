@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def lookup(facts: DataFrame, index: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join facts to an index that holds one row per `key`, whatever share of the facts one key owns.
+    """Join facts to an index that holds one row per text `key`, whatever share of the facts one key owns.
 
     AQE splits the partition of a key with many facts, but only where both sides were shuffled for
     this join. An index that comes straight out of an aggregation by the same key is not: Spark would

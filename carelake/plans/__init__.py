@@ -1 +1 @@
-"""Silver builders, gold datamarts, reports and the pipeline that chains them."""
+"""Silver builders, gold datamarts, reports and the chain of layers."""

@@ -65,7 +65,7 @@ class Folders:
         return f"{self.warehouse}/{layer}"
 
 
-class Pipeline:
+class Warehouse:
     def __init__(self, spark: SparkSession, folders: Folders, secret: str | None = None):
         self.spark = configure(spark)
         self.folders = folders

@@ -1,4 +1,4 @@
-"""Session settings the pipeline relies on.
+"""Session settings the warehouse relies on.
 
 Nothing here sizes the cluster. `spark.sql.shuffle.partitions` and memory belong to the
 submitter; adaptive execution coalesces or splits partitions from what it measures.

@@ -11,7 +11,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from carelake.plans import gold
-from carelake.plans.pipeline import SECRET_SETTING, SECRET_VARIABLE, Folders, Pipeline, pseudonym_secret
+from carelake.plans.warehouse import SECRET_SETTING, SECRET_VARIABLE, Folders, Warehouse, pseudonym_secret
 from carelake.sources import drops
 from test_functions import expected_pseudonym
 
@@ -73,9 +73,9 @@ def second_delivery(root):
 
 
 @pytest.fixture
-def pipeline(spark, tmp_path):
+def warehouse(spark, tmp_path):
     first_delivery(tmp_path / "drops")
-    return Pipeline(spark, Folders(str(tmp_path / "drops"), str(tmp_path / "warehouse")), SECRET)
+    return Warehouse(spark, Folders(str(tmp_path / "drops"), str(tmp_path / "warehouse")), SECRET)
 
 
 def test_listing(spark, tmp_path):
@@ -119,9 +119,9 @@ def test_csv_with_different_headers_is_refused(spark, tmp_path):
         drops.read(spark, "sejours", paths).collect()
 
 
-def test_lake_holds_no_identifier(pipeline):
-    assert len(pipeline.sync_lake()) == 6
-    patients = pipeline.lake.read("patients")
+def test_lake_holds_no_identifier(warehouse):
+    assert len(warehouse.sync_lake()) == 6
+    patients = warehouse.lake.read("patients")
     assert patients.columns == [
         "patient_pseudo_id", "birth_year", "sex", "region_code", "source_date", "source_file"]
     assert rows(patients, "patient_pseudo_id", "birth_year", "sex", "region_code") == sorted([
@@ -129,12 +129,12 @@ def test_lake_holds_no_identifier(pipeline):
         (expected_pseudonym("IPP2", SECRET), "", "M", "R2"),
         (expected_pseudonym("IPP3", SECRET), "2001", "M", "R3"),
     ], key=repr)
-    stays = pipeline.lake.read("sejours")
+    stays = warehouse.lake.read("sejours")
     assert rows(stays.filter("stay_id = 'S2'"), "patient_pseudo_id", "service_code", "discharge_ts") == [
         (expected_pseudonym("IPP2", SECRET), "URGENCES", "")]
     assert stays.join(patients, "patient_pseudo_id").count() == 5
     written = "".join(
-        p.read_bytes().decode("latin-1") for p in _files(pipeline.folders.warehouse, "part-*.parquet"))
+        p.read_bytes().decode("latin-1") for p in _files(warehouse.folders.warehouse, "part-*.parquet"))
     assert "IPP1" not in written and "Durand" not in written
 
 
@@ -143,10 +143,10 @@ def _files(root, pattern):
     return Path(root).rglob(pattern)
 
 
-def test_bronze_types_rejects_and_is_idempotent(pipeline):
-    pipeline.sync_lake()
-    assert len(pipeline.load_bronze()) == 4
-    bronze = pipeline.bronze_tables()
+def test_bronze_types_rejects_and_is_idempotent(warehouse):
+    warehouse.sync_lake()
+    assert len(warehouse.load_bronze()) == 4
+    bronze = warehouse.bronze_tables()
     assert rows(bronze["patients"], "birth_year") == [(0,), (1985,), (2001,)]
     assert rows(bronze["sejours"], "stay_id") == [("S1",), ("S2",), ("S3",)]
     assert rows(bronze["sejours"].filter("discharge_ts is null"), "stay_id", "discharge_mode") == [("S2", "")]
@@ -154,55 +154,55 @@ def test_bronze_types_rejects_and_is_idempotent(pipeline):
         ("S1", "E11", "principal"), ("S1", "I21", "principal"), ("S3", "", "associe")]
     assert rows(bronze["monitoring"], "stay_id", "heart_rate", "spo2", "temp_c") == [
         ("S1", 130, 98, 37.0), ("S1", None, None, None), ("S9", 70, 97, 36.5)]
-    assert rows(pipeline.rejects.read("sejours"), "reason") == [("malformed_discharge",), ("missing_admission",)]
+    assert rows(warehouse.rejects.read("sejours"), "reason") == [("malformed_discharge",), ("missing_admission",)]
     assert rows(bronze["sejours"].select("source_date", "source_file").distinct())[0][1] == "sejours/2026-08-01/sejours.csv"
 
-    assert pipeline.sync_lake() == []
-    assert pipeline.load_bronze() == []
-    assert pipeline.bronze.read("sejours").count() == 3
-    assert pipeline.rejects.read("sejours").count() == 2
+    assert warehouse.sync_lake() == []
+    assert warehouse.load_bronze() == []
+    assert warehouse.bronze.read("sejours").count() == 3
+    assert warehouse.rejects.read("sejours").count() == 2
 
 
-def test_redelivered_file_is_ignored_until_forced(pipeline, tmp_path):
-    pipeline.sync_lake()
-    pipeline.load_bronze()
+def test_redelivered_file_is_ignored_until_forced(warehouse, tmp_path):
+    warehouse.sync_lake()
+    warehouse.load_bronze()
     put(tmp_path / "drops", "sejours/2026-08-01/sejours.csv",
         "\n".join(SEJOURS.splitlines()[:2]) + "\n")
-    assert pipeline.sync_lake() == []
-    assert pipeline.load_bronze() == []
-    assert pipeline.bronze.read("sejours").count() == 3
-    pipeline.sync_lake(force=True)
-    pipeline.load_bronze(force=True)
-    assert rows(pipeline.bronze.read("sejours"), "stay_id") == [("S1",)]
-    assert pipeline.bronze.read("patients").count() == 3
-
-
-def test_newest_reference_replaces_the_older(pipeline, tmp_path):
-    pipeline.sync_lake()
-    pipeline.load_bronze()
-    assert rows(pipeline.bronze.read("ref_cim10"), "libelle") == [("Infarctus, aigu",)]
+    assert warehouse.sync_lake() == []
+    assert warehouse.load_bronze() == []
+    assert warehouse.bronze.read("sejours").count() == 3
+    warehouse.sync_lake(force=True)
+    warehouse.load_bronze(force=True)
+    assert rows(warehouse.bronze.read("sejours"), "stay_id") == [("S1",)]
+    assert warehouse.bronze.read("patients").count() == 3
+
+
+def test_newest_reference_replaces_the_older(warehouse, tmp_path):
+    warehouse.sync_lake()
+    warehouse.load_bronze()
+    assert rows(warehouse.bronze.read("ref_cim10"), "libelle") == [("Infarctus, aigu",)]
     second_delivery(tmp_path / "drops")
     put(tmp_path / "drops", "referentiels/2026-08-30/services.csv", "service_code,service_label\n")
-    pipeline.sync_lake()
-    pipeline.load_bronze()
-    bronze = pipeline.bronze_tables()
+    warehouse.sync_lake()
+    warehouse.load_bronze()
+    bronze = warehouse.bronze_tables()
     assert rows(bronze["ref_services"], "service_code", "service_label") == [
         ("CARDIO", "Cardio"), ("URGENCES", "Urgences")]
     assert rows(bronze["ref_cim10"], "code_cim10") == [("I21",)]
     assert rows(bronze["ref_description_service"], "service_code", "categorie", "capacite_lits", "pole") == [
         ("CARDIO", "medecine", 30, "Coeur"), ("URGENCES", "urgences", 0, "")]
     assert rows(bronze["ref_ccam"], "code_ccam", "libelle", "tarif_euros") == [("X1", "Acte", 450), ("X2", "b", 0)]
-    assert rows(pipeline.rejects.read("ref_ccam"), "reason") == [("malformed_tariff",)]
+    assert rows(warehouse.rejects.read("ref_ccam"), "reason") == [("malformed_tariff",)]
 
 
-def test_bad_date_is_recorded_and_tried_again(pipeline, tmp_path):
+def test_bad_date_is_recorded_and_tried_again(warehouse, tmp_path):
     root = tmp_path / "drops"
     put(root, "sejours/2026-08-02/sejours.csv", SEJOURS)
     put(root, "monitoring/2026-08-03/monitoring.parquet", "this is not parquet")
     put(root, "sejours/2026-08-04/sejours.csv", SEJOURS)
-    synced = pipeline.sync_lake()
+    synced = warehouse.sync_lake()
     assert {f.split("/")[1] for f in synced} == {"2026-08-01", "2026-08-02", "2026-08-04"}
-    log = pipeline.admin.read("lake_sync")
+    log = warehouse.admin.read("lake_sync")
     assert [str(r[0]) for r in rows(log.filter("not success"), "source_date")] == ["2026-08-03"]
     assert log.filter("not success").first().error
     first_delivery(root / "ignored")
@@ -210,14 +210,14 @@ def test_bad_date_is_recorded_and_tried_again(pipeline, tmp_path):
         "stay_id": ["S1"], "ts": pd.to_datetime(["2026-08-03"]).astype("datetime64[us]"),
         "heart_rate": np.array([70], dtype="int16"), "spo2": np.array([98], dtype="int16"),
         "temp_c": np.array([37], dtype="float32")}))
-    assert pipeline.sync_lake() == ["monitoring/2026-08-03/monitoring.parquet"]
-    assert pipeline.sync_lake() == []
+    assert warehouse.sync_lake() == ["monitoring/2026-08-03/monitoring.parquet"]
+    assert warehouse.sync_lake() == []
 
 
-def test_run_from_drops_to_gold(pipeline, tmp_path, spark):
+def test_run_from_drops_to_gold(warehouse, tmp_path, spark):
     second_delivery(tmp_path / "drops")
-    run_id = pipeline.run()
-    tables = pipeline.silver_tables()
+    run_id = warehouse.run()
+    tables = warehouse.silver_tables()
     assert rows(tables["fact_sejours"], "stay_id", "duree_sejour_jours") == [("S1", 6.29), ("S2", None)]
     assert rows(tables["dim_patients"], "birth_year") == [(0,), (1986,), (2001,)]
     assert rows(tables["fact_monitoring"], "stay_id", "is_alert") == [("S1", 0), ("S1", 1)]
@@ -227,7 +227,7 @@ def test_run_from_drops_to_gold(pipeline, tmp_path, spark):
         ("CARDIO", "Cardio", "medecine", "Coeur", 1, 450)]
     assert spark.sql("select nb_sejours_termines from vue_pilotage_dms order by 1").first()[0] == 0
 
-    log = spark.read.parquet(f"{pipeline.folders.warehouse}/admin/pipeline_runs").filter(F.col("run_id") == run_id)
+    log = spark.read.parquet(f"{warehouse.folders.warehouse}/admin/pipeline_runs").filter(F.col("run_id") == run_id)
     steps = {r.step_name: r for r in log.collect()}
     assert set(steps) == {
         "START (MANUAL)", "1_SYNC_LAKE", "2_INGEST_BRONZE", "3_TRANSFORM_SILVER", "4_TRANSFORM_GOLD",
@@ -241,18 +241,18 @@ def test_run_from_drops_to_gold(pipeline, tmp_path, spark):
     assert steps["2_INGEST_BRONZE"].records_ingested == 3 + 3 + 3 + 3 + 3 + 3
     assert steps["2_INGEST_BRONZE"].records_rejected == 2
     before = {name: df.count() for name, df in tables.items()}
-    pipeline.run()
-    assert {name: df.count() for name, df in pipeline.silver_tables().items()} == before
+    warehouse.run()
+    assert {name: df.count() for name, df in warehouse.silver_tables().items()} == before
 
 
-def test_failing_step_is_logged(pipeline, monkeypatch, spark):
+def test_failing_step_is_logged(warehouse, monkeypatch, spark):
     def fail(*_):
         raise RuntimeError("x" * 5000)
 
-    monkeypatch.setattr(pipeline, "build_silver", fail)
+    monkeypatch.setattr(warehouse, "build_silver", fail)
     with pytest.raises(RuntimeError):
-        pipeline.run()
-    log = spark.read.parquet(f"{pipeline.folders.warehouse}/admin/pipeline_runs")
+        warehouse.run()
+    log = spark.read.parquet(f"{warehouse.folders.warehouse}/admin/pipeline_runs")
     failed = log.filter("status = 'FAILED'").first()
     assert (failed.step_name, len(failed.error_message)) == ("3_TRANSFORM_SILVER", 1000)
     assert failed.finished_at is not None
