@@ -4,22 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+VERSION = ("source_date", "source_file")
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep, per key, the first row in the given order.
-
-    Spark limits each group to one row before the shuffle (WindowGroupLimit), so a key that owns a
-    large share of the rows still sends one row per map task. The order should end in enough columns
-    to be total, or equal rows.
-    """
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
+def latest_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str] = VERSION) -> DataFrame:
+    """Keep, per key, the whole row with the greatest version; the other columns settle ties.
 
-def by_version(*tie_breakers: str) -> list[Column]:
-    """Newest delivery first, then the tie-breakers descending."""
-    columns = ["source_date", "source_file", *tie_breakers]
-    return [F.col(c).desc_nulls_last() for c in columns]
+    An aggregation, so a key that owns a large share of the rows is reduced to one row in each map
+    task before the shuffle. It also sorts less than a ranking window: only by the key.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in version]
+    rows = df.groupBy(*keys).agg(F.max(F.struct(*version, *rest)).alias("row"))
+    return rows.select(*(c if c in keys else f"row.{c}" for c in df.columns))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import clinical
 from carelake.operators import quality
-from carelake.operators.dedup import by_version, first_per_key
+from carelake.operators.dedup import latest_per_key
 from carelake.operators.lookup import lookup
 
 # Words used for what the reference data does not say.
@@ -28,9 +28,8 @@ KEPT_STATES = ("latest", "ongoing", "finished", "alert", "normal")
 
 def dim_services(ref_services: DataFrame, ref_description: DataFrame) -> DataFrame:
     """B1: services with category, beds and pole; services without description get defaults."""
-    services = first_per_key(ref_services, ["service_code"], by_version("service_label"))
-    details = first_per_key(
-        ref_description, ["service_code"], by_version("categorie", "capacite_lits", "pole"))
+    services = latest_per_key(ref_services, ["service_code"])
+    details = latest_per_key(ref_description, ["service_code"])
     return services.join(details.drop("source_date", "source_file"), "service_code", "left").select(
         "service_code",
         "service_label",
@@ -42,22 +41,19 @@ def dim_services(ref_services: DataFrame, ref_description: DataFrame) -> DataFra
 
 def dim_ccam(ref_ccam: DataFrame) -> DataFrame:
     """B2: one label and tariff per procedure code."""
-    return first_per_key(ref_ccam, ["code_ccam"], by_version("libelle", "tarif_euros")).select(
-        "code_ccam", "libelle", "tarif_euros")
+    return latest_per_key(ref_ccam, ["code_ccam"]).select("code_ccam", "libelle", "tarif_euros")
 
 
 def dim_cim10(ref_cim10: DataFrame) -> DataFrame:
     """One label per diagnosis code."""
-    return first_per_key(ref_cim10, ["code_cim10"], by_version("libelle")).select(
-        "code_cim10", "libelle")
+    return latest_per_key(ref_cim10, ["code_cim10"]).select("code_cim10", "libelle")
 
 
 def dim_patients(patients: DataFrame) -> DataFrame:
     """The newest version of each patient, taken as a whole row."""
-    version = F.struct("source_date", "source_file", "birth_year", "sex", "region_code")
-    return patients.groupBy("patient_pseudo_id").agg(F.max(version).alias("v")).select(
-        "patient_pseudo_id", "v.birth_year", "v.sex", "v.region_code",
-        F.col("v.source_date").alias("updated_at"),
+    return latest_per_key(patients, ["patient_pseudo_id"]).select(
+        "patient_pseudo_id", "birth_year", "sex", "region_code",
+        F.col("source_date").alias("updated_at"),
     )
 
 
@@ -74,11 +70,7 @@ def tagged_sejours(sejours: DataFrame) -> DataFrame:
 
 def fact_sejours(sejours: DataFrame) -> DataFrame:
     """Coherent stays, newest delivery per (service, admission, stay), with length of stay."""
-    newest = first_per_key(
-        sejours.filter(_coherent()),
-        ["service_code", "admission_ts", "stay_id"],
-        by_version("discharge_ts", "patient_pseudo_id", "admission_mode", "discharge_mode"),
-    )
+    newest = latest_per_key(sejours.filter(_coherent()), ["service_code", "admission_ts", "stay_id"])
     admission, discharge = F.col("admission_ts"), F.col("discharge_ts")
     return newest.select(
         "stay_id", "patient_pseudo_id", "service_code", "admission_ts", "discharge_ts",
@@ -117,8 +109,9 @@ def fact_diagnostics(diagnostics: DataFrame, stays: DataFrame, patients: DataFra
     A stay has one patient, so the key is settled before the joins; a code given both as principal
     and as associated diagnosis stays principal.
     """
-    diagnoses = first_per_key(
-        diagnostics, ["stay_id", "code_cim10"], [F.col("diag_type") != "principal", F.col("diag_type")])
+    rank = F.struct(F.col("diag_type") != "principal", F.col("diag_type"))
+    diagnoses = diagnostics.groupBy("stay_id", "code_cim10").agg(
+        F.min_by("diag_type", rank).alias("diag_type"))
     aged_stays = lookup(stays, patients, "patient_pseudo_id").select(
         "stay_id",
         "patient_pseudo_id",

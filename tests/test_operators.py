@@ -6,7 +6,7 @@ from helpers import day, rows
 from pyspark.sql import functions as F
 
 from carelake.operators import ledger, quality
-from carelake.operators.dedup import by_version, first_per_key
+from carelake.operators.dedup import latest_per_key
 from carelake.operators.snapshot import newest_snapshot
 from carelake.operators.suppression import suppress_small_cells
 
@@ -21,15 +21,17 @@ def test_newest_version_wins_and_ties_are_settled(spark):
         spark, ("a", 1, "2026-08-01", "f1"), ("a", 2, "2026-08-02", "f0"), ("b", 5, "2026-08-01", "f1"),
         ("b", 7, "2026-08-01", "f1"), ("b", 6, "2026-08-01", "f1"), ("c", 1, "2026-08-01", "f2"),
         ("c", 9, "2026-08-01", "f1"))
-    assert rows(first_per_key(df, ["k"], by_version("v")), "k", "v") == [("a", 2), ("b", 7), ("c", 1)]
+    newest = latest_per_key(df, ["k"])
+    assert newest.columns == df.columns
+    assert rows(newest, "k", "v") == [("a", 2), ("b", 7), ("c", 1)]
 
 
-def test_dedup_limits_each_group_before_the_shuffle(spark, capsys):
+def test_dedup_reduces_each_group_before_the_shuffle(spark):
     df = spark.range(1000).select(
         (F.col("id") % 2).alias("k"), "id", F.current_date().alias("source_date"), F.lit("f").alias("source_file"))
-    first_per_key(df, ["k"], by_version("id")).explain()
-    plan = capsys.readouterr().out
-    assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
+    plan = latest_per_key(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_max")
+    assert plan.count("Exchange") == 1
 
 
 def test_unseen_files(spark):
