@@ -98,9 +98,10 @@ class Warehouse:
         dates = sorted({f.source_date for f in files})
         try:
             for kind in drops.FILE_OF:
-                paths = [f.path for f in files if f.kind == kind]
-                if paths:
-                    raw = drops.read(self.spark, kind, paths)
+                of_kind = [f for f in files if f.kind == kind]
+                if of_kind:
+                    large = [f.path for f in of_kind if f.bytes > drops.WHOLE_FILE_BYTES]
+                    raw = drops.read(self.spark, kind, [f.path for f in of_kind], large)
                     self.lake.replace_files(kind, privacy.to_lake(kind, raw, self.secret))
         except Exception as error:  # noqa: BLE001 - whatever a delivery can break is recorded
             if len(dates) == 1:

@@ -29,7 +29,10 @@ FILE_OF = {kind: path for path, kind in KINDS.items()}
 REFERENCE_KINDS = ("services", "cim10", "description_service", "ccam")
 
 _DROP = rf"^.*/({'|'.join(schemas.ENTITIES)})/(\d{{4}}-\d{{2}}-\d{{2}})/([^/]+)"
-_FILES_SCHEMA = "kind string, source_date date, source_file string, path string"
+_FILES_SCHEMA = "kind string, source_date date, source_file string, path string, bytes bigint"
+
+# A diagnosis file beyond this size is cut into records by the scan instead of being parsed whole.
+WHOLE_FILE_BYTES = 128 * 1024 * 1024
 
 
 def lineage(path: Column) -> list[Column]:
@@ -42,12 +45,12 @@ def lineage(path: Column) -> list[Column]:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(kind, source_date, source_file, path) of every delivered file of a known kind.
+    """(kind, source_date, source_file, path, bytes) of every delivered file of a known kind.
 
     The listing is a scan of file names; no content is read.
     """
     try:
-        found = spark.read.format("binaryFile").load(f"{root}/*/*/*").select("path")
+        found = spark.read.format("binaryFile").load(f"{root}/*/*/*").select("path", "length")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -59,7 +62,10 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         F.try_element_at(kinds, F.concat_ws("/", entity, file)).alias("kind"),
         *lineage(F.col("path")),
         delivered,
-    ).filter("kind is not null and source_date is not null").distinct()
+        "length",
+    ).filter("kind is not null and source_date is not null").groupBy(
+        "kind", "source_date", "source_file", "path",
+    ).agg(F.sum("length").alias("bytes"))
 
 
 def source_dates(files: DataFrame) -> DataFrame:
@@ -70,12 +76,20 @@ def source_dates(files: DataFrame) -> DataFrame:
 # ---- readers -------------------------------------------------------------------------------------
 
 
-def read(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataFrame:
-    """Raw rows of the given files with their lineage."""
+def read(spark: SparkSession, kind: str, paths: Sequence[str], large: Sequence[str] = ()) -> DataFrame:
+    """Raw rows of the given files with their lineage.
+
+    `large` names those of the paths whose files are too big for one task to parse whole; it only
+    matters for diagnoses, as all other large kinds are split by their readers.
+    """
+    if kind == "diagnostics" and large:
+        small = [p for p in paths if p not in large]
+        parts = _read_records(spark, large)
+        return parts.unionByName(read(spark, kind, small)) if small else parts
     if kind in schemas.RAW_TEXT:
         raw = _read_csv(spark, kind, paths)
     elif kind == "diagnostics":
-        # a pretty-printed array: read whole per file, so parallelism is the number of files
+        # a pretty-printed array is parsed whole, one task per file
         raw = spark.read.schema(schemas.RAW_DIAGNOSTICS).option("multiLine", True).json(list(paths))
     else:
         raw = _read_parquet(spark, kind, paths)
@@ -84,6 +98,28 @@ def read(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataFrame:
     return raw.select(*columns, *lineage(path))
 
 
+_RECORD_START = '"stay_id"'
+
+
+def _read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Records of large diagnosis files, cut at the key every record begins with.
+
+    The text scan splits a file at any size and hands over the text between two keys. A record whose
+    first key is another one would be cut in the wrong place, so every piece must end where a record
+    does; otherwise the read fails.
+    """
+    text = spark.read.option("lineSep", _RECORD_START).text(list(paths))
+    piece = F.col("value")
+    opening = piece.rlike(r"\A\s*\[\s*\{?\s*\]?\s*\z")  # before the first record
+    complete = piece.rlike(r"\A\s*:(?s:.*)\}\s*(,\s*\{|\])\s*\z")
+    record = F.from_json(F.concat(F.lit("{" + _RECORD_START), piece), schemas.RAW_DIAGNOSTICS)
+    checked = F.when(complete, record).otherwise(
+        F.raise_error(F.lit(f"a diagnosis record does not begin with {_RECORD_START}")))
+    return text.filter(~opening).select(
+        checked.alias("record"), *lineage(F.col("_metadata.file_path")),
+    ).select("record.*", "source_date", "source_file")
+
+
 def _read_csv(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataFrame:
     """Text columns picked by header name, so their order in the file does not matter.
 
