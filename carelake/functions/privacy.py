@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 PSEUDONYM_PREFIX = "PSEUDO_"
 PSEUDONYM_HEX_CHARS = 16
 
 _BLOCK_BYTES = 64  # SHA-256 block size, which fixes the HMAC key length
-# A key block printed as a binary literal has 128 hex digits. Spark masks every match in plans.
+# A key block printed as a binary literal would have 128 hex digits. Spark masks every match in plans.
 REDACTION_PATTERN = "(?i)0x[0-9a-f]{64,}"
 
 # White space as Python's str.strip understands it: Unicode spaces and the four separators 1C-1F.
@@ -32,25 +33,32 @@ def _key_blocks(secret: str) -> tuple[bytes, bytes]:
     return bytes(b ^ 0x36 for b in key), bytes(b ^ 0x5C for b in key)
 
 
-def hmac_sha256_hex(message: Column, secret: str) -> Column:
-    """HMAC-SHA256 of a text column, from Spark's own `sha2` so it stays in generated code.
+def pseudonym_key(spark: SparkSession, secret: str) -> Column:
+    """The padded key blocks, as a column to use in any query of the session.
 
-    Only the two padded key blocks are computed outside the plan. They are secrets: call
-    `carelake.session.hide_secret_literals` before any plan holding them is printed or logged.
+    A scalar subquery over one row of data: plans, the UI and event logs name the subquery and never
+    show what it returns. As literals the blocks would be printed, and they give the key away.
     """
-    inner_key, outer_key = (F.lit(bytearray(b)) for b in _key_blocks(secret))
-    inner = F.sha2(F.concat(inner_key, F.encode(message, "UTF-8")), 256)
-    return F.sha2(F.concat(outer_key, F.unhex(inner)), 256)
+    if not secret:
+        raise ValueError("pseudonymisation needs a secret")
+    inner, outer = _key_blocks(secret)
+    # handed over as Arrow data, the row is a local table of the plan and takes no job to read
+    blocks = spark.createDataFrame(pa.table({"inner": [inner], "outer": [outer]}))
+    return blocks.select(F.struct("inner", "outer")).scalar()
+
 
+def hmac_sha256_hex(message: Column, key: Column) -> Column:
+    """HMAC-SHA256 of a text column, from Spark's own `sha2` so it stays in generated code."""
+    inner = F.sha2(F.concat(key["inner"], F.encode(message, "UTF-8")), 256)
+    return F.sha2(F.concat(key["outer"], F.unhex(inner)), 256)
 
-def pseudonymize(raw_id: Column, secret: str) -> Column:
+
+def pseudonymize(raw_id: Column, key: Column) -> Column:
     """Stable pseudonym of an identifier; a missing or empty one stays the empty string.
 
     An identifier made of blanks only is hashed as the empty text, not treated as missing.
     """
-    if not secret:
-        raise ValueError("pseudonymisation needs a secret")
-    digest = hmac_sha256_hex(strip(raw_id), secret)
+    digest = hmac_sha256_hex(strip(raw_id), key)
     pseudonym = F.concat(F.lit(PSEUDONYM_PREFIX), F.left(digest, F.lit(PSEUDONYM_HEX_CHARS)))
     return F.when(F.coalesce(raw_id, F.lit("")) == "", F.lit("")).otherwise(pseudonym)
 

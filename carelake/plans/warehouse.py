@@ -46,10 +46,17 @@ _STAMPED = ("fact_sejours", "fact_diagnostics", "fact_acte")
 
 
 def pseudonym_secret(spark: SparkSession) -> str:
-    """The key comes from the session or the environment; there is no default."""
-    secret = spark.conf.get(SECRET_SETTING, None) or os.environ.get(SECRET_VARIABLE)
+    """The key comes from the submitted configuration or the environment; there is no default.
+
+    A key set on the running session is refused: Spark writes such settings into the event log as
+    they are, while it redacts the submitted ones.
+    """
+    submitted = spark.sparkContext.getConf().get(SECRET_SETTING)
+    if not submitted and spark.conf.get(SECRET_SETTING, None):
+        raise ValueError(f"give {SECRET_SETTING} when submitting, not on the running session")
+    secret = submitted or os.environ.get(SECRET_VARIABLE)
     if not secret:
-        raise ValueError(f"set {SECRET_SETTING} or {SECRET_VARIABLE}")
+        raise ValueError(f"set {SECRET_SETTING} when submitting, or {SECRET_VARIABLE}")
     return secret
 
 

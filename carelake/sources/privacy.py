@@ -22,8 +22,9 @@ def _lineage(raw: DataFrame) -> list[str]:
 
 def patients(raw: DataFrame, secret: str) -> DataFrame:
     """Pseudonym, year of birth, tidy sex and region; everything else stays behind."""
+    key = privacy.pseudonym_key(raw.sparkSession, secret)
     return guard(raw.select(
-        privacy.pseudonymize(F.col("patient_id"), secret).alias("patient_pseudo_id"),
+        privacy.pseudonymize(F.col("patient_id"), key).alias("patient_pseudo_id"),
         F.coalesce(privacy.birth_year(F.col("birth_date")).cast("string"), F.lit("")).alias("birth_year"),
         F.upper(_text("sex")).alias("sex"),
         _text("region_code"),
@@ -34,7 +35,8 @@ def patients(raw: DataFrame, secret: str) -> DataFrame:
 def sejours(raw: DataFrame, secret: str) -> DataFrame:
     """P5: the same pseudonym as the patients', so the two still join; other columns are tidied."""
     kept = [c for c in schemas.RAW_TEXT["sejours"] if c not in IDENTIFYING and c in raw.columns]
-    pseudonym = privacy.pseudonymize(F.col("patient_id"), secret).alias("patient_pseudo_id")
+    key = privacy.pseudonym_key(raw.sparkSession, secret)
+    pseudonym = privacy.pseudonymize(F.col("patient_id"), key).alias("patient_pseudo_id")
     return guard(raw.select(kept[0], pseudonym, *kept[1:], *_lineage(raw)).withColumns(
         {c: _text(c) for c in kept}))
 

@@ -74,7 +74,8 @@ def _customer_ids(s: Standin) -> DataFrame:
 
 
 _on_standin("pseudonymize", lambda s: _customer_ids(s).select(
-    "c_custkey", privacy.pseudonymize(F.col("patient_id"), SECRET).alias("patient_pseudo_id")))
+    "c_custkey",
+    privacy.pseudonymize(F.col("patient_id"), privacy.pseudonym_key(s.spark, SECRET)).alias("patient_pseudo_id")))
 _on_standin("birth_year", lambda s: _customer_ids(s).select(
     "c_custkey", F.coalesce(privacy.birth_year(F.col("birth_date")), F.lit(0)).alias("birth_year")))
 _on_standin("identifier_purge", lambda s: lake_rows.patients(s.raw_patients, SECRET))

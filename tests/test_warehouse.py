@@ -296,6 +296,7 @@ def test_secret_is_required(spark, monkeypatch):
         pseudonym_secret(spark)
     monkeypatch.setenv(SECRET_VARIABLE, "from the environment")
     assert pseudonym_secret(spark) == "from the environment"
-    spark.conf.set(SECRET_SETTING, "from the session")
-    assert pseudonym_secret(spark) == "from the session"
+    spark.conf.set(SECRET_SETTING, "on the running session")
+    with pytest.raises(ValueError, match="when submitting"):
+        pseudonym_secret(spark)
     spark.conf.unset(SECRET_SETTING)
