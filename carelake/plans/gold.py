@@ -168,22 +168,22 @@ def cohortes(silver: dict[str, DataFrame]) -> DataFrame:
     """Patients per pathology, age band and sex. Small cells are still in: see P6.
 
     A patient is reduced to one row per pathology and band before the join to the patients, whose key
-    is unique, so the final count needs no second distinct.
+    is unique, so the final count needs no second distinct. Bands travel as their first age; labels
+    are put on the finished cells.
     """
-    age = F.col("age_at_diagnostics")
     members = silver["fact_diagnostics"].select(
         "code_cim10",
-        clinical.age_band(age).alias("tranche_age"),
-        clinical.age_band_start(age).alias("band_start"),
+        clinical.age_band_start(F.col("age_at_diagnostics")).alias("band_start"),
         "patient_pseudo_id",
     ).distinct()
     sexes = silver["dim_patients"].select("patient_pseudo_id", "sex")
     cells = members.join(sexes, "patient_pseudo_id").groupBy(
-        "code_cim10", "tranche_age", "band_start", "sex",
-    ).agg(_rows().alias("nb_patients"))
+        "code_cim10", "band_start", "sex").agg(_rows().alias("nb_patients"))
     return _with_pathology(cells, silver).orderBy(
         "code_cim10", F.asc_nulls_last("band_start"), "sex",
-    ).select("code_cim10", "libelle_pathologie", "tranche_age", "sex", "nb_patients")
+    ).select(
+        "code_cim10", "libelle_pathologie",
+        clinical.age_band(F.col("band_start")).alias("tranche_age"), "sex", "nb_patients")
 
 
 def synthese(silver: dict[str, DataFrame]) -> DataFrame:
