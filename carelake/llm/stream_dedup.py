@@ -61,6 +61,8 @@ def state_session(spark: SparkSession) -> SparkSession:
     for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    # each store would reserve 4 MB for its manifest, however little it holds
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     return own
 
 
