@@ -18,7 +18,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm.common import located, only, text_of, written
@@ -174,38 +174,40 @@ def _finish(depth: int, budget: int):
 # ---- the join of large subtrees ------------------------------------------------------------------
 
 
-def _prefix(depth: int):
-    return F.shiftrightunsigned("fp", BITS - depth) if depth else F.lit(0).cast("bigint")
+def _prefix(depth: int) -> Column:
+    return F.shiftrightunsigned("fp", BITS - depth)
 
 
-def _masks(budget: int) -> DataFrame | list[int]:
+def _masks(budget: int) -> list[int]:
     return [m for m in range(1 << STEP) if m.bit_count() <= budget]
 
 
 def links(fps: DataFrame, budget: int, small: int = SMALL) -> DataFrame:
     """(src, dst): forests that connect all fingerprints within `budget` bits of each other. fps: distinct `fp`."""
-    spark = fps.sparkSession
-    parts, depth = [], 0
-    pairs = spark.range(1).select(
-        F.lit(0).cast("bigint").alias("u"), F.lit(0).cast("bigint").alias("v"), F.lit(0).alias("d"),
-        F.lit(fps.count()).alias("n"))
-    while True:
+    if fps.count() <= small:  # the pair (root, root) is small
+        root = F.lit(0).cast("bigint")
+        return _finished(fps.select(root.alias("u"), root.alias("v"), "fp"), 0, budget)
+    parts, depth, pairs = [], 0, None
+    while depth < BITS:
+        depth += STEP
+        pairs = written(_descend(fps, pairs, depth, budget), "op9-nodes")
         done = (F.col("n") <= small) | F.lit(depth >= BITS)
         parts.append(_meet(fps, pairs.filter(done), depth, budget))
         pairs = pairs.filter(~done)
-        if depth >= BITS or pairs.isEmpty():
+        if pairs.isEmpty():
             break
-        depth += STEP
-        pairs = written(_descend(fps, pairs, depth, budget), "op9-nodes")
     return reduce(DataFrame.unionByName, parts)
 
 
-def _descend(fps: DataFrame, pairs: DataFrame, depth: int, budget: int) -> DataFrame:
-    """The pairs of nodes `STEP` bits further down, without those over the budget."""
+def _descend(fps: DataFrame, pairs: DataFrame | None, depth: int, budget: int) -> DataFrame:
+    """The pairs of nodes `STEP` bits below the given ones, or below the root, without those over the budget."""
     nodes = fps.groupBy(_prefix(depth).alias("node")).agg(F.count("*").alias("size"))
     nodes = written(nodes.withColumn("up", F.shiftrightunsigned("node", STEP)), "op9-level")
     masks = F.array(*(F.lit(m).cast("bigint") for m in _masks(budget)))
-    left = pairs.join(nodes, pairs.u == nodes.up).select("v", "d", F.col("node").alias("a"), F.col("size").alias("na"))
+    if pairs is None:
+        left = nodes.select(F.col("up").alias("v"), F.lit(0).alias("d"), F.col("node").alias("a"), F.col("size").alias("na"))
+    else:
+        left = pairs.join(nodes, pairs.u == nodes.up).select("v", "d", F.col("node").alias("a"), F.col("size").alias("na"))
     left = left.withColumn("mask", F.explode(masks)).filter(F.col("d") + F.bit_count("mask") <= budget)
     low = F.col("a").bitwiseAND(F.lit((1 << STEP) - 1))
     left = left.withColumn("b", F.shiftleft("v", STEP).bitwiseOR(low.bitwiseXOR(F.col("mask"))))
@@ -220,7 +222,11 @@ def _meet(fps: DataFrame, pairs: DataFrame, depth: int, budget: int) -> DataFram
     """Bring the fingerprints of both nodes of each pair to one task and link them there."""
     ends = pairs.select("u", "v", F.explode(F.array_distinct(F.array("u", "v"))).alias("node"))
     here = fps.withColumn("p", _prefix(depth)).join(ends, F.col("p") == F.col("node")).select("u", "v", "fp")
-    return here.groupBy("u", "v").applyInArrow(_finish(depth, budget), "src bigint, dst bigint")
+    return _finished(here, depth, budget)
+
+
+def _finished(groups: DataFrame, depth: int, budget: int) -> DataFrame:
+    return groups.groupBy("u", "v").applyInArrow(_finish(depth, budget), "src bigint, dst bigint")
 
 
 # ---- components ----------------------------------------------------------------------------------
