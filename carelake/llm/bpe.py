@@ -17,12 +17,13 @@ from functools import cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm.common import table, text_of
-from carelake.llm.pretokens import Memo, splitter
+from carelake.llm.pretokens import Memo, split
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -65,7 +66,6 @@ class Vocabulary:
         }
         self.fits: dict[int, bool] = {}
         self.ids = Memo(lambda piece: array("i", self.encode_piece(piece)).tobytes())
-        self.split = splitter(public_tokenizers.PATTERN)
 
     def fit(self, left: int, right: int) -> bool:
         """Whether the merges leave exactly these two tokens on their joined bytes."""
@@ -109,7 +109,7 @@ class Vocabulary:
             token = less
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.ids.__getitem__, self.split(text))), np.intc)
+        return np.frombuffer(b"".join(map(self.ids.__getitem__, split(text))), np.intc)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -146,7 +146,9 @@ def decode(tokens: DataFrame, path: str, ids_col: str, bytes_col: str) -> DataFr
         own = vocabulary(path)
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                found = [own.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in part.column(ids_col)]
+                lists = part.column(ids_col)
+                ids, ends = lists.flatten().to_numpy(), np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy())
+                found = [own.decode(x.tolist()) for x in np.split(ids, ends[:-1])]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], schema.names)
 
     return tokens.mapInArrow(run, schema)

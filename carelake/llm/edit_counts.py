@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from carelake.llm.bpe import read_ranks
 from carelake.llm.common import table, text_of
-from carelake.llm.pretokens import Memo, cuts, splitter
+from carelake.llm.pretokens import Memo, cuts, split
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pre-tokens in a leaf when a tree is built; a leaf four times as long makes the tree be built anew.
@@ -154,7 +154,7 @@ def build(texts: DataFrame, path: str, text_col: str) -> DataFrame:
         F.lit(0).cast("bigint").alias("n_tokens")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, split = counter(path), splitter()
+        count = counter(path)
         for batch in batches:
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 cut = [split(t.as_py() or "") for t in part.column(text_col)]

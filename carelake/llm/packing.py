@@ -9,6 +9,7 @@ of equal length. Ranks are counted within buckets, so a very common length isn't
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
@@ -21,13 +22,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from carelake.llm.common import table, text_of, written
-from carelake.llm.pretokens import splitter
+from carelake.llm.pretokens import Memo, split
 
 VOCABULARY = "byte_bpe_50k.json"
 SIZE = 1024
 END = 2
-#: Documents tokenised at a time, and pre-tokens remembered by a worker.
-CHUNK, REMEMBERED = 128, 800_000
+#: Documents tokenised at a time.
+CHUNK = 128
 _END = END.to_bytes(4, "little")
 ITERATIONS = 600
 
@@ -35,32 +36,31 @@ ITERATIONS = 600
 # ---- tokens --------------------------------------------------------------------------------------
 
 
+def _byte_characters() -> dict[int, str]:
+    """The character by which byte-level vocabularies write a byte: printable ones themselves, the others from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
+
+
 class _Encoder:
-    """Ids by the tokenizers library, asked once for each pre-token it remembers."""
+    """Ids by the tokenizers library's model, asked once for each pre-token it remembers.
+
+    The model knows no special tokens, so their strings in a text are ordinary text.
+    """
 
     def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # the strings of special tokens are ordinary text
-        self.split = splitter()
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text and the end, as unsigned 32-bit numbers, little endian."""
-        cut = [self.split(t) for t in texts]
-        new = set().union(*cut).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*cut)
-        self._learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) + _END for p in cut]
-
-    def _learn(self, new: list[str]) -> None:
-        found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-        data = np.array(found.ids, "<u4").tobytes()
-        ends = 4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(new) + 1))
-        for piece, a, b in zip(new, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            self.known[piece] = data[a:b]
+        self.model = Tokenizer.from_file(path).model
+        self.characters = _byte_characters()
+        self.ids = Memo(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        written_out = piece.encode().decode("latin-1").translate(self.characters)
+        return array("I", [t.id for t in self.model.tokenize(written_out)]).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text and the end, as unsigned 32-bit numbers, little endian."""
+        return b"".join(map(self.ids.__getitem__, split(text))) + _END
 
 
 @cache
@@ -85,7 +85,7 @@ def pieces(texts: DataFrame, path: str, text_col: str, size: int = SIZE) -> Data
         for batch in batches:
             for part in (batch.slice(i, CHUNK) for i in range(0, batch.num_rows, CHUNK)):
                 row, piece, start, length, ids = [], [], [], [], []
-                for i, found in enumerate(own.encode([t.as_py() or "" for t in part.column(text_col)])):
+                for i, found in enumerate(own.encode(t.as_py() or "") for t in part.column(text_col)):
                     n = len(found) // 4
                     for k, end in enumerate(range((n - 1) % size + 1, n + 1, size)):
                         begin = max(0, end - size) if k else 0

@@ -1,7 +1,8 @@
 """Pre-tokens: the pieces that a byte-level tokenizer's pattern cuts a text into.
 
-The pattern runs in the `regex` library, whose Unicode tables are newer than those in the tokenizer libraries. Code
-points that these class otherwise are replaced, for the cut only, by one of the right class.
+The cut runs in `re`, with a pattern of its own that cuts alike: its first alternative is the most common one, and no
+character can begin both that and a contraction. `re` classes some code points unlike the tokenizer libraries; for the
+cut only, these are replaced by one of the right class.
 """
 
 from __future__ import annotations
@@ -12,55 +13,58 @@ from collections.abc import Iterator
 from functools import cache
 
 import public_tokenizers
-import regex
 import tiktoken
 
+# The pattern that the vocabularies come with, and the classes it is made of.
+PATTERN = public_tokenizers.PATTERN
+_SAME_CUT = re.compile(r" ?[^\W\d_]+|'(?:[stmd]|re|ve|ll)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_CLASSES = {r"\p{L}": r"[^\W\d_]", r"\p{N}": r"\d", r"\s": r"\s"}
+_LIKE = {r"\p{L}": "a", r"\p{N}": "0", r"\s": "\t", "": "§"}
+
 
 @cache
 def _stand_ins() -> dict[int, str]:
-    """Code points that the tokenizer library classes unlike `regex`, found by asking the library itself."""
+    """Code points that the tokenizer library classes unlike `re`, found by asking the library itself."""
     points = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
     single = {bytes([i]): i for i in range(256)}
-    table: dict[int, str] = {}
-    classes = []
-    for pattern in (r"\p{L}", r"\p{N}"):
-        theirs = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=single, special_tokens={})
-        classes.append((set(bytes(theirs.encode_ordinary(points)).decode()), set(regex.findall(pattern, points))))
-    for (theirs, ours), like in zip(classes, "a0", strict=True):
-        table |= {ord(c): "§" for c in ours - theirs}
-        table |= {ord(c): like for c in theirs - ours}
-    return table
+    theirs, ours = {}, {}
+    for name, own in _CLASSES.items():
+        matched = tiktoken.Encoding("class", pat_str=name, mergeable_ranks=single, special_tokens={}).encode_ordinary(points)
+        theirs |= dict.fromkeys(bytes(matched).decode(), name)
+        ours |= dict.fromkeys(re.findall(own, points), name)
+    odd = (c for c in theirs.keys() | ours.keys() if theirs.get(c, "") != ours.get(c, ""))
+    return {ord(c): _LIKE[theirs.get(c, "")] for c in odd}
 
 
 @cache
-def _odd() -> set[str]:
-    return set(map(chr, _stand_ins()))
+def _maybe_odd():
+    """Search for the odd code points, of those beyond the basic plane for any."""
+    low = sorted(c for c in _stand_ins() if c < 0x10000)
+    ranges: list[list[int]] = []
+    for c in low:
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return re.compile("[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in ranges) + "\\U00010000-\\U0010ffff]").search
 
 
-@cache
-def splitter(pattern: str = public_tokenizers.PATTERN):
-    """Function text -> list of its pre-tokens, which together are the text."""
-    find = regex.compile(pattern).findall
-    spans = regex.compile(pattern).finditer
-    table = _stand_ins()
-    odd = _odd()
-    maybe = re.compile(f"[{re.escape(min(odd, default=chr(sys.maxunicode)))}-{chr(sys.maxunicode)}]").search
+def _regular(text: str) -> str:
+    """The text itself, or one of as many code points that `re` cuts as the library would cut the text."""
+    return text.translate(_stand_ins()) if _maybe_odd()(text) else text
 
-    def split(text: str) -> list[str]:
-        if text.isascii() or not maybe(text) or odd.isdisjoint(text):
-            return find(text)
-        return [text[m.start() : m.end()] for m in spans(text.translate(table))]
 
-    return split
+def split(text: str) -> list[str]:
+    """The pre-tokens of a text, which together are the text."""
+    regular = _regular(text)
+    if regular is text or regular == text:
+        return _SAME_CUT.findall(text)
+    return [text[m.start() : m.end()] for m in _SAME_CUT.finditer(regular)]
 
 
 def cuts(text: str, start: int) -> Iterator[str]:
     """The pre-tokens from code point `start` on, one at a time, as if the text began there."""
-    table = _stand_ins()
-    rest = text
-    if not text.isascii() and not _odd().isdisjoint(text):
-        rest = text.translate(table)
-    return (text[m.start() : m.end()] for m in regex.compile(public_tokenizers.PATTERN).finditer(rest, start))
+    return (text[m.start() : m.end()] for m in _SAME_CUT.finditer(_regular(text), start))
 
 
 class Memo(dict):
