@@ -72,7 +72,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) >= 2_000_000:
+            if len(self.fits) >= 800_000:
                 self.fits.clear()
             a, b = self.bytes_of[left], self.bytes_of[right]
             known = self.fits[key] = merged(a + b, self.ranks, self.nothing) == [a, b]

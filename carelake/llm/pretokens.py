@@ -70,7 +70,7 @@ def cuts(text: str, start: int) -> Iterator[str]:
 class Memo(dict):
     """Results by pre-token, filled on first use and emptied when it holds `most`; a task needs no more memory."""
 
-    def __init__(self, make, most: int = 800_000):
+    def __init__(self, make, most: int = 600_000):
         super().__init__()
         self.make, self.most = make, most
 
