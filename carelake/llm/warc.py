@@ -134,7 +134,8 @@ class Writer:
         self.uri = f"{folder}/part-{uuid.uuid4().hex}.warc.zst"
         system, path = _files(self.uri)
         system.create_dir(path.rpartition("/")[0], recursive=True)
-        self.out = system.open_output_stream(path)
+        # the name would make pyarrow compress the whole archive once more
+        self.out = system.open_output_stream(path, compression=None)
         self.held: list[bytes] = []
         self.compressor: zstandard.ZstdCompressor | None = None
         self.records = self.raw = self.bytes = 0
@@ -172,7 +173,7 @@ class Writer:
 def read_archive(uri: str) -> Iterator[dict]:
     """The records of an archive in order, with the offset of their frames; a chunk and a record are held at a time."""
     system, path = _files(uri)
-    with system.open_input_stream(path) as source:
+    with system.open_input_stream(path, compression=None) as source:
         head = source.read(8)
         if len(head) < 8 or struct.unpack("<I", head[:4])[0] != DICTIONARY_FRAME:
             raise ValueError(f"{uri}: no dictionary frame at its start")
