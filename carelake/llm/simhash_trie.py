@@ -205,14 +205,17 @@ def _descend(fps: DataFrame, pairs: DataFrame | None, depth: int, budget: int) -
     nodes = written(nodes.withColumn("up", F.shiftrightunsigned("node", STEP)), "op9-level")
     masks = F.array(*(F.lit(m).cast("bigint") for m in _masks(budget)))
     if pairs is None:
-        left = nodes.select(F.col("up").alias("v"), F.lit(0).alias("d"), F.col("node").alias("a"), F.col("size").alias("na"))
+        left = nodes.select(
+            F.col("up").alias("u"), F.col("up").alias("v"), F.lit(0).alias("d"), F.col("node").alias("a"), F.col("size").alias("na"))
     else:
-        left = pairs.join(nodes, pairs.u == nodes.up).select("v", "d", F.col("node").alias("a"), F.col("size").alias("na"))
+        left = pairs.join(nodes, pairs.u == nodes.up).select(
+            "u", "v", "d", F.col("node").alias("a"), F.col("size").alias("na"))
     left = left.withColumn("mask", F.explode(masks)).filter(F.col("d") + F.bit_count("mask") <= budget)
     low = F.col("a").bitwiseAND(F.lit((1 << STEP) - 1))
     left = left.withColumn("b", F.shiftleft("v", STEP).bitwiseOR(low.bitwiseXOR(F.col("mask"))))
     other = nodes.select(F.col("node").alias("b2"), F.col("size").alias("nb"))
-    both = left.join(other, left.b == other.b2).filter("a <= b")
+    # of a node with itself each pair of children once; whole fingerprints are signed, but share their sign there
+    both = left.join(other, left.b == other.b2).filter("u <> v or a <= b")
     return both.select(
         F.col("a").alias("u"), F.col("b").alias("v"), (F.col("d") + F.bit_count("mask")).cast("int").alias("d"),
         F.when(F.col("a") == F.col("b"), F.col("na")).otherwise(F.col("na") + F.col("nb")).alias("n"))
