@@ -1,0 +1,96 @@
+"""Operator 8: after any edits the tree equals one built from the edited text."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import public_tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from carelake.llm import edit_counts
+from carelake.llm.pretokens import split
+from carelake.llm.queries import QUERIES
+
+PATH = public_tokenizers.path(edit_counts.VOCABULARY)
+COUNT = edit_counts.counter(PATH)
+TEXT = st.text(st.sampled_from("ab1'strel \n\t!?é\x1c½日"), max_size=80)
+
+
+def tree(text):
+    pieces = split(text)
+    return edit_counts.Tree([len(p) for p in pieces], [COUNT[p] for p in pieces])
+
+
+def same(own, text):
+    assert own.flat() == tree(text).flat()
+    assert own.n_tokens == sum(COUNT[p] for p in split(text)) and own.chars[1] == len(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXT, st.lists(st.tuples(st.integers(0, 90), st.integers(0, 30), TEXT), max_size=6))
+def test_any_edits(text, edits):
+    own = tree(text)
+    for pos, removed, inserted in edits:
+        at = min(pos, len(text))
+        wanted = text[:at] + inserted + text[at + removed :]
+        text, _ = own.edit(text, pos, removed, inserted, COUNT)
+        assert text == wanted
+        same(own, text)
+
+
+def test_long_text_is_not_encoded_again():
+    chance = random.Random(2)
+    text = " ".join(chance.choice(["the", "of", "thndou,", "9", "é.\n"]) for _ in range(20_000))
+    own = tree(text)
+    for _ in range(40):
+        text, again = own.edit(text, chance.randint(0, len(text)), 3, " new words", COUNT)
+        assert again < 12
+    same(own, text)
+    text, _ = own.edit(text, 100, 0, "word " * 2000, COUNT)  # a leaf that outgrows its size
+    same(own, text)
+    text, _ = own.edit(text, 50, len(text), "", COUNT)
+    same(own, text)
+
+
+def test_query(spark, parquet):
+    texts = {1: "Hello world, it's\n\n fine", 2: None, 3: "", 4: "ab " * 20_000, None: "x"}
+    rows = [(k, v, 1, "e") for k, v in texts.items()] + [(1, texts[1], 1, "e")]
+    got = QUERIES["op8_edit_counts"](spark, parquet("documents", rows, "doc_id bigint, text string, counts int, edits string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = texts[r.doc_id] or ""
+        assert r.pretokens_before == len(split(text)) and r.tokens_before == sum(COUNT[p] for p in split(text))
+
+
+def test_trees_as_rows(spark):
+    text = "the old text of a document. " * 300
+    edits = [(5, 3, "new"), (None, None, None), (10_000, 4, "end"), (0, 0, "x\n")]
+    docs = spark.createDataFrame([(1, text), (2, None)], "doc_id bigint, text string")
+    log = spark.createDataFrame([(1, i, *e) for i, e in enumerate(edits)], "doc_id bigint, at int, pos bigint, removed bigint, inserted string")
+    trees = edit_counts.build(docs, PATH, "text").join(edit_counts.gathered(log, "doc_id", "at"), "doc_id", "left")
+    got = {r.doc_id: r for r in edit_counts.apply(trees, PATH, "text", "edits").collect()}
+    for pos, removed, inserted in edits:
+        at = min(pos or 0, len(text))
+        text = text[:at] + (inserted or "") + text[at + (removed or 0) :]
+    assert got[1].text == text and got[1].n_tokens == sum(COUNT[p] for p in split(text))
+    assert got[1].n_pretokens == len(split(text)) and got[1].reencoded < 60
+    assert got[2].text == "" and got[2].n_tokens == 0
+
+
+def test_edited_digest_is_of_the_edited_text(spark, parquet):
+    folder = parquet("documents", [(1, "some words that are edited")], "doc_id bigint, text string")
+    r = QUERIES["op8_edit_counts"](spark, folder).first()
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    edits = docs.select(edit_counts.derived_edits(docs.doc_id, docs.text).alias("e")).first().e
+    text = "some words that are edited"
+    for e in edits:
+        at = min(e.pos, len(text))
+        text = text[:at] + e.inserted + text[at + e.removed :]
+    assert r.edited_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert r.tokens_after == sum(COUNT[p] for p in split(text))
+
+
+def test_empty_table(spark, parquet):
+    assert QUERIES["op8_edit_counts"](spark, parquet("documents", [], "doc_id bigint, text string")).collect() == []

@@ -1,0 +1,56 @@
+"""Operator 2: held-out accuracy, and each kind of evidence on its own."""
+
+from __future__ import annotations
+
+from carelake.llm import language_id
+from carelake.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "page_id bigint, url string, html string, posterior double, lang string"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars > 80")
+    model = language_id.fit(docs.filter("doc_id % 4 <> 0"), "text", "lang")
+    held = docs.filter("doc_id % 4 = 0").select("lang", "text").collect()
+    right = sum(model.langs[int(model.posterior(r.text).argmax())] == r.lang for r in held)
+    assert right >= 0.97 * len(held)
+
+
+def found(spark, rows):
+    model = language_id.fit(spark.read.parquet(f"{SF}/documents.parquet"), "text", "lang")
+    pages = spark.createDataFrame([(*r, 0.0, "zz") for r in rows], SCHEMA)
+    return {r.id: r for r in language_id.identify(pages, model, "page_id", "url", "html").collect()}
+
+
+GERMAN = "Der einen und die Keit. Über schön für den enlich der einen."
+
+
+def test_host_and_markup_decide_where_the_text_does_not(spark):
+    hosts = [(i, "http://a.example.de/x", f"<html lang='de'><p>{GERMAN}</p></html>") for i in range(30)]
+    french = "Le étre de la pour elle est une ément, que les aient eaux."
+    other = [(100 + i, "http://b.example.fr/x", f"<html lang=fr><p>{french}</p></html>") for i in range(30)]
+    rows = [*hosts, *other, (50, "http://a.example.de/y", ""), (51, None, "<html lang=\"fr\"></html>"), (52, "http://new.example.de/", None)]
+    got = found(spark, rows)
+    assert got[50].lang == "de" and got[51].lang == "fr" and got[52].lang == "de"
+    assert got[0].text_lang == got[0].lang == "de"
+
+
+def test_nulls_and_repeated_rows(spark):
+    got = found(spark, [(1, None, None), (2, "", ""), (2, "", ""), (None, "http://x.org", GERMAN)])
+    assert set(got) == {1, 2, None}
+    assert got[None].lang == "de"
+
+
+def test_evidence(spark):
+    html = "<!doctype html><HTML class=a LANG='EN-us'><script>var x='<p>'</script><p>one&amp;two<!-- no --></p>"
+    pages = spark.createDataFrame([(1, "https://u@WWW.Example.co.uk:80/a?b", html)], "id bigint, u string, h string")
+    r = language_id.evidence(pages, "id", "u", "h").first()
+    assert (r.declared, r.suffix, r.domain, r.host) == ("en", "uk", "co.uk", "www.example.co.uk")
+    assert r.text.split() == ["one", "two"]
+
+
+def test_empty_pages(spark, parquet):
+    folder = parquet("documents", [(1, "the of and", "en")], "doc_id bigint, text string, lang string")
+    parquet("pages", [], "page_id bigint, url string, html string")
+    assert QUERIES["op2_language_id"](spark, folder).collect() == []

@@ -1,0 +1,73 @@
+"""The pipeline: what each stage lets through, against brute force on the smallest documents, and planted cases."""
+
+from __future__ import annotations
+
+import re
+
+import corpus_pipeline
+from tests.llm.test_simhash_trie import plain_components, plain_fingerprint
+
+SF = "/root/testdata/sf0.001"
+
+
+def stage(spark, name, docs, tmp_path):
+    function = dict(corpus_pipeline.STAGES)[name]
+    path = f"{tmp_path}/{name}"
+    function(spark, docs, SF).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_stages(spark, tmp_path):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "near_duplicates", "secret_scan", "packing"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clean = stage(spark, "quality_rules", docs, tmp_path)
+    unique = stage(spark, "exact_dedup", clean, tmp_path)
+    firsts = {}
+    for r in sorted(clean.collect(), key=lambda r: r.doc_id):
+        firsts.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", r.text), r.doc_id)
+    assert sorted(r.doc_id for r in unique.collect()) == sorted(firsts.values())
+
+    apart = stage(spark, "near_duplicates", unique, tmp_path)
+    prints = {r.doc_id: plain_fingerprint(r.text) for r in unique.collect()}
+    root, lows = plain_components(prints.values()), {}
+    for i, p in prints.items():
+        lows[root[p]] = min(i, lows.get(root[p], i))
+    assert sorted(r.doc_id for r in apart.collect()) == sorted(lows.values())
+
+    safe = stage(spark, "secret_scan", apart, tmp_path)
+    assert safe.count() == apart.count() and safe.columns == docs.columns
+    assert safe.filter("text rlike 'AKIA[0-9A-Z]{16}'").count() == 0
+
+    packed = stage(spark, "packing", safe, tmp_path)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in safe.select("doc_id").collect()}
+    assert packed.groupBy("sequence_id").sum("length").filter("`sum(length)` > 1024").count() == 0
+
+
+def test_run_gives_the_last_stage(spark):
+    out = corpus_pipeline.run(spark, SF)
+    assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(out.columns)
+    assert out.count() > 100
+
+
+def test_extra_columns_go_through(spark, tmp_path):
+    names = ("doc_id bigint, text string, lang string, source string, n_chars bigint, _at string, _file int, digest int,"
+             " norm string, fp string, start int, kept boolean")
+    text = "The committee met on Tuesday and agreed on the plan for the next year."
+    rows = [(i, f"{text} {'abcdefgh'[i % 8]} {i % 5}", "en", None, 1, "a", 1, 2, "n", "f", 3, False) for i in range(30)]
+    rows += [(None, None, None, None, None, None, None, None, None, None, None, None)] * 2
+    path = f"{tmp_path}/given"
+    spark.createDataFrame(rows, names).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for name, _ in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, name, docs, tmp_path)
+        assert docs.columns == [x.split()[0] for x in names.split(", ")]
+        assert 0 < docs.count() <= 32
+
+
+def test_empty_documents(spark, tmp_path):
+    path = f"{tmp_path}/given"
+    spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(path)
+    docs = spark.read.parquet(path)
+    for name, _ in corpus_pipeline.STAGES:
+        docs = stage(spark, name, docs, tmp_path)
+        assert docs.count() == 0

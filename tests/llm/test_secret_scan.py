@@ -1,0 +1,81 @@
+"""Operator 3: spans, held-out accuracy, redaction."""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from carelake.llm import secret_scan
+from carelake.llm.common import located
+
+SCHEMA = "doc_id bigint, text string, source string, n_chars bigint, pos int, score int, file string"
+
+
+def key(i: int, n: int = 40) -> str:
+    return hashlib.sha256(str(i).encode()).hexdigest()[:n]
+
+
+def corpus() -> list[tuple]:
+    rows = []
+    for i in range(60):
+        rows.append((i, f'the token = "{key(i)}" and password={key(1000 + i, 18)} of', "src", None, 1, 2, "f"))
+        rows.append((100 + i, f"some extraordinarilylongwordindeed{'abcdefgh'[i % 8]} and internationalization{'xyz'[i % 3]} here", "src", None, 1, 2, "f"))
+        rows.append((200 + i, f"call {4000000000000000 + i * 7919} now", "src", None, 1, 2, "f"))
+    return rows
+
+
+def scanned(spark, tmp_path, rows):
+    path = f"{tmp_path}/docs"
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.mode("overwrite").parquet(path)
+    docs, at = located(spark.read.parquet(path), True, "t")
+    return docs, at, secret_scan.scan(docs, at, "text", "source")
+
+
+def test_finds_secrets_and_leaves_words_and_numbers(spark, tmp_path):
+    _, _, found = scanned(spark, tmp_path, corpus())
+    got = {(r.candidate, r.secret) for r in found.collect()}
+    assert {key(i) for i in range(60)} <= {c for c, s in got if s}
+    assert not any(s for c, s in got if "word" in c or c.startswith("4000"))
+
+
+def test_spans_are_code_points(spark, tmp_path):
+    text = f"é😀 {key(1)}\n{key(2)} x"
+    _, _, found = scanned(spark, tmp_path, [(1, text, None, None, 1, 2, "f")])
+    for r in found.collect():
+        assert text[r.start : r.start + r.length] == r.candidate
+
+
+def test_held_out_accuracy(spark, tmp_path):
+    docs, at, _ = scanned(spark, tmp_path, corpus())
+    words = secret_scan.dictionary(spark, secret_scan.public_tokenizers.path(secret_scan.DICTIONARY))
+    known = secret_scan.features(secret_scan.labelled_by_format(secret_scan.candidates(docs, at, "text", "source")), words)
+    part = F.pmod(F.xxhash64("candidate"), F.lit(4))
+    forest = secret_scan.train(known.filter(part != 0))
+    held = secret_scan.scored(known.filter(part == 0), forest)
+    n, right = held.agg(F.count("*"), F.sum((F.col("secret") == (F.col("label") == 1)).cast("int"))).first()
+    assert n > 20 and right >= 0.95 * n
+
+
+def test_stage_redacts_and_keeps_everything_else(spark, tmp_path):
+    rows = [*corpus(), (900, None, None, 5, 1, 2, "f"), (901, "", "x", 0, 1, 2, "f"), (None, f"token: '{key(5)}' é", "x", 3, 1, 2, "f")]
+    rows += [rows[0], rows[0]]
+    docs, _, _ = scanned(spark, tmp_path, rows)
+    plain = spark.read.parquet(f"{tmp_path}/docs")
+    out = secret_scan.stage(spark, plain, "")
+    assert out.columns == plain.columns and out.count() == len(rows)
+    by = {r.doc_id: r for r in out.collect()}
+    assert by[0].text == 'the token = "[SECRET]" and password=[SECRET] of' and by[0].n_chars == len(by[0].text)
+    assert by[None].text == "token: '[SECRET]' é"
+    assert by[900].text is None and by[901].text == ""
+    assert by[100].text == rows[1][1]
+
+
+def test_no_candidates_and_empty_table(spark, tmp_path):
+    assert scanned(spark, tmp_path, [(1, "plain words", "s", 1, 1, 2, "f")])[2].collect() == []
+    assert scanned(spark, tmp_path, [])[2].collect() == []
+
+
+def test_native(spark, tmp_path):
+    plan = scanned(spark, tmp_path, corpus())[2]._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,144 @@
+"""Operator 9 against all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
+
+from carelake.llm import simhash_trie
+from carelake.llm.queries import QUERIES
+
+
+def plain_fingerprint(text, k=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + k]).encode(), 42) for i in range(max(1, len(words) - k + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, budget=2):
+    """Fingerprint -> smallest fingerprint of its component, over all pairs."""
+    prints = sorted(set(prints))
+    root = {p: p for p in prints}
+
+    def find(p):
+        while root[p] != p:
+            p = root[p]
+        return p
+
+    for i, a in enumerate(prints):
+        for b in prints[:i]:
+            if (a ^ b).bit_count() <= budget:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {p: find(p) for p in prints}
+
+
+def crowd(seed, n):
+    """Random fingerprints, chains of near ones, and crowds that share long prefixes."""
+    chance = random.Random(seed)
+    out = {0, 1, 2**64 - 1, 2**63}
+    for _ in range(n):
+        p = chance.getrandbits(64)
+        for _ in range(chance.choice([1, 1, 2, 6])):
+            out.add(p)
+            for _ in range(chance.choice([1, 2, 3])):
+                p ^= 1 << chance.randrange(64)
+    prefix = chance.getrandbits(64)
+    out |= {prefix ^ chance.getrandbits(8) for _ in range(n)}
+    return sorted(out)
+
+
+def test_fingerprint():
+    for text in ("", " \n", "One", "a b", "À B c D e f g g g g", "x\x0by\x1cz w q", "word " * 70_000):
+        assert simhash_trie.fingerprint(text, 3) == plain_fingerprint(text)
+
+
+def test_linked_finds_exactly_the_near_pairs():
+    prints = np.array(crowd(1, 300), np.uint64)
+    i, j = simhash_trie.linked(prints, prints, 0, 2)
+    wanted = {(a, int(b)) for a in range(len(prints)) for b in np.nonzero(np.bitwise_count(prints ^ prints[a]) <= 2)[0]}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == wanted and len(i) == len(wanted)
+
+
+def test_join_at_every_size_of_subtree(spark):
+    """However soon node pairs are finished, the components are those of all pairs."""
+    prints = crowd(2, 120)
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    fps = spark.createDataFrame([(p,) for p in signed], "fp bigint").repartition(3)
+    wanted = plain_components(prints)
+    for small in (1, 12, 10_000):
+        found = simhash_trie.components(simhash_trie.links(fps, 2, small)).collect()
+        root = {r.node % 2**64: r.root % 2**64 for r in found}
+        groups = {}
+        for p in prints:
+            groups.setdefault(root.get(p, p), set()).add(p)
+        expected = {}
+        for p, r in wanted.items():
+            expected.setdefault(r, set()).add(p)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values())), small
+
+
+def test_components_of_long_chains_and_stars(spark):
+    edges = [(i + 1, i) for i in range(200)] + [(1000, 2000 + i) for i in range(300)] + [(5, 5)]
+    found = {r.node: r.root for r in simhash_trie.components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()}
+    assert all(found[i] == 0 for i in range(1, 201)) and all(found[2000 + i] == 1000 for i in range(300))
+    assert 0 not in found and 1000 not in found
+
+
+def texts():
+    chance = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    out = [None, "", " \n ", "one", "ONE", "one two"]
+    for _ in range(25):
+        base = [chance.choice(words) for _ in range(120)]
+        for _ in range(chance.choice([1, 2, 5])):
+            copy = list(base)
+            for _ in range(chance.choice([0, 1])):
+                copy[chance.randrange(len(copy))] = chance.choice(words)
+            out.append(" ".join(copy))
+    return out
+
+
+def test_query(spark, parquet):
+    rows = [(i * 31 % 997, t, 1, "r") for i, t in enumerate(texts())] + [(None, "", 1, "r"), (None, "lonely text here", 1, "r")]
+    got = QUERIES["op9_simhash_trie"](spark, parquet("documents", rows, "doc_id bigint, text string, fp int, root string")).collect()
+    assert len(got) == len(rows)
+    prints = {(i, t): plain_fingerprint(t) for i, t, *_ in rows}
+    root = plain_components(prints.values())
+    lows = {}
+    for (i, _), p in prints.items():
+        if i is not None:
+            lows[root[p]] = min(i, lows.get(root[p], i))
+    wanted = sorted((str(i), f"{p:016x}", lows.get(root[p])) for (i, _), p in prints.items())
+    assert sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in got) == sorted(wanted, key=str) or sorted(
+        ((str(r.doc_id), r.fingerprint, r.component_id) for r in got), key=str) == sorted(wanted, key=str)
+
+
+def test_stage_keeps_one_of_each_group(spark, parquet):
+    rows = [(i, t, 1) for i, t in enumerate(texts())] + [(1, "", 1), (None, "one", 1)]
+    folder = parquet("documents", rows, "doc_id bigint, text string, file int")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = simhash_trie.stage(spark, docs, folder)
+    assert out.columns == docs.columns
+    root = plain_components(plain_fingerprint(t) for _, t, _ in rows)
+    firsts = {}
+    for i, t, _ in rows:
+        if i is not None:
+            r = root[plain_fingerprint(t)]
+            firsts[r] = min(i, firsts.get(r, i))
+    assert sorted(r.doc_id for r in out.collect()) == sorted(firsts.values())
+
+
+def test_empty_table(spark, parquet):
+    assert QUERIES["op9_simhash_trie"](spark, parquet("documents", [], "doc_id bigint, text string")).collect() == []
+
+
+def test_hex_is_unsigned(spark):
+    row = spark.createDataFrame([(-1,)], "fp bigint").select(F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("h")).first()
+    assert row.h == "f" * 16

@@ -1,0 +1,81 @@
+"""Operator 4: round trip, and archives that are not sound."""
+
+from __future__ import annotations
+
+import hashlib
+import struct
+
+import pytest
+import zstandard
+
+from carelake.llm import warc
+from carelake.llm.queries import QUERIES
+
+
+def archive(folder, payloads):
+    writer = warc.Writer(str(folder))
+    for i, p in enumerate(payloads):
+        writer.add(warc.record("response", f"urn:page:{i}:0", "http://x/\r\ny", hashlib.sha256(p).hexdigest(), len(p), p, None))
+    return writer.close()
+
+
+@pytest.mark.parametrize("payloads", [[b"x"], [b""] * 3, [b"a\r\n\r\nb" * i for i in range(400)], [b"q" * 3_000_000, b"z"]])
+def test_round_trip(tmp_path, payloads):
+    uri, records, size = archive(tmp_path, payloads)
+    back = list(warc.read_archive(uri))
+    assert [r["payload"] for r in back] == payloads and records == len(payloads)
+    data = open(uri, "rb").read()
+    assert len(data) == size
+    assert struct.unpack("<I", data[:4])[0] == warc.DICTIONARY_FRAME
+    for r in back:  # each record is a frame of its own
+        assert data[r["offset"] : r["offset"] + 4] == struct.pack("<I", warc.ZSTD_FRAME)
+
+
+def test_plain_dictionary_frame(tmp_path):
+    """The dictionary may also lie in its frame uncompressed."""
+    uri, _, _ = archive(tmp_path, [b"payload %d" % i * 20 for i in range(300)])
+    data = open(uri, "rb").read()
+    n = struct.unpack("<I", data[4:8])[0]
+    plain = zstandard.ZstdDecompressor().decompress(data[8 : 8 + n])
+    other = tmp_path / "plain.warc.zst"
+    other.write_bytes(struct.pack("<II", warc.DICTIONARY_FRAME, len(plain)) + plain + data[8 + n :])
+    assert len(list(warc.read_archive(str(other)))) == 300
+
+
+def test_unsound_archives(tmp_path):
+    uri, _, _ = archive(tmp_path, [b"abc" * 50, b"def" * 50])
+    data = open(uri, "rb").read()
+    bad = tmp_path / "bad.warc.zst"
+    for broken in (data[:-3], data[:20], data[8:], b"", data[:-40] + b"\0" * 40):
+        bad.write_bytes(broken)
+        with pytest.raises(ValueError, match=r"frame|record"):
+            list(warc.read_archive(str(bad)))
+
+
+def test_unsound_records():
+    good = warc.record("response", "urn:page:1:0", "u", hashlib.sha256(b"abc").hexdigest(), 3, b"abc", None)
+    assert warc.parse(good)["payload"] == b"abc"
+    for old, new in ((b"abc", b"abd"), (b"WARC/1.1", b"WARC/9"), (b"WARC-Date", b"X-Date"), (b"Length: 3", b"Length: 4"),
+                     (b"response\r\n", b"other\r\n"), (b"HTTP/1.1", b"SMTP"), (b"\r\n\r\nabc\r\n\r\n", b"\r\n\r\nabc\r\n")):
+        with pytest.raises(ValueError):
+            warc.parse(good.replace(old, new, 1))
+
+
+def test_query(spark, parquet):
+    long, rows = "é" * 60, []
+    rows = [(i, "http://x", long, 1) for i in (9, 3, 7)] + [(1, None, None, 1), (2, "u", "", 1), (4, "u", "s" * 99, 1),
+            (5, "u", "s" * 99, 1), (3, "http://x", long, 1), (None, "u", long, 1), (6, "u", "t" * 100, 1)]
+    folder = parquet("pages", rows, "page_id bigint, url string, html string, payload int")
+    got = QUERIES["op4_warc_zstd"](spark, folder).collect()
+    assert len(got) == len(rows)
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    assert sorted((str(r.page_id), r.payload_bytes, r.payload_digest) for r in got) == sorted(
+        (str(i), len((t or "").encode()), sha(t)) for i, _, t, _ in rows)
+    of_long = [r for r in got if r.payload_digest == sha(long)]
+    assert [r.page_id for r in of_long if r.record_type == "response"] == [3]
+    assert all(r.refers_to == 3 for r in of_long if r.record_type == "revisit") and len(of_long) == 5
+    assert all(r.record_type == "response" and r.refers_to is None for r in got if r.payload_digest != sha(long))
+
+
+def test_empty_table(spark, parquet):
+    assert QUERIES["op4_warc_zstd"](spark, parquet("pages", [], "page_id bigint, url string, html string")).collect() == []
