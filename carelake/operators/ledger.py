@@ -27,3 +27,12 @@ def dates_to_process(available: DataFrame, ledger: DataFrame, force: bool = Fals
         last = ledger.groupBy("source_date").agg(F.max_by("success", "synced_at").alias("success"))
         dates = dates.join(last.filter("success"), "source_date", "left_anti")
     return dates.orderBy("source_date")
+
+
+def loaded_files(records: DataFrame) -> DataFrame:
+    """(source_file) of the files whose last record says that they were loaded.
+
+    `records` holds one row per attempt: source_file, recorded_at, loaded.
+    """
+    last = records.groupBy("source_file").agg(F.max_by("loaded", F.struct("recorded_at", "loaded")).alias("loaded"))
+    return last.filter("loaded").select("source_file")

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,18 @@ _LEDGER = T.StructType([
     T.StructField("success", T.BooleanType()),
     T.StructField("error", T.StringType()),
 ])
+# One row per attempt to load a file into a bronze table; the file is loaded if its last row says so.
+_LOADS = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("source_file", T.StringType()),
+    T.StructField("recorded_at", T.TimestampType()),
+    T.StructField("loaded", T.BooleanType()),
+])
+# Conditions under which Spark reports that a delivered file, not the cluster, is at fault.
+_FILE_FAULTS = (
+    "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "MALFORMED_", "UNABLE_TO_INFER_SCHEMA", "PARQUET_",
+    "FAILED_MERGE_SCHEMA", "CANNOT_MERGE_SCHEMAS", "UNRESOLVED_COLUMN",
+)
 _REJECTS = T.StructType([
     T.StructField("reason", T.StringType()),
     T.StructField("record", T.StringType()),
@@ -85,20 +99,23 @@ class Warehouse:
         self.silver = TableStore(
             spark, folders.under("silver"),
             {**schemas.SILVER, "stay_index": _stay_index_schema()})
-        self.admin = TableStore(spark, folders.under("admin"), {"lake_sync": _LEDGER})
+        self.admin = TableStore(spark, folders.under("admin"), {"lake_sync": _LEDGER, "bronze_loads": _LOADS})
 
     # ---- lake ------------------------------------------------------------------------------------
 
     def sync_lake(self, force: bool = False) -> list[str]:
         """Pseudonymise the drops of every date not yet synchronised; returns their files.
 
-        All dates go through one job per kind. If that fails, the dates are halved until the bad one
-        stands alone: it is recorded as failed and tried again by the next run.
+        All dates go through one job per kind. If a delivered file cannot be read, the dates are halved
+        until the bad one stands alone: it is recorded as failed and tried again by the next run. Any
+        other error, such as a full disk, is raised at once.
         """
         files = drops.list_files(self.spark, self.folders.drops)
         due = ledger.dates_to_process(files, self.admin.read("lake_sync"), force)
         # one row per delivered file of the new dates: file names, never file content
         listed = files.join(due, "source_date").orderBy("source_date", "source_file").collect()
+        if force and listed:  # until they are through again, these dates don't count as synchronised
+            self._record_sync(sorted({f.source_date for f in listed}), "being synchronised again")
         return self._sync(listed) if listed else []
 
     def _sync(self, files: list) -> list[str]:
@@ -107,10 +124,11 @@ class Warehouse:
             for kind in drops.FILE_OF:
                 of_kind = [f for f in files if f.kind == kind]
                 if of_kind:
-                    large = [f.path for f in of_kind if f.bytes > drops.WHOLE_FILE_BYTES]
-                    raw = drops.read(self.spark, kind, [f.path for f in of_kind], large)
-                    self.lake.replace_files(kind, privacy.to_lake(kind, raw, self.secret))
-        except Exception as error:  # noqa: BLE001 - whatever a delivery can break is recorded
+                    raw = drops.read(self.spark, kind, [f.path for f in of_kind])
+                    self.lake.replace_files(kind, privacy.to_lake(kind, raw, self.secret), of_kind)
+        except Exception as error:
+            if not is_file_fault(error):
+                raise
             if len(dates) == 1:
                 self._record_sync(dates, str(error)[:runlog.ERROR_CHARS])
                 return []
@@ -128,38 +146,45 @@ class Warehouse:
     # ---- bronze ----------------------------------------------------------------------------------
 
     def load_bronze(self, force: bool = False) -> list[str]:
-        """Load the lake files bronze does not hold yet; returns them.
+        """Load the lake files that were not loaded yet; returns them.
 
-        `force` loads every lake file again, each replacing its own rows.
+        A file counts as loaded only by its record, written after its rows and its rejects are: a load
+        cut short anywhere is done again as a whole. `force` loads every lake file again, each replacing
+        its own rows and rejects; until that is done its record says that it is not loaded.
         """
         loaded: list[str] = []
         for kind in FLOW_KINDS:
             table = bronze.TABLE_OF[kind]
             files = self.lake.files([kind])
             if not force:
-                held = self.bronze.files([table]).select("source_file").unionByName(
-                    self.rejects.files([table]).select("source_file"))
-                files = ledger.unseen(files, held)
-            new = sorted(row.source_file for row in files.select("source_file").collect())
+                files = ledger.unseen(files, self._loaded(table))
+            new = files.orderBy("source_file").collect()  # one row per file of this kind, names only
             if new:
+                names = [f.source_file for f in new]
+                if force:
+                    self._record_load(table, names, False)
                 # a predicate on partition columns: only the new files' partitions are scanned
-                rows = self.lake.read(kind).filter(F.col("source_file").isin(new))
-                self._write_bronze(table, bronze.tagged(kind, rows), self.bronze.replace_files)
-                loaded += new
+                rows = self.lake.read(kind).filter(F.col("source_file").isin(names))
+                tagged = bronze.tagged(kind, rows)
+                self.rejects.replace_files(table, _rejects(tagged), new)
+                self.bronze.replace_files(table, quality.valid(tagged), new, stamp="ingested_at")
+                self._record_load(table, names, True)
+                loaded += names
         for kind in drops.REFERENCE_KINDS:
             snapshot = newest_snapshot(self.lake.read(kind))
             if not snapshot.isEmpty():
-                self._write_bronze(
-                    bronze.TABLE_OF[kind], bronze.tagged(kind, snapshot), self.bronze.replace_table)
+                table, tagged = bronze.TABLE_OF[kind], bronze.tagged(kind, snapshot)
+                self.rejects.replace_table(table, _rejects(tagged))
+                self.bronze.replace_table(table, quality.valid(tagged), stamp="ingested_at")
         return loaded
 
-    def _write_bronze(self, table: str, tagged: DataFrame, write) -> None:
-        bad = quality.rejected(tagged).select(
-            F.col(quality.REASON).alias("reason"),
-            F.to_json(F.struct(*(c for c in tagged.columns if c != quality.REASON))).alias("record"),
-            "source_date", "source_file")
-        self.rejects.replace_files(table, bad)
-        write(table, quality.valid(tagged), stamp="ingested_at")
+    def _loaded(self, table: str) -> DataFrame:
+        return ledger.loaded_files(self.admin.read("bronze_loads").filter(F.col("table_name") == table))
+
+    def _record_load(self, table: str, files: list[str], loaded: bool) -> None:
+        rows = self.spark.createDataFrame(
+            [(table, f, loaded) for f in files], "table_name string, source_file string, loaded boolean")
+        self.admin.append_log("bronze_loads", rows.withColumn("recorded_at", F.current_timestamp()))
 
     def bronze_tables(self) -> dict[str, DataFrame]:
         return {name: self.bronze.read(name) for name in schemas.BRONZE}
@@ -236,6 +261,29 @@ class Warehouse:
         return reduce(DataFrame.unionByName, per_table)
 
 
+def is_file_fault(error: Exception) -> bool:
+    """Whether an error says that a delivered file cannot be read, and not that something else failed."""
+    if not isinstance(error, PySparkException | Py4JJavaError):
+        return False
+    condition = (isinstance(error, PySparkException) and error.getCondition()) or ""
+    text = str(error)
+    if "No space left on device" in text:
+        return False
+    return (
+        condition.startswith(_FILE_FAULTS)
+        or drops.DAMAGED in text
+        or "CSV header does not conform" in text
+        or any(f"[{fault}" in text for fault in _FILE_FAULTS)
+    )
+
+
+def _rejects(tagged: DataFrame) -> DataFrame:
+    return quality.rejected(tagged).select(
+        F.col(quality.REASON).alias("reason"),
+        F.to_json(F.struct(*(c for c in tagged.columns if c != quality.REASON))).alias("record"),
+        "source_date", "source_file")
+
+
 def write_silver(store: TableStore, name: str, rows: DataFrame) -> None:
     """Write one silver table: vital signs by month, filtered facts clustered by their filters."""
     by_month = name == "fact_monitoring"

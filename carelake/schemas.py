@@ -12,6 +12,10 @@ LINEAGE = [
 ]
 
 
+# What a raw row of the lake could not be typed or parsed for; NULL for a sound row. Never its text, which may identify.
+MALFORMED = T.StructField("malformed", T.StringType())
+
+
 def _table(*fields: tuple[str, T.DataType], lineage: bool = False) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields] + (LINEAGE if lineage else []))
 
@@ -41,8 +45,9 @@ RAW_MONITORING = _table(
     ("stay_id", _S), ("ts", _TS), ("heart_rate", _SH), ("spo2", _SH), ("temp_c", _F))
 RAW_ACTES = _table(("stay_id", _S), ("code_ccam", _S), ("acte_ts", _TS))
 
-# The lake keeps text for the two pseudonymised CSV entities and for the reference files.
-LAKE = {
+# The lake keeps text for the two pseudonymised CSV entities and for the reference files. CSV and
+# Parquet rows carry `malformed`; a diagnosis file that does not parse never gets here.
+_LAKE = {
     "patients": _table(
         ("patient_pseudo_id", _S), ("birth_year", _S), ("sex", _S), ("region_code", _S), lineage=True),
     "sejours": _table(
@@ -58,6 +63,12 @@ LAKE = {
     "ccam": _table(("code_ccam", _S), ("libelle", _S), ("tarif_euros", _S), lineage=True),
 }
 
+LAKE = {
+    kind: table if kind == "diagnostics" else T.StructType([
+        *(f for f in table if f not in LINEAGE), MALFORMED, *LINEAGE])
+    for kind, table in _LAKE.items()
+}
+
 BRONZE = {
     "patients": _table(
         ("patient_pseudo_id", _S), ("birth_year", _I), ("sex", _S), ("region_code", _S), lineage=True),
@@ -65,8 +76,8 @@ BRONZE = {
         ("stay_id", _S), ("patient_pseudo_id", _S), ("service_code", _S), ("admission_ts", _TS),
         ("discharge_ts", _TS), ("admission_mode", _S), ("discharge_mode", _S), lineage=True),
     "diagnostics": _table(("stay_id", _S), ("code_cim10", _S), ("diag_type", _S), lineage=True),
-    "monitoring": LAKE["monitoring"],
-    "actes": LAKE["actes"],
+    "monitoring": _LAKE["monitoring"],
+    "actes": _LAKE["actes"],
     "ref_services": _table(("service_code", _S), ("service_label", _S), lineage=True),
     "ref_cim10": _table(("code_cim10", _S), ("libelle", _S), lineage=True),
     "ref_description_service": _table(

@@ -6,8 +6,6 @@ submitter; adaptive execution coalesces or splits partitions from what it measur
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 from carelake.functions.privacy import REDACTION_PATTERN
@@ -61,9 +59,21 @@ def local_session(app: str, cpus: int | str = "*", **settings: str) -> SparkSess
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for written intermediate tables: the one the cluster names in `spark.checkpoint.dir`.
+    """Folder for written intermediate tables, on storage that driver and executors share.
 
-    Only where that is unset (tests on one machine) a fresh temporary folder is used.
+    The one the cluster names in `spark.checkpoint.dir`; where that is unset, one below
+    `spark.sql.warehouse.dir`, which is shared by definition.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="carelake-")
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder through Spark's file system; one that is not there is no error."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -39,13 +39,28 @@ def _whole_number(column: str) -> Column:
 
 
 def tagged(kind: str, lake: DataFrame) -> DataFrame:
-    """Typed rows of one kind, each with the reason it would be rejected for, if any."""
+    """Typed rows of one kind, each with the reason it would be rejected for, if any.
+
+    What was `malformed` when the drop was read comes first, then the rules of the kind.
+    """
+    rows = _tagged(kind, lake)
+    if "malformed" not in rows.columns:
+        return rows
+    misread = F.concat(F.lit("malformed_"), "malformed")
+    return rows.withColumn(quality.REASON, F.coalesce(misread, quality.REASON)).drop("malformed")
+
+
+def _carried(lake: DataFrame) -> list[str]:
+    return [c for c in ("malformed", "source_date", "source_file") if c in lake.columns]
+
+
+def _tagged(kind: str, lake: DataFrame) -> DataFrame:
     return {
         "patients": _patients,
         "sejours": _sejours,
         "diagnostics": lambda rows: quality.tag(diagnostics.flatten(rows)),
-        "monitoring": quality.tag,
-        "actes": quality.tag,
+        "monitoring": lambda rows: quality.tag(rows, missing_ts=F.col("ts").isNotNull()),
+        "actes": lambda rows: quality.tag(rows, missing_ts=F.col("acte_ts").isNotNull()),
         "services": lambda rows: quality.tag(_texts(rows, "service_code", "service_label")),
         "cim10": lambda rows: quality.tag(_texts(rows, "code_cim10", "libelle")),
         "description_service": _description_service,
@@ -54,14 +69,14 @@ def tagged(kind: str, lake: DataFrame) -> DataFrame:
 
 
 def _texts(lake: DataFrame, *columns: str) -> DataFrame:
-    return lake.select(*map(_text, columns), "source_date", "source_file")
+    return lake.select(*map(_text, columns), *_carried(lake))
 
 
 def _patients(lake: DataFrame) -> DataFrame:
     """S3: a blank year of birth is 0, which means unknown."""
     typed = lake.select(
         _text("patient_pseudo_id"), _whole_number("birth_year").alias("birth_year"),
-        _text("sex"), _text("region_code"), "source_date", "source_file",
+        _text("sex"), _text("region_code"), *_carried(lake),
     )
     return quality.tag(typed, malformed_birth_year=F.col("birth_year").isNotNull())
 
@@ -79,7 +94,7 @@ def _sejours(lake: DataFrame) -> DataFrame:
         _text("stay_id"), _text("patient_pseudo_id"), _text("service_code"),
         F.col("_admission_ts").alias("admission_ts"), F.col("_discharge_ts").alias("discharge_ts"),
         _text("admission_mode"), _text("discharge_mode"),
-        "source_date", "source_file", quality.REASON,
+        *_carried(lake), quality.REASON,
     )
 
 
@@ -90,7 +105,7 @@ def _description_service(lake: DataFrame) -> DataFrame:
         strip(_text("categorie")).alias("categorie"),
         _whole_number("capacite_lits").alias("capacite_lits"),
         strip(_text("pole")).alias("pole"),
-        "source_date", "source_file",
+        *_carried(lake),
     )
     return quality.tag(typed, malformed_beds=F.col("capacite_lits").isNotNull())
 
@@ -101,6 +116,6 @@ def _ccam(lake: DataFrame) -> DataFrame:
         strip(_text("code_ccam")).alias("code_ccam"),
         strip(_text("libelle")).alias("libelle"),
         _whole_number("tarif_euros").alias("tarif_euros"),
-        "source_date", "source_file",
+        *_carried(lake),
     )
     return quality.tag(typed, malformed_tariff=F.col("tarif_euros").isNotNull())

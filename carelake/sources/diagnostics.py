@@ -2,12 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake import schemas
+
+_UNPARSED = "_unparsed"
+_PARSED = f"records array<{schemas.RAW_DIAGNOSTICS.simpleString()}>, {_UNPARSED} string"
+
 PRINCIPAL = "principal"
 
 
+def parse(text: Column) -> Column:
+    """The text of one delivered file, an array of records. Judge the result with `damaged`.
+
+    The array is parsed as the only member of an object, so that text behind it is seen as well.
+    """
+    whole = F.concat(F.lit('{"records":'), text, F.lit("}"))
+    return F.from_json(whole, _PARSED, {"columnNameOfCorruptRecord": _UNPARSED})
+
+
+def damaged(parsed: Column) -> Column:
+    """Whether the text was not one sound array: cut off, broken inside, empty, or something else."""
+    return parsed.isNull() | parsed[_UNPARSED].isNotNull() | parsed["records"].isNull() | F.coalesce(
+        F.exists(parsed["records"], lambda r: r.isNull()), F.lit(True))
+
+
+def records(parsed: Column) -> Column:
+    return parsed["records"]
+
+
 def flatten(nested: DataFrame) -> DataFrame:
     """One row per diagnosis of a stay; a stay with an empty list gives none.
 

@@ -10,8 +10,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from carelake import schemas
+from carelake.session import exists
+from carelake.sources import diagnostics
 
 # Which file of a drop holds what. Other files in a drop are left alone.
 KINDS = {
@@ -29,10 +32,12 @@ FILE_OF = {kind: path for path, kind in KINDS.items()}
 REFERENCE_KINDS = ("services", "cim10", "description_service", "ccam")
 
 _DROP = rf"^.*/({'|'.join(schemas.ENTITIES)})/(\d{{4}}-\d{{2}}-\d{{2}})/([^/]+)"
+DAMAGED = "a diagnosis file is not one sound JSON array"
 _FILES_SCHEMA = "kind string, source_date date, source_file string, path string, bytes bigint"
 
-# A diagnosis file beyond this size is cut into records by the scan instead of being parsed whole.
-WHOLE_FILE_BYTES = 128 * 1024 * 1024
+# Whole numbers below this are no nanoseconds of a date after 1973; writers that mean seconds,
+# milliseconds or microseconds without saying so are not guessed at.
+_LEAST_NANOSECONDS = 10**17
 
 
 def lineage(path: Column) -> list[Column]:
@@ -47,8 +52,12 @@ def lineage(path: Column) -> list[Column]:
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(kind, source_date, source_file, path, bytes) of every delivered file of a known kind.
 
-    The listing is a scan of file names; no content is read.
+    The listing is a scan of file names; no content is read. A file without a byte is not listed: its
+    date stays due until it is delivered with content. A root that is not there is an error,
+    not an empty delivery.
     """
+    if not exists(spark, root):
+        raise FileNotFoundError(f"no drops at {root}")
     try:
         found = spark.read.format("binaryFile").load(f"{root}/*/*/*").select("path", "length")
     except AnalysisException as error:
@@ -76,85 +85,95 @@ def source_dates(files: DataFrame) -> DataFrame:
 # ---- readers -------------------------------------------------------------------------------------
 
 
-def read(spark: SparkSession, kind: str, paths: Sequence[str], large: Sequence[str] = ()) -> DataFrame:
-    """Raw rows of the given files with their lineage.
-
-    `large` names those of the paths whose files are too big for one task to parse whole; it only
-    matters for diagnoses, as all other large kinds are split by their readers.
-    """
-    if kind == "diagnostics" and large:
-        small = [p for p in paths if p not in large]
-        parts = _read_records(spark, large)
-        return parts.unionByName(read(spark, kind, small)) if small else parts
+def read(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataFrame:
+    """Raw rows of the given files with their lineage and, but for diagnoses, what is `malformed` in them."""
     if kind in schemas.RAW_TEXT:
         raw = _read_csv(spark, kind, paths)
     elif kind == "diagnostics":
-        # a pretty-printed array is parsed whole, one task per file
-        raw = spark.read.schema(schemas.RAW_DIAGNOSTICS).option("multiLine", True).json(list(paths))
+        raw = _read_diagnostics(spark, paths)
     else:
         raw = _read_parquet(spark, kind, paths)
     columns = [c for c in raw.columns if c != "_path"]
-    path = F.col("_path") if "_path" in raw.columns else F.col("_metadata.file_path")
-    return raw.select(*columns, *lineage(path))
+    return raw.select(*columns, *lineage(F.col("_path")))
 
 
-_RECORD_START = '"stay_id"'
+def _read_diagnostics(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Records of the delivered arrays, one parser for files of every size.
 
+    A file that is not one sound array fails the read and is named in the error: nothing of it is
+    taken for a success. Each file is parsed by one task; a day too large for that is delivered as a
+    folder of part files.
+    """
+    text = spark.read.text(list(paths), wholetext=True).select("value", F.col("_metadata.file_path").alias("_path"))
+    parsed = diagnostics.parse(F.col("value"))
+    broken = F.raise_error(F.concat(F.lit(f"{DAMAGED}: "), F.col("_path"))).cast(f"array<{schemas.RAW_DIAGNOSTICS.simpleString()}>")
+    sound = F.when(diagnostics.damaged(parsed), broken).otherwise(diagnostics.records(parsed))
+    return text.select(F.explode(sound).alias("r"), "_path").select("r.*", "_path")
 
-def _read_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Records of large diagnosis files, cut at the key every record begins with.
 
-    The text scan splits a file at any size and hands over the text between two keys. A record whose
-    first key is another one would be cut in the wrong place, so every piece must end where a record
-    does; otherwise the read fails.
-    """
-    text = spark.read.option("lineSep", _RECORD_START).text(list(paths))
-    piece = F.col("value")
-    opening = piece.rlike(r"\A\s*\[\s*\{?\s*\]?\s*\z")  # before the first record
-    complete = piece.rlike(r"\A\s*:(?s:.*)\}\s*(,\s*\{|\])\s*\z")
-    record = F.from_json(F.concat(F.lit("{" + _RECORD_START), piece), schemas.RAW_DIAGNOSTICS)
-    checked = F.when(complete, record).otherwise(
-        F.raise_error(F.lit(f"a diagnosis record does not begin with {_RECORD_START}")))
-    return text.filter(~opening).select(
-        checked.alias("record"), *lineage(F.col("_metadata.file_path")),
-    ).select("record.*", "source_date", "source_file")
+_RECORD = "_unparsed_record"
 
 
 def _read_csv(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataFrame:
     """Text columns picked by header name, so their order in the file does not matter.
 
     `enforceSchema=False` makes Spark compare every file's header with the first one and fail on a
-    difference, instead of filling the wrong columns. A column the files lack reads as NULL.
+    difference, instead of filling the wrong columns. A column the files lack reads as NULL. A record
+    with too few or too many fields, such as either half of one that is torn by a line break, is
+    marked as malformed; its text is dropped, as it may identify a patient.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        # quoted line breaks only occur in labels; the large files stay splittable
-        .option("multiLine", kind in REFERENCE_KINDS)
-        .csv(list(paths))
-    )
-    present = set(raw.columns)
+    def options(schema: str | None):
+        reader = (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            # quoted line breaks only occur in labels; the large files stay splittable
+            .option("multiLine", kind in REFERENCE_KINDS)
+            # all fields of a record are looked at, whichever are asked for
+            .option("columnPruning", False)
+            .option("columnNameOfCorruptRecord", _RECORD)
+        )
+        return (reader.schema(schema) if schema else reader).csv(list(paths))
+
+    present = options(None).columns
+    schema = ", ".join(f"`{c}` string" for c in [*present, _RECORD])
+    raw = options(schema)
     return raw.select(
         *(
             (F.col(f"`{c}`") if c in present else F.lit(None).cast("string")).alias(c)
             for c in schemas.RAW_TEXT[kind]
         ),
+        F.when(F.col(_RECORD).isNotNull(), "record").alias("malformed"),
         F.col("_metadata.file_path").alias("_path"),
     )
 
 
 def _read_parquet(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataFrame:
-    """Only the declared columns, in the declared types, whatever widths the writer chose."""
+    """Only the declared columns, in the declared types, whatever widths the writer chose.
+
+    A value that is there but does not fit its type marks the row: `malformed` names the first such
+    column.
+    """
     declared = {"monitoring": schemas.RAW_MONITORING, "actes": schemas.RAW_ACTES}[kind]
     raw = spark.read.parquet(*paths)
     types = dict(raw.dtypes)
-    columns = []
+    typed, misfits = typed_columns(declared, types)
+    return raw.select(*typed, F.coalesce(*misfits).alias("malformed"), F.col("_metadata.file_path").alias("_path"))
+
+
+def typed_columns(declared: StructType, types: dict[str, str]) -> tuple[list[Column], list[Column]]:
+    """Each declared column cast from the type it was read in, and its name where the cast lost a value."""
+    typed, misfits = [], []
     for field in declared:
-        column = F.col(field.name)
-        if types[field.name] == "double" or types[field.name] == "float":
-            column = F.nullif(column, F.lit(float("nan")))  # writers without NULL store NaN
+        value = F.col(field.name)
+        if types[field.name] in ("double", "float"):
+            value = F.nullif(value, F.lit(float("nan")))  # writers without NULL store NaN
+        column = value
         if field.dataType.typeName() == "timestamp" and types[field.name] == "bigint":
-            column = F.timestamp_micros(F.floor(column / 1000))  # nanoseconds, see session settings
-        columns.append(column.try_cast(field.dataType).alias(field.name))
-    return raw.select(*columns, F.col("_metadata.file_path").alias("_path"))
+            # nanoseconds, see session settings; whole division, as doubles cannot hold them
+            micros = F.expr(f"(`{field.name}` - pmod(`{field.name}`, 1000)) div 1000")
+            column = F.when(F.abs(value) >= _LEAST_NANOSECONDS, F.timestamp_micros(micros))
+        column = column.try_cast(field.dataType)
+        typed.append(column.alias(field.name))
+        misfits.append(F.when(value.isNotNull() & column.isNull(), field.name))
+    return typed, misfits

@@ -17,7 +17,7 @@ def _text(name: str) -> Column:
 
 
 def _lineage(raw: DataFrame) -> list[str]:
-    return [c for c in ("source_date", "source_file") if c in raw.columns]
+    return [c for c in ("malformed", "source_date", "source_file") if c in raw.columns]
 
 
 def patients(raw: DataFrame, secret: str) -> DataFrame:

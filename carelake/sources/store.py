@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelake.session import delete, exists
+
 _PARTITIONS = ("source_date", "drop_file")
 
 
 class DeliveryStore:
     """Tables in which every delivered file is one partition.
 
-    Loading a file replaces its partition and nothing else, so a load that was cut short is repaired
-    by running it again, and what has been loaded is read off the partitions: there is no second
-    ledger that could disagree with the data.
+    Loading a file replaces its partition and nothing else, also where the new delivery has no rows
+    for it, so a load that was cut short is repaired by running it again.
     """
 
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType], folder_of: dict[str, str]):
@@ -39,8 +40,11 @@ class DeliveryStore:
         return rows.select(
             *(source_file.alias("source_file") if f.name == "source_file" else F.col(f.name) for f in schema))
 
-    def replace_files(self, table: str, rows: DataFrame, stamp: str | None = None) -> None:
-        """Write the rows, replacing the partitions of the files they come from."""
+    def replace_files(self, table: str, rows: DataFrame, files: Iterable, stamp: str | None = None) -> None:
+        """Write the rows of `files` (source_date, source_file), replacing all that the table has of them."""
+        for file in files:
+            name = file.source_file.rsplit("/", 1)[-1]
+            delete(self.spark, f"{self.path(table)}/source_date={file.source_date}/drop_file={name}")
         self._overwrite("dynamic", table, rows, stamp)
 
     def replace_table(self, table: str, rows: DataFrame, stamp: str | None = None) -> None:
@@ -57,12 +61,20 @@ class DeliveryStore:
         )
 
     def files(self, tables: Sequence[str]) -> DataFrame:
-        """(kind, source_date, source_file) already loaded, from partition values alone."""
-        listed = [
-            self.read(t).select(F.lit(t).alias("kind"), "source_date", "source_file").distinct()
-            for t in tables
-        ]
-        return reduce(DataFrame.unionByName, listed)
+        """(kind, source_date, source_file) of the files with stored rows, from a listing of the folders alone."""
+        return reduce(DataFrame.unionByName, map(self._listed, tables))
+
+    def _listed(self, table: str) -> DataFrame:
+        if not exists(self.spark, self.path(table)):
+            return self.spark.createDataFrame([], "kind string, source_date date, source_file string")
+        found = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+            "recursiveFileLookup", True).load(self.path(table)).select("path")
+        place = r"/source_date=(\d{4}-\d{2}-\d{2})/drop_file=([^/]+)/[^/]+$"
+        return found.select(
+            F.lit(table).alias("kind"), F.regexp_extract("path", place, 1).cast("date").alias("source_date"),
+            F.concat_ws("/", F.lit(self.folder_of[table]), F.regexp_extract("path", place, 1),
+                        F.regexp_extract("path", place, 2)).alias("source_file"),
+        ).distinct()
 
 
 class TableStore:

@@ -6,6 +6,8 @@ the Spark plans, which reduce the facts before joining them.
 
 from __future__ import annotations
 
+from carelake.standin import loading
+
 SECRET = "carelake-check-only"  # the check needs a known key; real runs take theirs from the settings
 
 # ---- bronze-shaped tables ------------------------------------------------------------------------
@@ -350,6 +352,7 @@ SQL: dict[str, str] = {
                 order by l_orderkey desc, l_linenumber desc, l_partkey desc, l_suppkey desc, success desc) = 1)
         select distinct cast(o_orderdate as date) as source_date from orders
         where cast(o_orderdate as date) not in (select source_date from last where success)""",
+    **loading.SQL,
     # quality and audit
     "rejects_by_reason": _with("""
         select 'patients' as table_name, 'latest' as reason, count(distinct patient_pseudo_id) as nb_rows from patients

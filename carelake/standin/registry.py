@@ -17,6 +17,7 @@ from carelake.session import shared_folder
 from carelake.sources import drops
 from carelake.sources import privacy as lake_rows
 from carelake.sources.diagnostics import flatten
+from carelake.standin import loading
 from carelake.standin.oracle import SECRET
 from carelake.standin.tables import Standin
 from carelake.schemas import RAW_DIAGNOSTICS
@@ -152,6 +153,8 @@ _on_standin("ingest_stream", _stream_twice)
 _on_standin("ref_snapshot_replace", lambda s: newest_snapshot(s.ref_ccam_deliveries))
 _on_standin("lake_dates_to_process", _dates_due)
 
+QUERIES.update(loading.QUERIES)
+
 # ---- quality and audit ---------------------------------------------------------------------------
 
 _on_standin("rejects_by_reason", lambda s: silver.reject_counts(s.bronze, s.stays))

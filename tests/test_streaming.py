@@ -14,7 +14,7 @@ LAKE = schemas.LAKE["sejours"]
 
 def lake_stays(spark, *stays):
     return spark.createDataFrame(
-        [(s, "p", "A", start, end, "urgence", "", h.day("2026-08-01"), "sejours/2026-08-01/sejours.csv")
+        [(s, "p", "A", start, end, "urgence", "", None, h.day("2026-08-01"), "sejours/2026-08-01/sejours.csv")
          for s, start, end in stays], LAKE)
 
 
