@@ -5,10 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from carelake import schemas
 from carelake.sources.store import TableStore
@@ -20,22 +18,6 @@ RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 ERROR_CHARS = 1000
 
 
-def account(step: str, status: str, delivered: DataFrame, ingested: DataFrame, rejected: DataFrame) -> DataFrame:
-    """One row (step_name, status, nb_files, records_ingested, records_rejected) from the data itself."""
-    rows = F.count(F.lit(1))
-    parts = {
-        "nb_files": delivered.agg(F.count_distinct("source_file").alias("n")),
-        "records_ingested": ingested.agg(rows.alias("n")),
-        "records_rejected": rejected.agg(rows.alias("n")),
-    }
-    counts = reduce(DataFrame.unionByName, (
-        part.select(*(F.when(F.lit(name == other), F.col("n")).alias(other) for other in parts))
-        for name, part in parts.items()
-    ))
-    return counts.agg(*(F.max(name).alias(name) for name in parts)).select(
-        F.lit(step).alias("step_name"), F.lit(status).alias("status"), *parts)
-
-
 class RunLog:
     """K7: RUNNING when a run starts and after each step, then SUCCESS or FAILED."""
 

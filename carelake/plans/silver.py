@@ -138,11 +138,20 @@ def fact_monitoring(monitoring: DataFrame, stays: DataFrame) -> DataFrame:
     )
 
 
-def tagged_monitoring(monitoring: DataFrame, stays: DataFrame) -> DataFrame:
-    known = stays.select("stay_id", F.lit(True).alias("known"))
+def vital_counts(monitoring: DataFrame, facts: DataFrame) -> DataFrame:
+    """(table_name, reason, nb_rows) of the vital signs, given the `fact_monitoring` built from them.
+
+    Nothing is joined: the plausible measures that the fact lacks are those of unknown stays.
+    """
     rules = {f"{v.column}_out_of_range": v.plausible for v in clinical.VITALS}
-    return quality.tag(
-        lookup(monitoring, known, "stay_id", "left"), **rules, unknown_stay=F.col("known")).drop("known")
+    measured = quality.count_by_reason("monitoring", quality.tag(monitoring, **rules), F.lit("unknown_stay"))
+    state = F.when(F.col("is_alert") == 1, "alert").otherwise("normal").alias("reason")
+    kept = facts.groupBy(state).agg(F.count(F.lit(1)).alias("n")).select(F.explode(F.array(
+        F.struct("reason", F.col("n").alias("nb_rows")),
+        F.struct(F.lit("unknown_stay").alias("reason"), (-F.col("n")).alias("nb_rows")),
+    )).alias("c")).select(F.lit("monitoring").alias("table_name"), "c.*")
+    return measured.unionByName(kept).groupBy("table_name", "reason").agg(
+        F.sum("nb_rows").alias("nb_rows")).filter("nb_rows > 0")
 
 
 def fact_acte(actes: DataFrame, stays: DataFrame) -> DataFrame:
@@ -160,8 +169,8 @@ def fact_acte(actes: DataFrame, stays: DataFrame) -> DataFrame:
 # ---- accounting ----------------------------------------------------------------------------------
 
 
-def reject_counts(bronze: dict[str, DataFrame], stays: DataFrame) -> DataFrame:
-    """Q9: (table_name, reason, nb_rows) for patients, stays and vital signs.
+def reject_counts(bronze: dict[str, DataFrame], vitals: DataFrame) -> DataFrame:
+    """Q9: (table_name, reason, nb_rows) for patients, stays and vital signs; `vitals` is their fact.
 
     Every input row is counted once: rejected rows under their reason, kept rows under `latest`
     (patients), `ongoing` or `finished` (stays), `alert` or `normal` (vital signs).
@@ -172,13 +181,10 @@ def reject_counts(bronze: dict[str, DataFrame], stays: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("latest"),
     ).unpivot([], ["merged_duplicate", "latest"], "reason", "nb_rows")
     stay_state = F.when(F.col("discharge_ts").isNull(), "ongoing").otherwise("finished")
-    alert, *_ = clinical.alert_flags()
-    vital_state = F.when(alert == 1, "alert").otherwise("normal")
     return (
         merged.select(F.lit("patients").alias("table_name"), "reason", "nb_rows")
         .unionByName(quality.count_by_reason("sejours", tagged_sejours(bronze["sejours"]), stay_state))
-        .unionByName(quality.count_by_reason(
-            "monitoring", tagged_monitoring(bronze["monitoring"], stays), vital_state))
+        .unionByName(vital_counts(bronze["monitoring"], vitals))
     )
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +18,7 @@ from carelake import schemas
 from carelake.operators import ledger, quality
 from carelake.operators.snapshot import newest_snapshot
 from carelake.plans import gold, runlog, silver
-from carelake.session import configure
+from carelake.session import configure, delete
 from carelake.sources import bronze, drops, privacy
 from carelake.sources.store import DeliveryStore, TableStore
 
@@ -39,6 +40,11 @@ _LOADS = T.StructType([
     T.StructField("recorded_at", T.TimestampType()),
     T.StructField("loaded", T.BooleanType()),
 ])
+# One row per finished build of silver; the last one is what is read.
+_BUILDS = T.StructType([
+    T.StructField("build", T.StringType()),
+    T.StructField("built_at", T.TimestampType()),
+])
 # Conditions under which Spark reports that a delivered file, not the cluster, is at fault.
 _FILE_FAULTS = (
     "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "MALFORMED_", "UNABLE_TO_INFER_SCHEMA", "PARQUET_",
@@ -96,10 +102,9 @@ class Warehouse:
         self.bronze = DeliveryStore(spark, folders.under("bronze"), schemas.BRONZE, tables)
         self.rejects = DeliveryStore(
             spark, folders.under("rejects"), dict.fromkeys(schemas.BRONZE, _REJECTS), tables)
-        self.silver = TableStore(
-            spark, folders.under("silver"),
-            {**schemas.SILVER, "stay_index": _stay_index_schema()})
-        self.admin = TableStore(spark, folders.under("admin"), {"lake_sync": _LEDGER, "bronze_loads": _LOADS})
+        self.admin = TableStore(
+            spark, folders.under("admin"),
+            {"lake_sync": _LEDGER, "bronze_loads": _LOADS, "silver_builds": _BUILDS})
 
     # ---- lake ------------------------------------------------------------------------------------
 
@@ -165,16 +170,21 @@ class Warehouse:
                     self._record_load(table, names, False)
                 # a predicate on partition columns: only the new files' partitions are scanned
                 rows = self.lake.read(kind).filter(F.col("source_file").isin(names))
-                tagged = bronze.tagged(kind, rows)
-                self.rejects.replace_files(table, _rejects(tagged), new)
-                self.bronze.replace_files(table, quality.valid(tagged), new, stamp="ingested_at")
+                # the rejects are counted as the valid rows are written: without any, one scan is all
+                tagged, counted = bronze.tagged(kind, rows), Observation()
+                bad = F.count(quality.REASON).alias("n")
+                self.bronze.replace_files(
+                    table, quality.valid(tagged.observe(counted, bad)), new, stamp="ingested_at")
+                self.rejects.remove_files(table, new)
+                if counted.get["n"]:
+                    self.rejects.replace_files(table, bronze.rejects(tagged), new)
                 self._record_load(table, names, True)
                 loaded += names
         for kind in drops.REFERENCE_KINDS:
             snapshot = newest_snapshot(self.lake.read(kind))
             if not snapshot.isEmpty():
                 table, tagged = bronze.TABLE_OF[kind], bronze.tagged(kind, snapshot)
-                self.rejects.replace_table(table, _rejects(tagged))
+                self.rejects.replace_table(table, bronze.rejects(tagged))
                 self.bronze.replace_table(table, quality.valid(tagged), stamp="ingested_at")
         return loaded
 
@@ -192,23 +202,50 @@ class Warehouse:
     # ---- silver and gold -------------------------------------------------------------------------
 
     def build_silver(self) -> dict[str, DataFrame]:
-        """Rebuild the star schema.
+        """Rebuild the star schema beside the former one, which is read until the new one is whole.
 
         The stay index is written first and read back: the three event facts look it up, and a lost
-        executor then repeats a scan, not the deduplication of all stays.
+        executor then repeats a scan, not the deduplication of all stays. The build before stays for
+        queries that began on it; older ones are removed.
         """
-        tables = self.bronze_tables()
-        self.silver.replace("stay_index", silver.stay_index(tables["sejours"]))
-        stays = self.silver.read("stay_index")
-        write_silver(self.silver, "dim_patients", silver.dim_patients(tables["patients"]))
-        built = silver.build(tables, stays, patients=self.silver.read("dim_patients"))
-        for name, rows in built.items():
-            if name != "dim_patients":
-                write_silver(self.silver, name, rows)
+        build = uuid.uuid4().hex
+        store, tables = self._build(build), self.bronze_tables()
+        try:
+            store.replace("stay_index", silver.stay_index(tables["sejours"]))
+            write_silver(store, "dim_patients", silver.dim_patients(tables["patients"]))
+            built = silver.build(tables, store.read("stay_index"), patients=store.read("dim_patients"))
+            for name, rows in built.items():
+                if name != "dim_patients":
+                    write_silver(store, name, rows)
+        except Exception:
+            delete(self.spark, store.root)
+            raise
+        self.admin.append_log("silver_builds", self.spark.createDataFrame([(build,)], "build string").withColumn(
+            "built_at", F.current_timestamp()))
+        for old in self._builds()[2:]:
+            delete(self.spark, self._build(old).root)
         return self.silver_tables()
 
+    def _build(self, build: str) -> TableStore:
+        tables = {**schemas.SILVER, "stay_index": _stay_index_schema()}
+        return TableStore(self.spark, f"{self.folders.under('silver')}/{build}", tables, starts_empty=False)
+
+    def _builds(self) -> list[str]:
+        """The newest three builds, newest first."""
+        newest = self.admin.read("silver_builds").orderBy(F.desc("built_at")).limit(3)
+        return [r.build for r in newest.collect()]
+
+    @property
+    def silver(self) -> TableStore:
+        """The newest whole build."""
+        builds = self._builds()
+        if not builds:
+            raise FileNotFoundError(f"silver was not built yet below {self.folders.under('silver')}")
+        return self._build(builds[0])
+
     def silver_tables(self) -> dict[str, DataFrame]:
-        return {name: self.silver.read(name) for name in schemas.SILVER}
+        store = self.silver
+        return {name: store.read(name) for name in schemas.SILVER}
 
     def reject_counts(self) -> DataFrame:
         """Q9, over what is stored: rows that did not type, then rows the silver rules leave out."""
@@ -217,7 +254,8 @@ class Warehouse:
             .select(F.lit(table).alias("table_name"), "reason", "nb_rows")
             for table in schemas.BRONZE
         ))
-        return silver.reject_counts(self.bronze_tables(), self.silver.read("stay_index")).unionByName(untyped)
+        counts = silver.reject_counts(self.bronze_tables(), self.silver.read("fact_monitoring"))
+        return counts.unionByName(untyped)
 
     # ---- run -------------------------------------------------------------------------------------
 
@@ -277,13 +315,6 @@ def is_file_fault(error: Exception) -> bool:
     )
 
 
-def _rejects(tagged: DataFrame) -> DataFrame:
-    return quality.rejected(tagged).select(
-        F.col(quality.REASON).alias("reason"),
-        F.to_json(F.struct(*(c for c in tagged.columns if c != quality.REASON))).alias("record"),
-        "source_date", "source_file")
-
-
 def write_silver(store: TableStore, name: str, rows: DataFrame) -> None:
     """Write one silver table: vital signs by month, filtered facts clustered by their filters."""
     by_month = name == "fact_monitoring"

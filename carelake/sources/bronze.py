@@ -50,6 +50,14 @@ def tagged(kind: str, lake: DataFrame) -> DataFrame:
     return rows.withColumn(quality.REASON, F.coalesce(misread, quality.REASON)).drop("malformed")
 
 
+def rejects(tagged_rows: DataFrame) -> DataFrame:
+    """(reason, record, lineage) of the rows that are set apart; the record is the typed row as JSON."""
+    return quality.rejected(tagged_rows).select(
+        F.col(quality.REASON).alias("reason"),
+        F.to_json(F.struct(*(c for c in tagged_rows.columns if c != quality.REASON))).alias("record"),
+        "source_date", "source_file")
+
+
 def _carried(lake: DataFrame) -> list[str]:
     return [c for c in ("malformed", "source_date", "source_file") if c in lake.columns]
 

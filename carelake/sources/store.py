@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,10 +41,14 @@ class DeliveryStore:
 
     def replace_files(self, table: str, rows: DataFrame, files: Iterable, stamp: str | None = None) -> None:
         """Write the rows of `files` (source_date, source_file), replacing all that the table has of them."""
+        self.remove_files(table, files)
+        self._overwrite("dynamic", table, rows, stamp)
+
+    def remove_files(self, table: str, files: Iterable) -> None:
+        """Remove all rows of `files`."""
         for file in files:
             name = file.source_file.rsplit("/", 1)[-1]
             delete(self.spark, f"{self.path(table)}/source_date={file.source_date}/drop_file={name}")
-        self._overwrite("dynamic", table, rows, stamp)
 
     def replace_table(self, table: str, rows: DataFrame, stamp: str | None = None) -> None:
         """Write the rows as the whole content of the table."""
@@ -78,15 +81,17 @@ class DeliveryStore:
 
 
 class TableStore:
-    """Tables rebuilt as a whole."""
+    """Tables rebuilt as a whole. With `starts_empty` a table not written yet reads as empty, else it is an error."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType]):
-        self.spark, self.root, self.schemas = spark, root, schemas
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType], starts_empty: bool = True):
+        self.spark, self.root, self.schemas, self.starts_empty = spark, root, schemas, starts_empty
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
+        if not self.starts_empty:
+            return self.spark.read.schema(self.schemas[table]).parquet(self.path(table))
         return _read_or_empty(self.spark, self.path(table), self.schemas[table])
 
     def replace(
@@ -115,9 +120,4 @@ def _stamped(rows: DataFrame, column: str | None) -> DataFrame:
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)

@@ -54,6 +54,17 @@ def bronze_sejours(spark: SparkSession, folder: str) -> DataFrame:
     return bronze.tagged("sejours", lake).select("stay_id", "admission_ts", "discharge_ts", quality.REASON)
 
 
+def bronze_ccam(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes and labels with blanks around them, tariffs that are sound, blank, missing or no numbers."""
+    n = F.col("p_partkey")
+    lake = _table(spark, folder, "part").select(
+        F.concat(F.lit(" A"), n.cast("string"), F.lit("\t")).alias("code_ccam"),
+        F.when(n % 3 != 0, F.concat("p_name", F.lit(" "))).alias("libelle"),
+        _by_case(n, " 450", "", F.lit(None).cast("string"), "4,5", "99999999999").alias("tarif_euros"),
+        F.when(n % 7 == 0, "record").alias("malformed"), *_lineage("ccam"))
+    return bronze.tagged("ccam", lake).select("code_ccam", "libelle", "tarif_euros", quality.REASON)
+
+
 def _typed(raw: DataFrame, declared: T.StructType, *keys: str) -> DataFrame:
     typed, misfits = drops.typed_columns(declared, dict(raw.dtypes))
     return raw.select(*keys, *typed, F.coalesce(*misfits).alias("malformed"))
@@ -120,6 +131,7 @@ QUERIES = {
     "bronze_sejours": bronze_sejours,
     "bronze_monitoring": bronze_monitoring,
     "bronze_actes": bronze_actes,
+    "bronze_ccam": bronze_ccam,
     "parse_diagnostics": parse_diagnostics,
     "delivery_reload": delivery_reload,
 }
@@ -151,6 +163,12 @@ SQL = {
         select o_orderkey, case when o_orderkey % 3 = 0 then o_orderdate end as acte_ts,
                case o_orderkey % 3 when 1 then 'malformed_acte_ts' when 2 then 'missing_ts' end as reject_reason
         from orders""",
+    "bronze_ccam": """
+        select 'A' || p_partkey as code_ccam, case when p_partkey % 3 = 0 then '' else trim(p_name) end as libelle,
+               case p_partkey % 5 when 0 then 450 when 1 then 0 when 2 then 0 end as tarif_euros,
+               case when p_partkey % 7 = 0 then 'malformed_record' when p_partkey % 5 in (3, 4) then 'malformed_tariff' end
+               as reject_reason
+        from part""",
     "parse_diagnostics": """
         select l_orderkey, l_linenumber, l_linenumber % 7 in (3, 4, 5) as damaged,
                case l_linenumber % 7 when 0 then 1 when 1 then 2 when 2 then 2 when 6 then 0 end as nb_records,

@@ -309,6 +309,7 @@ SQL: dict[str, str] = {
     "emergency_daily": _from("urgences"),
     "readmission_30d": _from("readmissions"),
     "alerts_daily": _from("alertes"),
+    "alerts_daily_written": _from("alertes"),
     "prevalence": _from("prevalence"),
     "cohorts": _from("cohortes"),
     "cohorts_suppressed": _from("cohortes", "*", "where nb_patients >= 5"),

@@ -8,19 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake import schemas
 from carelake.functions import clinical, privacy
 from carelake.operators import ledger, quality
 from carelake.operators.snapshot import newest_snapshot
 from carelake.operators.suppression import suppress_small_cells
 from carelake.plans import gold, reports, runlog, silver
+from carelake.plans.warehouse import write_silver
 from carelake.session import shared_folder
 from carelake.sources import drops
 from carelake.sources import privacy as lake_rows
 from carelake.sources.diagnostics import flatten
+from carelake.sources.store import TableStore
 from carelake.standin import loading
 from carelake.standin.oracle import SECRET
 from carelake.standin.tables import Standin
-from carelake.schemas import RAW_DIAGNOSTICS
 from carelake.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,7 +94,7 @@ _on_standin("stay_pseudonyms", lambda s: lake_rows.sejours(s.table("orders").sel
 def _nested_json(s: Standin) -> DataFrame:
     """The nested records written as JSON text and read back with the declared schema."""
     record = F.to_json(F.struct("stay_id", "diagnostics"))
-    parsed = F.from_json(record, RAW_DIAGNOSTICS)
+    parsed = F.from_json(record, schemas.RAW_DIAGNOSTICS)
     return flatten(s.raw_diagnostics.select(parsed.alias("r"), "source_date", "source_file").select(
         "r.*", "source_date", "source_file"))
 
@@ -107,12 +109,12 @@ def _load_twice(s: Standin) -> DataFrame:
 def _stream_twice(s: Standin) -> DataFrame:
     """K1 as a stream: two starts over the same files; the second finds nothing new."""
     folder = f"{shared_folder(s.spark)}/ingest-stream-{uuid.uuid4().hex}"
-    schema = s.table("events").schema
+    events = s.table("events").schema
     for _ in range(2):
         # a glob, because the table may be one file or a folder of files
-        source = ingest.read_stream(s.spark, f"{s.folder}/events.parq[u]et", schema)
-        ingest.append_new_files(source, f"{folder}/bronze", f"{folder}/checkpoint", s.monitoring_of)
-    return s.spark.read.parquet(f"{folder}/bronze")
+        source = ingest.read_stream(s.spark, f"{s.folder}/events.parq[u]et", events)
+        ingest.load_bronze(s.monitoring_of(source), "monitoring", folder)
+    return ingest.read_batches(s.spark, f"{folder}/bronze", schemas.BRONZE["monitoring"])
 
 
 def _dates_due(s: Standin) -> DataFrame:
@@ -128,14 +130,25 @@ def _dates_due(s: Standin) -> DataFrame:
 
 
 def _run_log(s: Standin) -> DataFrame:
-    """K7: the rows a run over the stays would log, files and counts taken from the data."""
-    tagged = silver.tagged_sejours(s.sejours)
-    kept, bad = s.silver["fact_sejours"], quality.rejected(tagged)
-    return (
-        runlog.account(runlog.INGEST, runlog.RUNNING, s.sejours, s.sejours, s.sejours.filter(F.lit(False)))
-        .unionByName(runlog.account(runlog.SILVER, runlog.RUNNING, s.sejours, kept, bad))
-        .unionByName(runlog.account(runlog.DONE, runlog.SUCCESS, s.sejours, kept, bad))
-    )
+    """K7: what the log says after a run over the stays, with the files and counts of the data."""
+    log = runlog.RunLog(s.spark, f"{shared_folder(s.spark)}/run-log-{uuid.uuid4().hex}")
+    # one name per delivered day
+    files = [f.source_file for f in s.sejours.select("source_file").distinct().collect()]
+    kept, bad = s.silver["fact_sejours"].count(), quality.rejected(silver.tagged_sejours(s.sejours)).count()
+    log.step(runlog.INGEST, files, s.sejours.count())
+    log.step(runlog.SILVER, files, kept, bad)
+    log.success(files, kept, bad)
+    return log.read().filter(~F.col("step_name").startswith("START")).select(
+        "step_name", "status", F.size("files_processed").cast("bigint").alias("nb_files"),
+        "records_ingested", "records_rejected")
+
+
+def _alerts_written(s: Standin) -> DataFrame:
+    """A mart on the vital signs as silver keeps them, by month."""
+    store = TableStore(s.spark, f"{shared_folder(s.spark)}/silver-{uuid.uuid4().hex}", schemas.SILVER, starts_empty=False)
+    for _ in range(2):  # the second build replaces the first
+        write_silver(store, "fact_monitoring", s.silver["fact_monitoring"])
+    return gold.alertes({"fact_monitoring": store.read("fact_monitoring")})
 
 
 def _all_dates(s: Standin) -> DataFrame:
@@ -157,6 +170,7 @@ QUERIES.update(loading.QUERIES)
 
 # ---- quality and audit ---------------------------------------------------------------------------
 
-_on_standin("rejects_by_reason", lambda s: silver.reject_counts(s.bronze, s.stays))
+_on_standin("rejects_by_reason", lambda s: silver.reject_counts(s.bronze, s.silver["fact_monitoring"]))
+_on_standin("alerts_daily_written", _alerts_written)
 _on_standin("table_counts", lambda s: quality.table_counts(s.bronze))
 _on_standin("run_log", _run_log)

@@ -121,7 +121,8 @@ def test_reject_counts_add_up(spark):
             ("s1", "2026-08-01", 300, 20, 37.0), ("s1", "2026-08-01", None, 20, 50.0),
             ("s1", "2026-08-01", None, None, 50.0), ("s9", "2026-08-01", 70, 98, 37.0)),
     }
-    got = rows(silver.reject_counts(bronze, silver.stay_index(stays)))
+    facts = silver.fact_monitoring(bronze["monitoring"], silver.stay_index(stays))
+    got = rows(silver.reject_counts(bronze, facts))
     assert got == [
         ("monitoring", "alert", 1), ("monitoring", "heart_rate_out_of_range", 1), ("monitoring", "normal", 1),
         ("monitoring", "spo2_out_of_range", 1), ("monitoring", "temp_c_out_of_range", 1),

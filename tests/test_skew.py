@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.plans import gold, silver
+from carelake.streaming import ingest
 
 ROWS = 60_000
 STAYS = 3_000
@@ -80,6 +81,25 @@ def test_hot_stay_in_vital_signs(tables, as_on_large_data):
     assert facts.filter("stay_id = 's0'").count() >= ROWS / 3
 
 
+def test_hot_stay_in_a_stream_of_vital_signs(tables, as_on_large_data, spark, tmp_path, monkeypatch):
+    drop, folder, plans = str(tmp_path / "drop"), str(tmp_path / "out"), []
+    tables["monitoring"].write.parquet(drop)
+    scored = silver.fact_monitoring
+
+    def seen(rows, stays):
+        facts = scored(rows, stays)
+        plans.append(executed(facts))
+        return facts
+
+    monkeypatch.setattr(silver, "fact_monitoring", seen)
+    source = ingest.read_stream(spark, drop, tables["monitoring"].schema)
+    ingest.score_vitals(source, silver.stay_index(tables["sejours"]), folder)
+    assert any("SortMergeJoin(skew=true)" in plan for plan in plans), plans
+    facts = spark.read.parquet(f"{folder}/fact_monitoring")
+    assert facts.count() == ROWS
+    assert facts.filter("stay_id = 's0'").count() >= ROWS / 3
+
+
 def test_hot_stay_in_procedures_and_the_mart_above(tables, as_on_large_data):
     facts = silver.fact_acte(tables["actes"], silver.stay_index(tables["sejours"]))
     assert "SortMergeJoin(skew=true)" in executed(facts)

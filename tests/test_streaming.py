@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import helpers as h
 from helpers import rows
+from pyspark.sql import types as T
 
 from carelake import schemas
 from carelake.plans import silver
@@ -18,34 +19,36 @@ def lake_stays(spark, *stays):
          for s, start, end in stays], LAKE)
 
 
-def typed(lake):
-    return quality.valid(bronze.tagged("sejours", lake))
-
-
-def test_stream_and_batch_give_the_same_bronze_once(spark, tmp_path):
-    drop, target, checkpoint = (str(tmp_path / d) for d in ("drop", "bronze", "checkpoint"))
+def test_stream_and_batch_give_the_same_bronze_and_rejects_once(spark, tmp_path):
+    drop, folder = (str(tmp_path / d) for d in ("drop", "loaded"))
     lake_stays(spark, ("s1", "2026-08-01 10:00:00", ""), ("s2", "nonsense", "")).write.parquet(drop)
 
     def load():
-        ingest.append_new_files(ingest.read_stream(spark, drop, LAKE), target, checkpoint, typed)
-        return spark.read.parquet(target)
+        ingest.load_bronze(ingest.read_stream(spark, drop, LAKE), "sejours", folder)
+        stamped = T.StructType([*schemas.BRONZE["sejours"], T.StructField("ingested_at", T.TimestampType())])
+        return ingest.read_batches(spark, f"{folder}/bronze", stamped)
 
     assert rows(load(), "stay_id") == [("s1",)]
     assert load().count() == 1  # nothing new
     lake_stays(spark, ("s3", "2026-08-01 10:00:00", "2026-08-02 10:00:00")).write.mode("append").parquet(drop)
     streamed = load()
-    assert rows(streamed) == rows(typed(spark.read.schema(LAKE).parquet(drop)))
-    assert streamed.count() == 2
+    tagged = bronze.tagged("sejours", spark.read.schema(LAKE).parquet(drop))
+    assert rows(streamed.drop("ingested_at")) == rows(quality.valid(tagged))
+    assert streamed.count() == 2 and streamed.filter("ingested_at is null").isEmpty()
+    assert rows(streamed, "source_file") == [("sejours/2026-08-01/sejours.csv",)] * 2
+    rejects = ingest.read_batches(spark, f"{folder}/rejects", bronze.rejects(tagged).schema)
+    assert rows(rejects) == rows(bronze.rejects(tagged))
+    assert rows(rejects, "reason") == [("malformed_admission",)]
 
 
 def test_vital_signs_are_scored_on_a_stream(spark, tmp_path):
-    drop, target, checkpoint = (str(tmp_path / d) for d in ("drop", "silver", "checkpoint"))
+    drop, folder = (str(tmp_path / d) for d in ("drop", "silver"))
     measures = h.monitoring(
         spark, ("s1", "2026-08-01 10:00", 130, 98, 37.0), ("s1", "2026-08-01 10:05", 300, 98, 37.0),
         ("s9", "2026-08-01 10:00", 70, 98, 37.0))
     measures.write.parquet(drop)
     stays = silver.stay_index(h.sejours(spark, ("s1", "p", "A", "2026-08-01", None)))
-    source = ingest.read_stream(spark, drop, schemas.BRONZE["monitoring"])
-    ingest.append_new_files(ingest.score_stream(source, stays), target, checkpoint)
-    assert rows(spark.read.parquet(target)) == rows(silver.fact_monitoring(measures, stays))
-    assert spark.read.parquet(target).count() == 1
+    ingest.score_vitals(ingest.read_stream(spark, drop, schemas.BRONZE["monitoring"]), stays, folder)
+    scored = ingest.read_batches(spark, f"{folder}/fact_monitoring", schemas.SILVER["fact_monitoring"])
+    assert rows(scored) == rows(silver.fact_monitoring(measures, stays))
+    assert scored.count() == 1

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from carelake.plans import gold
+from carelake.plans import gold, silver
 from carelake.plans.warehouse import SECRET_SETTING, SECRET_VARIABLE, Folders, Warehouse, pseudonym_secret
 from carelake.sources import drops
 from test_functions import expected_pseudonym
@@ -208,16 +209,15 @@ class Cut(Exception):
 def test_a_load_cut_short_is_done_again(warehouse, monkeypatch, point):
     """A failure before, between or after the two writes; the next load gives what an undisturbed one gives."""
     warehouse.sync_lake()
-    store = {"before": warehouse.rejects, "between": warehouse.bronze}.get(point)
+    # the rejects of the files are removed, for every kind, after its valid rows are written
+    store, step = {"before": (warehouse.bronze, "replace_files"), "between": (warehouse.rejects, "remove_files")}.get(
+        point, (warehouse, "_record_load"))
 
     def cut(*_, **__):
         raise Cut
 
     with monkeypatch.context() as patch:
-        if store:
-            patch.setattr(store, "replace_files", cut)
-        else:
-            patch.setattr(warehouse, "_record_load", cut)
+        patch.setattr(store, step, cut)
         with pytest.raises(Cut):
             warehouse.load_bronze()
     assert len(warehouse.load_bronze()) == 4
@@ -390,6 +390,47 @@ def test_run_from_drops_to_gold(warehouse, tmp_path, spark):
     assert {name: df.count() for name, df in warehouse.silver_tables().items()} == before
 
 
+def test_failed_build_leaves_the_former_silver(warehouse, monkeypatch):
+    with pytest.raises(FileNotFoundError, match="not built"):
+        warehouse.silver_tables()
+    warehouse.sync_lake()
+    warehouse.load_bronze()
+    former = {name: rows(df) for name, df in warehouse.build_silver().items()}
+    assert former["fact_sejours"]
+
+    def fail(*_, **__):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(silver, "build", fail)
+    with pytest.raises(OSError):
+        warehouse.build_silver()
+    assert {name: rows(df) for name, df in warehouse.silver_tables().items()} == former
+    monkeypatch.undo()
+    reading = warehouse.silver_tables()
+    for _ in range(2):
+        first, reading = reading, warehouse.build_silver()
+        assert {name: rows(df) for name, df in first.items()} == former  # the build before is still there
+    builds = Path(warehouse.folders.warehouse, "silver")
+    assert len([p for p in builds.iterdir() if p.is_dir()]) == 2
+
+
+def test_no_scan_for_rejects_where_there_are_none(warehouse, monkeypatch):
+    warehouse.sync_lake()
+    written = []
+    replace = warehouse.rejects.replace_files
+    monkeypatch.setattr(warehouse.rejects, "replace_files", lambda table, *a: (written.append(table), replace(table, *a)))
+    warehouse.load_bronze()
+    assert written == ["sejours"]  # the only kind of the first delivery with rows that do not type
+
+
+def test_vital_signs_are_joined_once_a_run(warehouse):
+    warehouse.sync_lake()
+    warehouse.load_bronze()
+    warehouse.build_silver()
+    plan = warehouse.reject_counts()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_failing_step_is_logged(warehouse, monkeypatch, spark):
     def fail(*_):
         raise RuntimeError("x" * 5000)
