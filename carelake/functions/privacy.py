@@ -53,13 +53,14 @@ def hmac_sha256_hex(message: Column, key: Column) -> Column:
     return F.sha2(F.concat(key["outer"], F.unhex(inner)), 256)
 
 
-def pseudonymize(raw_id: Column, key: Column) -> Column:
+def pseudonymize(raw_id: Column, key: Column, hex_chars: int = PSEUDONYM_HEX_CHARS) -> Column:
     """Stable pseudonym of an identifier; a missing or empty one stays the empty string.
 
-    An identifier made of blanks only is hashed as the empty text, not treated as missing.
+    Two patients who meet in `hex_chars` digits would become one: with 16, that is likely from about
+    5 billion patients on; 64 digits are all there are. An identifier made of blanks only is hashed as the empty text, not treated as missing.
     """
     digest = hmac_sha256_hex(strip(raw_id), key)
-    pseudonym = F.concat(F.lit(PSEUDONYM_PREFIX), F.left(digest, F.lit(PSEUDONYM_HEX_CHARS)))
+    pseudonym = F.concat(F.lit(PSEUDONYM_PREFIX), F.left(digest, F.lit(hex_chars)))
     return F.when(F.coalesce(raw_id, F.lit("")) == "", F.lit("")).otherwise(pseudonym)
 
 

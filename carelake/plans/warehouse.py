@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake import schemas
+from carelake.functions.privacy import PSEUDONYM_HEX_CHARS
 from carelake.operators import ledger, quality
 from carelake.operators.snapshot import newest_snapshot
 from carelake.plans import gold, runlog, silver
@@ -92,9 +93,13 @@ class Folders:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, folders: Folders, secret: str | None = None):
+    def __init__(
+        self, spark: SparkSession, folders: Folders, secret: str | None = None,
+        pseudonym_chars: int = PSEUDONYM_HEX_CHARS,
+    ):
+        """`pseudonym_chars` is the width of the pseudonyms in hex digits; one warehouse keeps one width."""
         self.spark = configure(spark)
-        self.folders = folders
+        self.folders, self.pseudonym_chars = folders, pseudonym_chars
         self.secret = secret or pseudonym_secret(spark)
         entity = {kind: path.split("/")[0] for kind, path in drops.FILE_OF.items()}
         self.lake = DeliveryStore(spark, folders.under("lake"), schemas.LAKE, entity)
@@ -111,41 +116,46 @@ class Warehouse:
     def sync_lake(self, force: bool = False) -> list[str]:
         """Pseudonymise the drops of every date not yet synchronised; returns their files.
 
-        All dates go through one job per kind. If a delivered file cannot be read, the dates are halved
-        until the bad one stands alone: it is recorded as failed and tried again by the next run. Any
-        other error, such as a full disk, is raised at once.
+        All dates go through one job per kind. If a delivered file cannot be read, the files of that
+        kind are halved until the bad one stands alone: its date is recorded as failed and tried again
+        by the next run, and every other file is still written once. Any other error, such as a full
+        disk, is raised at once.
         """
         files = drops.list_files(self.spark, self.folders.drops)
         due = ledger.dates_to_process(files, self.admin.read("lake_sync"), force)
         # one row per delivered file of the new dates: file names, never file content
         listed = files.join(due, "source_date").orderBy("source_date", "source_file").collect()
-        if force and listed:  # until they are through again, these dates don't count as synchronised
-            self._record_sync(sorted({f.source_date for f in listed}), "being synchronised again")
-        return self._sync(listed) if listed else []
-
-    def _sync(self, files: list) -> list[str]:
-        dates = sorted({f.source_date for f in files})
+        if not listed:
+            return []
+        dates = {f.source_date for f in listed}
+        if force:  # until they are through again, these dates don't count as synchronised
+            self._record_sync(dict.fromkeys(dates, "being synchronised again"))
+        failed: dict[date, str] = {}
+        for kind in drops.FILE_OF:
+            failed |= self._to_lake(kind, [f for f in listed if f.kind == kind and f.source_date not in failed])
+        self._record_sync({d: failed.get(d) for d in dates})
+        return [f.source_file for f in listed if f.source_date not in failed]
+
+    def _to_lake(self, kind: str, files: list) -> dict[date, str]:
+        """Write the lake rows of files of one kind; returns the dates of those that cannot be read, with the error."""
+        if not files:
+            return {}
         try:
-            for kind in drops.FILE_OF:
-                of_kind = [f for f in files if f.kind == kind]
-                if of_kind:
-                    raw = drops.read(self.spark, kind, [f.path for f in of_kind])
-                    self.lake.replace_files(kind, privacy.to_lake(kind, raw, self.secret), of_kind)
+            raw = drops.read(self.spark, kind, [f.path for f in files])
+            rows = privacy.to_lake(kind, raw, self.secret, self.pseudonym_chars)
+            self.lake.replace_files(kind, rows, files)
         except Exception as error:
             if not is_file_fault(error):
                 raise
-            if len(dates) == 1:
-                self._record_sync(dates, str(error)[:runlog.ERROR_CHARS])
-                return []
-            middle = dates[len(dates) // 2]
-            return self._sync([f for f in files if f.source_date < middle]) + self._sync(
-                [f for f in files if f.source_date >= middle])
-        self._record_sync(dates)
-        return [f.source_file for f in files]
-
-    def _record_sync(self, dates: list[date], error: str | None = None) -> None:
+            if len(files) == 1:
+                return {files[0].source_date: str(error)[:runlog.ERROR_CHARS]}
+            middle = len(files) // 2
+            return self._to_lake(kind, files[:middle]) | self._to_lake(kind, files[middle:])
+        return {}
+
+    def _record_sync(self, errors: dict[date, str | None]) -> None:
         rows = self.spark.createDataFrame(
-            [(d, error is None, error) for d in dates], "source_date date, success boolean, error string")
+            [(d, e is None, e) for d, e in sorted(errors.items())], "source_date date, success boolean, error string")
         self.admin.append_log("lake_sync", rows.withColumn("synced_at", F.current_timestamp()))
 
     # ---- bronze ----------------------------------------------------------------------------------

@@ -26,7 +26,11 @@ RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session and return it."""
+    """Apply the runtime settings to an existing session and return it.
+
+    They hold for all later queries of that session, in UTC too; pass `spark.newSession()` to keep one
+    with other settings apart.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

@@ -20,11 +20,11 @@ def _lineage(raw: DataFrame) -> list[str]:
     return [c for c in ("malformed", "source_date", "source_file") if c in raw.columns]
 
 
-def patients(raw: DataFrame, secret: str) -> DataFrame:
+def patients(raw: DataFrame, secret: str, hex_chars: int = privacy.PSEUDONYM_HEX_CHARS) -> DataFrame:
     """Pseudonym, year of birth, tidy sex and region; everything else stays behind."""
     key = privacy.pseudonym_key(raw.sparkSession, secret)
     return guard(raw.select(
-        privacy.pseudonymize(F.col("patient_id"), key).alias("patient_pseudo_id"),
+        privacy.pseudonymize(F.col("patient_id"), key, hex_chars).alias("patient_pseudo_id"),
         F.coalesce(privacy.birth_year(F.col("birth_date")).cast("string"), F.lit("")).alias("birth_year"),
         F.upper(_text("sex")).alias("sex"),
         _text("region_code"),
@@ -32,11 +32,11 @@ def patients(raw: DataFrame, secret: str) -> DataFrame:
     ))
 
 
-def sejours(raw: DataFrame, secret: str) -> DataFrame:
+def sejours(raw: DataFrame, secret: str, hex_chars: int = privacy.PSEUDONYM_HEX_CHARS) -> DataFrame:
     """P5: the same pseudonym as the patients', so the two still join; other columns are tidied."""
     kept = [c for c in schemas.RAW_TEXT["sejours"] if c not in IDENTIFYING and c in raw.columns]
     key = privacy.pseudonym_key(raw.sparkSession, secret)
-    pseudonym = privacy.pseudonymize(F.col("patient_id"), key).alias("patient_pseudo_id")
+    pseudonym = privacy.pseudonymize(F.col("patient_id"), key, hex_chars).alias("patient_pseudo_id")
     return guard(raw.select(kept[0], pseudonym, *kept[1:], *_lineage(raw)).withColumns(
         {c: _text(c) for c in kept}))
 
@@ -49,10 +49,12 @@ def guard(lake: DataFrame) -> DataFrame:
     return lake
 
 
-def to_lake(kind: str, raw: DataFrame, secret: str) -> DataFrame:
+def to_lake(
+    kind: str, raw: DataFrame, secret: str, hex_chars: int = privacy.PSEUDONYM_HEX_CHARS,
+) -> DataFrame:
     """Lake rows of one kind. Kinds without personal columns pass through unchanged."""
     if kind == "patients":
-        return patients(raw, secret)
+        return patients(raw, secret, hex_chars)
     if kind == "sejours":
-        return sejours(raw, secret)
+        return sejours(raw, secret, hex_chars)
     return guard(raw)

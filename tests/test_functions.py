@@ -76,6 +76,12 @@ def test_pseudonyms_are_stable_and_distinct(spark):
     assert len(set(got)) == 5000
 
 
+def test_pseudonyms_can_be_wider(spark):
+    key = privacy.pseudonym_key(spark, "k")
+    (got,) = evaluate(column(spark, ["IPP1"]), privacy.pseudonymize(F.col("x"), key, 40))
+    assert len(got) == len("PSEUDO_") + 40 and got.startswith(expected_pseudonym("IPP1", "k"))
+
+
 def test_pseudonym_needs_a_secret(spark):
     with pytest.raises(ValueError):
         privacy.pseudonym_key(spark, "")

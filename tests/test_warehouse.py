@@ -340,13 +340,21 @@ def test_newest_reference_replaces_the_older(warehouse, tmp_path):
     assert rows(warehouse.rejects.read("ref_ccam"), "reason") == [("malformed_tariff",)]
 
 
-def test_bad_date_is_recorded_and_tried_again(warehouse, tmp_path):
+def test_bad_date_is_recorded_and_tried_again(warehouse, tmp_path, monkeypatch):
     root = tmp_path / "drops"
     put(root, "sejours/2026-08-02/sejours.csv", SEJOURS)
     put(root, "monitoring/2026-08-03/monitoring.parquet", "this is not parquet")
     put(root, "sejours/2026-08-04/sejours.csv", SEJOURS)
+    written, replace = [], warehouse.lake.replace_files
+
+    def counted(table, lake_rows, files):
+        replace(table, lake_rows, files)
+        written.extend(f.source_file for f in files)
+
+    monkeypatch.setattr(warehouse.lake, "replace_files", counted)
     synced = warehouse.sync_lake()
     assert {f.split("/")[1] for f in synced} == {"2026-08-01", "2026-08-02", "2026-08-04"}
+    assert sorted(written) == sorted(synced)  # each good file once
     log = warehouse.admin.read("lake_sync")
     assert [str(r[0]) for r in rows(log.filter("not success"), "source_date")] == ["2026-08-03"]
     assert log.filter("not success").first().error
