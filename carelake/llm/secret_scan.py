@@ -3,7 +3,7 @@
 Candidates are runs of at least 16 key characters. Each is described by its length, the transitions between character
 classes, the share of its letters that dictionary words cover, the path of its document and the words around it. A
 random forest trained on labelled findings decides. Labelled findings can be passed in; otherwise they are taken from
-the scanned candidates themselves by `labelled_by_format`, as many as `train_rows` at most.
+the scanned candidates themselves by `labelled_by_format`, as many distinct vectors as `train_rows` at most.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from carelake.llm.common import free_name, let, located, text_of, written
 
 DICTIONARY = "word_bpe_49k.json"
 REDACTED = "[SECRET]"
-#: The forest is fitted on at most so many labelled findings, half of each label.
+#: The forest is fitted on at most so many distinct vectors of labelled findings, half of each label.
 TRAIN_ROWS = 8000
 TREES, DEPTH, SEED = 40, 8, 11
 #: Code points kept of the text before and after a candidate.
@@ -123,22 +123,36 @@ def labelled_by_format(found: DataFrame) -> DataFrame:
     return marked.unionByName(bare)
 
 
-def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Transformer | None:
-    """The forest, fitted on at most `train_rows` findings with `FEATURES` and `label`; None without both labels.
+def sample(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """label, `FEATURES` and `weight`: at most `train_rows // 2` distinct vectors of each label, those of smallest hash.
 
-    The sample is the rows of smallest hash of each label, read in a fixed order, so the same findings give the same
-    forest.
+    Equal findings are one vector, so copies of rows take no other vector's place. A vector weighs the root of the
+    number of its findings, and both labels weigh the same together, so multiplying every row changes nothing.
     """
     names = ["label", *FEATURES]
+    distinct = labelled.groupBy(*names).agg(F.count("*").alias("found"))
     half = [
-        labelled.filter(F.col("label") == label).select(*names).orderBy(F.xxhash64(*names), *names).limit(train_rows // 2)
+        distinct.filter(F.col("label") == label).orderBy(F.xxhash64(*names), *names).limit(train_rows // 2)
         for label in (0.0, 1.0)]
-    sample = written(half[0].unionByName(half[1]).coalesce(1), "op3-sample").coalesce(1)
-    if sample.select("label").distinct().count() < 2:
+    taken = written(half[0].unionByName(half[1]).coalesce(1), "op3-sample").coalesce(1)
+    # at most train_rows rows; whole millionths, so the sum doesn't depend on their order
+    share = F.rint(F.sqrt("found") * 1_000_000).cast("bigint")
+    totals = taken.groupBy(F.col("label").alias("_label")).agg(F.sum(share).alias("_total"))
+    joined = taken.join(F.broadcast(totals), F.col("label") == F.col("_label"))
+    return joined.select(*names, F.round(share / F.col("_total") * (train_rows // 2), 6).alias("weight"))
+
+
+def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Transformer | None:
+    """The forest, fitted on the `sample` of findings with `FEATURES` and `label`; None without both labels.
+
+    The sample is read in a fixed order, so the same findings give the same forest.
+    """
+    taken = sample(labelled, train_rows)
+    if taken.select("label").distinct().count() < 2:
         return None
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
+    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(taken)
     return RandomForestClassifier(
-        numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features").fit(vectors)
+        numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features", weightCol="weight").fit(vectors)
 
 
 def scored(found: DataFrame, forest: Transformer | None) -> DataFrame:

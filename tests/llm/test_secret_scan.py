@@ -57,6 +57,18 @@ def test_held_out_accuracy(spark, tmp_path):
     assert n > 20 and right >= 0.95 * n
 
 
+def test_copies_take_no_other_vectors_place(spark, tmp_path):
+    docs, at, _ = scanned(spark, tmp_path, corpus())
+    words = secret_scan.dictionary(spark, secret_scan.public_tokenizers.path(secret_scan.DICTIONARY))
+    known = secret_scan.features(secret_scan.labelled_by_format(secret_scan.candidates(docs, at, "text", "source")), words)
+    known = known.select("label", *secret_scan.FEATURES).localCheckpoint()
+    distinct = known.distinct().groupBy("label").count().collect()
+    copies = known.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    once, many = ({tuple(r)[:-1]: r.weight for r in secret_scan.sample(x, 16).collect()} for x in (known, copies))
+    assert once.keys() == many.keys() and all(abs(once[v] - many[v]) < 1e-4 for v in once)
+    assert len(once) == sum(min(8, r["count"]) for r in distinct)
+
+
 def test_stage_redacts_and_keeps_everything_else(spark, tmp_path):
     rows = [*corpus(), (900, None, None, 5, 1, 2, "f"), (901, "", "x", 0, 1, 2, "f"), (None, f"token: '{key(5)}' é", "x", 3, 1, 2, "f")]
     rows += [rows[0], rows[0]]
