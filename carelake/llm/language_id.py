@@ -5,8 +5,9 @@
 3. The address suffix and 4. the host: priors smoothed down the hierarchy all pages > suffix > domain > host.
 
 2 to 4 are learned from all pages by grouped aggregation of the posteriors that the text alone gives. A page's own
-share is taken out of every sum it meets, so it never speaks for itself twice. Posteriors are kept as whole millionths,
-so sums don't depend on the order of rows.
+share is taken out of every sum it meets, so it never speaks for itself twice; a level's own pages are taken out of the
+level above, so a host's pages speak once. Summed posteriors are whole millionths, so sums don't depend on the order of
+rows; a page's own text counts with its unrounded log posterior.
 """
 
 from __future__ import annotations
@@ -73,12 +74,20 @@ class Model:
             n[r.bucket, place[r.lang]] += r.n
         self.log = np.log(n / n.sum(0))
 
-    def posterior(self, text: str) -> np.ndarray:
-        """Of the text alone, languages being equally likely before; in millionths."""
+    def log_posterior(self, text: str) -> np.ndarray:
+        """Of the text alone, languages being equally likely before; unrounded."""
         found = buckets(text)
         score = self.log[found].sum(0) * (ENOUGH / (len(found) + ENOUGH)) if len(found) else np.zeros(self.log.shape[1])
-        p = np.exp(score - score.max())
-        return np.rint(ONE * p / p.sum()).astype(np.int64)
+        score -= score.max()
+        return score - np.log(np.exp(score).sum())
+
+    def posterior(self, text: str) -> np.ndarray:
+        """The same in millionths."""
+        return millionths(self.log_posterior(text))
+
+
+def millionths(log: np.ndarray) -> np.ndarray:
+    return np.rint(ONE * np.exp(log)).astype(np.int64)
 
 
 def fit(labelled: DataFrame, text_col: str, lang_col: str) -> Model:
@@ -86,15 +95,15 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str) -> Model:
 
 
 def by_text(pages: DataFrame, model: Model, text_col: str) -> DataFrame:
-    """The rows with `q`, the posterior of the text alone, instead of the text."""
+    """The rows with `q`, the posterior of the text alone, and `log_q`, its unrounded logarithm, instead of the text."""
     rest = [c for c in pages.columns if c != text_col]
-    schema = pages.select(*rest, F.array(F.lit(0).cast("bigint")).alias("q")).schema
+    schema = pages.select(*rest, F.array(F.lit(0).cast("bigint")).alias("q"), F.array(F.lit(0.0)).alias("log_q")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.posterior(t.as_py()) for t in batch.column(text_col)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in rest), pa.array(found, pa.list_(pa.int64()))], [*rest, "q"])
+            logs = [model.log_posterior(t.as_py()) for t in batch.column(text_col)]
+            q, log = pa.array(map(millionths, logs), pa.list_(pa.int64())), pa.array(logs, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), q, log], [*rest, "q", "log_q"])
 
     return pages.mapInArrow(run, schema)
 
@@ -119,24 +128,26 @@ def _without(sums: Column, own: Column) -> Column:
 
 
 def fused(rows: DataFrame, langs: list[str]) -> DataFrame:
-    """id, declared, text_lang, lang and posterior of rows with q, declared, suffix, domain and host."""
+    """id, declared, text_lang, lang and posterior of rows with q, log_q, declared, suffix, domain and host."""
     n = len(langs)
     # one row of as many numbers as there are languages
     *sums, n_all = rows.agg(*(F.coalesce(F.sum(F.col("q")[k]), F.lit(0)) for k in range(n)), F.count("*")).first()
     sum_all, joined = F.array(*(F.lit(x).cast("bigint") for x in sums)), rows
     for key in ("suffix", "domain", "host", "declared"):
         joined = lookup(joined, _sums(rows, key, n), key, "left")
-    base = F.transform(_without(sum_all, F.col("q")), lambda s: (s + 1) / (n_all - 1 + n))
     joined = joined.withColumn("share", F.col("n_declared") / n_all)
-    for key in ("suffix", "domain", "host"):
-        name, others = f"prior_{key}", F.col(f"n_{key}") - 1
+    # each level without the pages of the level below, and the host without the page itself
+    base = F.transform(_without(sum_all, F.col("sum_suffix")), lambda s: (s + 1) / (n_all - F.col("n_suffix") + n))
+    below = {"suffix": ("sum_domain", F.col("n_domain")), "domain": ("sum_host", F.col("n_host")), "host": ("q", F.lit(1))}
+    for key, (own, n_own) in below.items():
+        name, others = f"prior_{key}", F.col(f"n_{key}") - n_own
         joined = joined.withColumn(name, F.zip_with(
-            _without(F.col(f"sum_{key}"), F.col("q")), base, lambda s, p: (s + KAPPA * p) / (others + KAPPA)))  # noqa: B023
+            _without(F.col(f"sum_{key}"), F.col(own)), base, lambda s, p: (s + KAPPA * p) / (others + KAPPA)))  # noqa: B023
         base = F.col(name)
     given = F.zip_with(
         _without(F.col("sum_declared"), F.col("q")), _without(sum_all, F.col("q")),
         lambda s, a: (s + BETA * F.col("share")) / (a + BETA))
-    log = F.zip_with(F.zip_with("q", base, lambda q, p: F.log(F.greatest(q, F.lit(1)) / ONE) + F.log(p)), given, lambda x, g: x + F.log(g))
+    log = F.zip_with(F.zip_with("log_q", base, lambda q, p: q + F.log(p)), given, lambda x, g: x + F.log(g))
     joined = joined.withColumn("log", log).withColumn("top", F.array_max("log"))
     joined = joined.withColumn("mass", F.aggregate("log", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
     names = F.array(*map(F.lit, langs))
@@ -145,7 +156,7 @@ def fused(rows: DataFrame, langs: list[str]) -> DataFrame:
         return F.element_at(names, F.array_position(values, F.array_max(values)).cast("int"))
 
     return joined.select(
-        "id", "declared", first("q").alias("text_lang"), first("log").alias("lang"), F.round(1 / F.col("mass"), 4).alias("posterior"))
+        "id", "declared", first("log_q").alias("text_lang"), first("log").alias("lang"), F.round(1 / F.col("mass"), 4).alias("posterior"))
 
 
 def identify(pages: DataFrame, model: Model, id_col: str, url_col: str, html_col: str) -> DataFrame:

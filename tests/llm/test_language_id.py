@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from carelake.llm import language_id
 from carelake.llm.queries import QUERIES
 
@@ -36,6 +38,31 @@ def test_host_and_markup_decide_where_the_text_does_not(spark):
     assert got[0].text_lang == got[0].lang == "de"
 
 
+def test_clear_text_wins_against_a_large_host(spark):
+    model = language_id.fit(spark.read.parquet(f"{SF}/documents.parquet"), "text", "lang")
+    texts = {r.lang: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars > 400").orderBy("doc_id").collect()}
+    q = {x: (model.posterior(t).tolist(), model.log_posterior(t).tolist()) for x, t in texts.items()}
+    german, english, french = (q[x] for x in ("de", "en", "fr"))
+    schema = "id bigint, declared string, suffix string, domain string, host string, q array<bigint>, log_q array<double>"
+    few = [(-2, "", "de", "a.de", "www.a.de", *english), (-1, "", "de", "b.de", "b.de", *french)]
+    few += [(-10 - i, "", "de", f"c{i}.de", f"c{i}.de", *(german if i else english)) for i in range(50)]
+    one = spark.createDataFrame([(0, "", "de", "a.de", "www.a.de", *german)], schema)
+    many = one.crossJoin(spark.range(1, 100_001).select(F.col("id").alias("n"))).withColumn("id", F.col("n")).drop("n")
+    got = language_id.fused(many.unionByName(spark.createDataFrame(few, schema)), model.langs)
+    assert [r.lang for r in got.filter("id = -2").collect()] == ["en"]
+    assert got.filter("id > 0 and lang = 'de'").count() == 100_000
+
+
+def test_host_speaks_once(spark):
+    """A page without text on a host of 1000 pages of one language: no level counts them again."""
+    even, german = ([500_000] * 2, [-0.6931471805599453] * 2), ([1_000_000, 0], [0.0, -800.0])
+    rows = [(i, "", "de", "a.de", "www.a.de", *(german if i else even)) for i in range(1001)]
+    schema = "id bigint, declared string, suffix string, domain string, host string, q array<bigint>, log_q array<double>"
+    got = language_id.fused(spark.createDataFrame(rows, schema), ["de", "en"]).filter("id = 0").first()
+    # the other language keeps half of KAPPA pages of 1004 at the host
+    assert got.lang == "de" and 1 - got.posterior > 0.001
+
+
 def test_nulls_and_repeated_rows(spark):
     got = found(spark, [(1, None, None), (2, "", ""), (2, "", ""), (None, "http://x.org", GERMAN)])
     assert set(got) == {1, 2, None}
