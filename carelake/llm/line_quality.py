@@ -30,6 +30,8 @@ BOILERPLATE = (
     r"|share (this )?on (facebook|twitter|linkedin)|follow us on|skip to (main )?content|back to top"
     r"|click here to|lorem ipsum)\b"
 )
+#: A line is boilerplate if its phrases hold at least one of so many of its words.
+PHRASE_SHARE = 4
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -38,14 +40,15 @@ def _without(text: Column, characters: str) -> Column:
 
 def line_fails(line: Column) -> Column:
     """Punctuation: no letter or digit at all, or runs of marks on a third of the words. Navigation: separators
-    between at most four words each. Boilerplate: one of the known phrases. Blank lines don't fail."""
+    between at most four words each. Boilerplate: known phrases that hold a quarter of the words. Blank lines don't fail."""
     words = F.regexp_count(line, F.lit(WORD))
+    phrases = F.regexp_count(F.array_join(F.regexp_extract_all(line, F.lit(BOILERPLATE), F.lit(0)), " "), F.lit(WORD))
     marks, separators = F.regexp_count(line, F.lit(RUN_OF_MARKS)), F.regexp_count(line, F.lit(SEPARATOR))
     return (words > 0) & (
         ~line.rlike(r"[\p{L}\p{N}]")
         | ((marks >= 2) & (3 * marks >= words))
         | ((separators >= 2) & (5 * separators >= words))
-        | line.rlike(BOILERPLATE)
+        | (line.rlike(BOILERPLATE) & (PHRASE_SHARE * phrases >= words))
     )
 
 

@@ -52,6 +52,15 @@ def test_line_rules(spark):
     assert all(got[x] for x in bad) and not any(got[x] for x in fine)
 
 
+def test_a_phrase_does_not_fail_a_long_line(spark):
+    article = f"{' '.join(GOOD)} The ministry published its privacy policy on the same day, and nobody took offence."
+    docs = spark.createDataFrame([(1, article, 0), (2, f"{article}\nAll rights reserved.", 0)], "doc_id bigint, text string, n_chars bigint")
+    assert [r.text for r in line_quality.stage(spark, docs, "").collect()] == [article] * 2
+    several = "Click here to read our privacy policy and terms of use before you order."
+    rows = spark.createDataFrame([(several,)], "line string")
+    assert rows.select(line_quality.line_fails(rows.line)).first()[0]
+
+
 def test_stage(spark):
     keep, drop = "\n".join([*GOOD, "All rights reserved."]), "\n".join(["Home | News | Sports | Contact | About us"] * 1 + [f"A | b | c | d | e{i}" for i in range(9)])
     docs = spark.createDataFrame(
