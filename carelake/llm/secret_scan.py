@@ -1,6 +1,7 @@
 """Operator 3: secrets in texts, with a random forest that takes out false positives. Native: no Python on executors.
 
-Candidates are runs of at least 16 key characters. Each is described by its length, the transitions between character
+Candidates are keys of issued formats wherever they stand, values of at least 6 characters without white space that an
+announcing name is assigned, and runs of at least 16 key characters. Each is described by its length, the transitions between character
 classes, the share of its letters that dictionary words cover, the path of its document and the words around it. A
 random forest trained on labelled findings decides. Labelled findings can be passed in; otherwise they are taken from
 the scanned candidates themselves by `labelled_by_format`, as many distinct vectors as `train_rows` at most.
@@ -29,10 +30,27 @@ TREES, DEPTH, SEED = 40, 8, 11
 BEFORE, AFTER = 48, 16
 
 # What a candidate looks like, the words that announce a secret, formats of issued keys, paths of samples.
-CANDIDATE = r"(?<![\p{L}\p{N}_+/\-])[A-Za-z0-9_+/\-]{16,}+={0,2}(?![\p{L}\p{N}])"
 NAMES = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?)"
 ASSIGNED = r"[\"']?[ \t]{0,4}(=|:|=>|:=)[ \t]{0,4}[\"']?$"
-ISSUED = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^sk_(live|test)_[A-Za-z0-9]{16,}$|^xox[abp]-[0-9A-Za-z-]{10,}$"
+_KEYS = r"(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_(?:live|test)_[A-Za-z0-9]{16,}+|xox[abp]-[0-9A-Za-z-]{10,}+)"
+ISSUED = f"^{_KEYS}$"
+_ISSUED_HERE = rf"(?<![A-Za-z0-9]){_KEYS}(?![A-Za-z0-9])"
+# An announcing name that ends as a word does ("author" and "passage" announce nothing), and its assignment, before a value.
+_ANNOUNCED = (
+    r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?)"
+    r"(?:s|[0-9_ ][A-Za-z0-9_ ]{0,11}|(?<=[a-z])[A-Z][A-Za-z0-9_ ]{0,11})?[\"']?[ \t]{0,4}(?::=|=>|=|:)[ \t]{0,4}[\"']?")
+# Where an unquoted value ends: at white space or a quote, before closing punctuation, a closing tag, the next parameter.
+_VALUE = r"(?:(?![,;.)\]}]{1,4}(?:[\s\"'`<]|$)|</|&\w{1,40}=|" + _ISSUED_HERE + r")[^\s\"'`]){6,}+"
+_KEY_CHARACTER = r"[A-Za-z0-9_+/\-]"
+# Groups that repeat are possessive: Java then walks a long text in a loop. A run may begin where a key of an issued format ended.
+CANDIDATE = (
+    rf"{_ISSUED_HERE}"
+    rf"|(?<=[=:>\"' \t])(?<=[=:>][ \t]{{0,4}}[\"']?)(?<={_ANNOUNCED}){_VALUE}"
+    rf"|(?:\G|(?<!{_KEY_CHARACTER}))(?={_KEY_CHARACTER}{{16}})(?:(?!{_ISSUED_HERE}){_KEY_CHARACTER}){{16,}}+(?:={{1,2}}(?![A-Za-z0-9]))?")
+# Short values of a name that are no secret: a word, a placeholder, a reference or call in code, an address.
+PLAIN = (
+    r"^(?:[A-Za-z]{1,15}|[*.\u2022xX_\-]+|[$%]?[{<(\[].*|%[A-Z_]+%|\$[A-Z_]+"
+    r"|[A-Za-z_]\w*(?:(?:\.|::|->)[A-Za-z_]\w*)*[(\[].*|[A-Za-z_]+(?:(?:\.|::|->)[A-Za-z_]+)+|https?://[^@]*)$")
 SAMPLE_PATH = r"(?i)(test|example|sample|doc|fixture|vendor)"
 VOWELS, CONSONANTS = "aeiou", "bcdfghjklmnpqrstvwxyz"
 _FROM = VOWELS + CONSONANTS + VOWELS.upper() + CONSONANTS.upper() + "0123456789_+/-="
@@ -55,10 +73,12 @@ def candidates(docs: DataFrame, at: str, text_col: str, path_col: str | None) ->
     text = text_of(text_col)
 
     def found(gaps: Column) -> Column:
+        # the name of a value may be a candidate itself, so the one before belongs to the text before
         return let(F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), lambda all_: F.transform(
             all_, lambda c, i: F.struct(
                 i.alias("pos"), c.alias("candidate"), F.length(gaps[i]).alias("gap"),
-                F.right(gaps[i], F.lit(BEFORE)).alias("before"), F.left(gaps[i + 1], F.lit(AFTER)).alias("after"))))
+                F.right(F.concat(F.when(i > 0, all_[F.greatest(i - 1, F.lit(0))]).otherwise(""), gaps[i]), F.lit(BEFORE)).alias("before"),
+                F.left(gaps[i + 1], F.lit(AFTER)).alias("after"))))
 
     rows = docs.filter(text.rlike(CANDIDATE)).select(
         F.col(f"{at}.file").alias("file"), F.col(f"{at}.row").alias("row"), path.alias("path"),
@@ -98,6 +118,7 @@ def features(found: DataFrame, words: DataFrame, key: tuple[str, ...] = KEY) ->
         "quoted": (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"),
         "prose_before": F.col("before").rlike(r"\p{L}{2,}[,.]? $").cast("double"),
         "prose_after": F.col("after").rlike(r"^[,.]? \p{L}{2,}").cast("double"),
+        "plain": F.col("candidate").rlike(PLAIN).cast("double"),
         "sample_path": F.col("path").rlike(SAMPLE_PATH).cast("double"),
     }
     return found.withColumns(numbers).join(covered, list(key), "left").withColumn(
@@ -106,17 +127,18 @@ def features(found: DataFrame, words: DataFrame, key: tuple[str, ...] = KEY) ->
 
 FEATURES = (
     "n", *TRANSITIONS, "digits", "capitals", "distinct", "hex", "issued", "named", "assigned", "quoted",
-    "prose_before", "prose_after", "sample_path", "dictionary",
+    "prose_before", "prose_after", "plain", "sample_path", "dictionary",
 )
 
 
 def labelled_by_format(found: DataFrame) -> DataFrame:
     """Labelled findings: `label` 1 for issued formats and for random-looking values that are assigned to a telling
-    name, also with the words around them removed; 0 for values without such signs."""
+    name, also with the words around them removed; 0 for values without such signs and for plain ones of a name."""
     named = F.col("before").rlike(NAMES + r"[A-Za-z0-9_ ]{0,12}" + ASSIGNED)
     mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
     issued = F.col("candidate").rlike(ISSUED)
-    marked = found.withColumn("label", F.when(issued | (named & mixed), 1.0).when(~named & ~issued, 0.0))
+    plain = F.col("candidate").rlike(PLAIN)
+    marked = found.withColumn("label", F.when(issued | (named & mixed & ~plain), 1.0).when(~named | plain, 0.0))
     marked = marked.filter("label is not null")
     bare = marked.filter((F.col("label") == 1) & (F.length("candidate") >= 20)).withColumns({
         "before": F.lit(" "), "after": F.lit(" "), "pos": -1 - F.col("pos")})
@@ -159,7 +181,7 @@ def scored(found: DataFrame, forest: Transformer | None) -> DataFrame:
     """The findings with `score` (probability of a secret) and `secret`. Without a forest the issued formats and named
     values count."""
     if forest is None:
-        rule = F.greatest("issued", F.least("named", F.ceil("digits")))
+        rule = F.greatest("issued", F.least("named", F.ceil("digits"), 1 - F.col("plain")))
         return found.withColumn("score", rule.cast("double")).withColumn("secret", F.col("score") >= 0.5)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
     voted = forest.transform(vectors).withColumn("score", F.round(vector_to_array("probability")[1], 6))
