@@ -23,15 +23,18 @@ from carelake.llm.common import table, text_of, written
 from carelake.operators.lookup import lookup
 
 BUCKETS = 1 << 14
+#: More distinct languages than this in the labels are an error, as the model holds `BUCKETS` numbers for each.
+MAX_LANGS = 256
 #: Trigrams of one text depend on each other: n of them count as n * ENOUGH / (n + ENOUGH).
 ENOUGH = 60.0
 #: Weight of a parent's prior, in pages; of the overall share of a declared language, in pages.
 KAPPA, BETA = 4.0, 2.0
 ONE = 1_000_000
 
-# What of a page is no text.
+# What of a page is no text; the primary subtag of a language tag.
 NO_TEXT = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w{1,10};"
 DECLARED = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})\b"
+PRIMARY = r"^\s*([a-zA-Z]{2,3})(?:[-_][a-zA-Z0-9_-]*)?\s*$"
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -44,9 +47,15 @@ def buckets(text: str) -> np.ndarray:
     return (key * np.uint32(2654435761)) >> np.uint32(32 - 14)
 
 
+def primary(lang: Column) -> Column:
+    """The primary language subtag of a tag, in lower case; what is no tag stays as it is."""
+    found = F.regexp_extract(lang, PRIMARY, 1)
+    return F.when(found != "", F.lower(found)).otherwise(lang)
+
+
 def counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, bucket, n) over all labelled texts. A task sends one row per language and bucket at most."""
-    texts = labelled.select(F.col(lang_col).alias("lang"), text_of(text_col).alias("text")).filter("lang is not null")
+    texts = labelled.select(primary(F.col(lang_col)).alias("lang"), text_of(text_col).alias("text")).filter("lang is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -64,7 +73,7 @@ def counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 class Model:
-    """Log probabilities of the buckets; at most `BUCKETS` numbers a language, whatever the corpus."""
+    """Log probabilities of the buckets: `BUCKETS` numbers for each of at most `MAX_LANGS` languages."""
 
     def __init__(self, rows: list):
         self.langs = sorted({r.lang for r in rows})
@@ -91,6 +100,10 @@ def millionths(log: np.ndarray) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, text_col: str, lang_col: str) -> Model:
+    """The model of the labelled texts, by the primary subtags of their languages; more than `MAX_LANGS` are an error."""
+    langs = [r[0] for r in labelled.select(primary(F.col(lang_col))).distinct().limit(MAX_LANGS + 2).collect() if r[0] is not None]
+    if len(langs) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages in column {lang_col}, such as {sorted(langs)[:5]}: clean the labels first")
     return Model(counts(labelled, text_col, lang_col).collect())
 
 

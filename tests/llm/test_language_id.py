@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from carelake.llm import language_id
@@ -77,6 +78,16 @@ def test_evidence(spark):
     assert r.text.split() == ["one", "two"]
 
 
+def test_languages_are_primary_subtags_and_bounded(spark):
+    tags = ["en", "en-US", "EN_gb", " en ", None, "de-Latn-AT", "not a tag"]
+    rows = spark.createDataFrame([(f"the text {t}", t) for t in tags], "text string, lang string")
+    assert language_id.fit(rows, "text", "lang").langs == ["de", "en", "not a tag"]
+    dirty = spark.range(language_id.MAX_LANGS + 1).selectExpr("'some text' as text", "concat('label ', id) as lang")
+    with pytest.raises(ValueError, match="languages in column lang"):
+        language_id.fit(dirty, "text", "lang")
+    assert len(language_id.fit(dirty.filter("id > 0"), "text", "lang").langs) == language_id.MAX_LANGS
+
+
 def test_empty_pages(spark, parquet):
     folder = parquet("documents", [(1, "the of and", "en")], "doc_id bigint, text string, lang string")
     parquet("pages", [], "page_id bigint, url string, html string")
