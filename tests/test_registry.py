@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import oracle_check
@@ -34,3 +37,14 @@ def test_entry(spark):
     result = entry.entry(spark)
     assert result.columns[0] == "service_code"
     assert result.count() > 0
+
+
+def test_entry_without_the_training_data_operators(tmp_path):
+    """Every other query stays registered in a copy that lacks their folders, whether or not the pipeline lies there."""
+    repo, out = Path(__file__).resolve().parent.parent, shutil.ignore_patterns("llm", ".git", "__pycache__", "tests")
+    shutil.copytree(repo, tmp_path / "copy", ignore=out)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+    for _ in range(2):
+        said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", capture_output=True, text=True, check=True)
+        assert said.stdout.split() == [str(len(QUERIES)), str(len(SQL)), "False"]
+        (tmp_path / "copy" / "corpus_pipeline.py").unlink(missing_ok=True)
