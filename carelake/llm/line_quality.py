@@ -87,7 +87,7 @@ def verdict(text: Column) -> Column:
     with_word = F.filter(lines, lambda x: F.length(_without(x, WHITE)) > 0)
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     good = F.filter(lines, lambda x: ~line_fails(x))
-    length = F.length(text)
+    length = F.length(text).cast("bigint")  # a hundred times the length of a long text is beyond 32 bits
 
     def judged(w: Column) -> Column:
         n = F.size(w).cast("bigint")
@@ -95,7 +95,7 @@ def verdict(text: Column) -> Column:
             (n < MIN_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n), lambda failed: F.struct(
                 n.alias("n_words"),
                 F.length(_without(text, WHITE)).cast("bigint").alias("word_chars"),
-                (length - F.length(_without(text, SYMBOLS))).cast("bigint").alias("n_symbols"),
+                (length - F.length(_without(text, SYMBOLS))).alias("n_symbols"),
                 let(with_word, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
                 repeat.alias("n_repeat_words"),
                 failed.alias("base_failed"),
@@ -146,12 +146,13 @@ repeats as (select r, count(*) as n_repeat_words from hit group by r),
 lines as (select r, unnest(string_split(t, chr(10))) as l from base),
 marks as (
   select r, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) as nw,
+    len(regexp_extract_all(array_to_string(regexp_extract_all(l, '(?i)\b(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings)|we use cookies|accept (all )?cookies|enable javascript|subscribe to our newsletter|sign up for our newsletter|share (this )?on (facebook|twitter|linkedin)|follow us on|skip to (main )?content|back to top|click here to|lorem ipsum)\b'), ' '), '[^\x20\x09-\x0D]+')) as np,
     len(regexp_extract_all(l, '[!?#*$%&|<>~^=_+]{2,}')) as nm,
     len(list_filter(regexp_split_to_array(l, '\s'), lambda x: x in ('|', '>', '»', '›', '·', '•'))) as ns
   from lines),
 judged as (
   select r, l, nw, (nw > 0 and (not regexp_matches(l, '[\p{L}\p{N}]') or (nm >= 2 and 3 * nm >= nw)
-    or (ns >= 2 and 5 * ns >= nw) or regexp_matches(l, '(?i)\b(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings)|we use cookies|accept (all )?cookies|enable javascript|subscribe to our newsletter|sign up for our newsletter|share (this )?on (facebook|twitter|linkedin)|follow us on|skip to (main )?content|back to top|click here to|lorem ipsum)\b')))
+    or (ns >= 2 and 5 * ns >= nw) or (np > 0 and 4 * np >= nw)))
     as bad from marks),
 per as (
   select r, count(*) filter (nw > 0) - count(distinct l) filter (nw > 0) as n_dup_lines,
