@@ -23,8 +23,6 @@ from carelake.llm.common import table, text_of, written
 from carelake.operators.lookup import lookup
 
 BUCKETS = 1 << 14
-#: More distinct languages than this in the labels are an error, as the model holds `BUCKETS` numbers for each.
-MAX_LANGS = 256
 #: Trigrams of one text depend on each other: n of them count as n * ENOUGH / (n + ENOUGH).
 ENOUGH = 60.0
 #: Weight of a parent's prior, in pages; of the overall share of a declared language, in pages.
@@ -48,9 +46,8 @@ def buckets(text: str) -> np.ndarray:
 
 
 def primary(lang: Column) -> Column:
-    """The primary language subtag of a tag, in lower case; what is no tag stays as it is."""
-    found = F.regexp_extract(lang, PRIMARY, 1)
-    return F.when(found != "", F.lower(found)).otherwise(lang)
+    """The primary language subtag of a tag, in lower case. What has not the form of a tag is no label: null."""
+    return F.nullif(F.lower(F.regexp_extract(lang, PRIMARY, 1)), F.lit(""))
 
 
 def counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -73,20 +70,20 @@ def counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 class Model:
-    """Log probabilities of the buckets: `BUCKETS` numbers for each of at most `MAX_LANGS` languages."""
-
-    def __init__(self, rows: list):
-        self.langs = sorted({r.lang for r in rows})
-        place = {x: i for i, x in enumerate(self.langs)}
-        n = np.full((BUCKETS, max(1, len(self.langs))), 0.5)
-        for r in rows:
-            n[r.bucket, place[r.lang]] += r.n
+    """Log probabilities of the buckets: `BUCKETS` numbers for each language."""
+
+    def __init__(self, sums: dict[str, np.ndarray]):
+        """`sums` holds the counts of all buckets by language."""
+        self.langs = sorted(sums)
+        n = np.full((BUCKETS, max(1, len(sums))), 0.5)
+        for place, lang in enumerate(self.langs):
+            n[:, place] += sums[lang]
         self.log = np.log(n / n.sum(0))
 
     def log_posterior(self, text: str) -> np.ndarray:
         """Of the text alone, languages being equally likely before; unrounded."""
-        found = buckets(text)
-        score = self.log[found].sum(0) * (ENOUGH / (len(found) + ENOUGH)) if len(found) else np.zeros(self.log.shape[1])
+        n = np.bincount(buckets(text), minlength=BUCKETS)  # memory of a text doesn't grow with the languages
+        score = (n @ self.log) * (ENOUGH / (n.sum() + ENOUGH))
         score -= score.max()
         return score - np.log(np.exp(score).sum())
 
@@ -100,11 +97,17 @@ def millionths(log: np.ndarray) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, text_col: str, lang_col: str) -> Model:
-    """The model of the labelled texts, by the primary subtags of their languages; more than `MAX_LANGS` are an error."""
-    langs = [r[0] for r in labelled.select(primary(F.col(lang_col))).distinct().limit(MAX_LANGS + 2).collect() if r[0] is not None]
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages in column {lang_col}, such as {sorted(langs)[:5]}: clean the labels first")
-    return Model(counts(labelled, text_col, lang_col).collect())
+    """The model of the labelled texts, by the primary subtags of their languages.
+
+    Rows whose label is null or has not the form of a language tag count as unlabelled. One row per language comes to
+    the driver, with two arrays of at most `BUCKETS` numbers.
+    """
+    each = counts(labelled, text_col, lang_col).groupBy("lang").agg(F.collect_list("bucket").alias("b"), F.collect_list("n").alias("n"))
+    sums = {}
+    for r in each.toLocalIterator():
+        sums[r.lang] = np.zeros(BUCKETS, np.int64)
+        sums[r.lang][np.array(r.b)] = np.array(r.n)
+    return Model(sums)
 
 
 def by_text(pages: DataFrame, model: Model, text_col: str) -> DataFrame:

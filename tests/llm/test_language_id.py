@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,14 +81,64 @@ def test_evidence(spark):
     assert r.text.split() == ["one", "two"]
 
 
-def test_languages_are_primary_subtags_and_bounded(spark):
-    tags = ["en", "en-US", "EN_gb", " en ", None, "de-Latn-AT", "not a tag"]
+def test_languages_are_primary_subtags(spark):
+    """Rows whose label is not of the form of a tag, however many, count as unlabelled."""
+    tags = ["en", "en-US", "EN_gb", " en ", None, "", " ", "de-Latn-AT", "not a tag", "x", "toolong", "en US"]
     rows = spark.createDataFrame([(f"the text {t}", t) for t in tags], "text string, lang string")
-    assert language_id.fit(rows, "text", "lang").langs == ["de", "en", "not a tag"]
-    dirty = spark.range(language_id.MAX_LANGS + 1).selectExpr("'some text' as text", "concat('label ', id) as lang")
-    with pytest.raises(ValueError, match="languages in column lang"):
-        language_id.fit(dirty, "text", "lang")
-    assert len(language_id.fit(dirty.filter("id > 0"), "text", "lang").langs) == language_id.MAX_LANGS
+    dirty = spark.range(1000).selectExpr("'zzz zzz zzz' as text", "concat('label ', id) as lang")
+    model = language_id.fit(rows.unionByName(dirty), "text", "lang")
+    assert model.langs == ["de", "en"]
+    assert (model.log == language_id.fit(rows, "text", "lang").log).all()
+    with pytest.raises(ValueError, match="no labelled text"):
+        language_id.identify(rows.selectExpr("1 as id", "text", "lang"), language_id.fit(dirty, "text", "lang"), "id", "lang", "text")
+
+
+def plain_fusion(rows, langs, kappa=language_id.KAPPA, beta=language_id.BETA):
+    """id -> (text_lang, lang, posterior), page by page, from the definition: at each level the pages that lie in it
+    but not in the level below, whose shares are smoothed with the level above; the host without the page itself."""
+    out, n = {}, len(langs)
+    share = {r["id"]: np.array(r["q"]) / 1e6 for r in rows}
+    for r in rows:
+        def outside(inner, outer, own=r):
+            """Summed shares and number of the pages that agree with this one on `outer` and not on `inner`."""
+            there = [share[x["id"]] for x in rows if (not outer or x[outer] == own[outer])
+                     and (x["id"] != own["id"] if inner == "id" else x[inner] != own[inner])]
+            return sum(there, np.zeros(n)), len(there)
+
+        s, m = outside("suffix", None)
+        prior = (s + 1) / (m + n)
+        for inner, outer in (("domain", "suffix"), ("host", "domain"), ("id", "host")):
+            s, m = outside(inner, outer)
+            prior = (s + kappa * prior) / (m + kappa)
+        same, _ = outside("id", "declared")
+        others, _ = outside("id", None)
+        share_of_all = sum(x["declared"] == r["declared"] for x in rows) / len(rows)
+        log = np.array(r["log_q"]) + np.log(prior) + np.log((same + beta * share_of_all) / (others + beta))
+        p = np.exp(log - log.max())
+        out[r["id"]] = (langs[int(np.argmax(r["log_q"]))], langs[int(log.argmax())], 1 / p.sum())
+    return out
+
+
+def test_fusion_equals_the_plain_version(spark):
+    """Every page of a crowd in which text, markup, suffix and host agree, disagree, tie, or are missing."""
+    chance, langs, rows = random.Random(5), ["de", "en", "fr"], []
+    for i in range(160):
+        suffix, domain = chance.choice(["de", "fr", ""]), chance.choice("abc")
+        log = np.log(np.array([1 / 3] * 3 if i % 9 == 0 else [chance.random() ** 3 + 1e-9 for _ in langs]))
+        log -= np.log(np.exp(log).sum())
+        rows.append({"id": i, "declared": chance.choice(["", "de", "en", "xx"]), "suffix": suffix, "domain": f"{domain}.{suffix}" if suffix else "",
+                     "host": f"{chance.choice(['www', 'm'])}.{domain}.{suffix}" if suffix else "", "q": language_id.millionths(log).tolist(), "log_q": log.tolist()})
+    schema = "id bigint, declared string, suffix string, domain string, host string, q array<bigint>, log_q array<double>"
+    got = {r.id: r for r in language_id.fused(spark.createDataFrame([tuple(r.values()) for r in rows], schema), langs).collect()}
+    wanted = plain_fusion(rows, langs)
+    assert len(got) == len(rows) and all(got[i].text_lang == w[0] and got[i].lang == w[1] for i, w in wanted.items())
+    assert all(abs(got[i].posterior - w[2]) < 1e-4 for i, w in wanted.items())
+    assert sum(w[0] != w[1] for w in wanted.values()) > 10  # the fusion overrules the text somewhere
+
+
+def test_very_long_page(spark):
+    got = found(spark, [(1, "http://a.de/", f"<p>{GERMAN * 60_000}</p>"), (2, "http://a.de/", f"<p>{GERMAN}</p>")])
+    assert got[1].lang == got[1].text_lang == got[2].lang == "de"
 
 
 def test_empty_pages(spark, parquet):
