@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.llm import (
-    bpe, chat_parts, edit_counts, language_id, line_quality, packing, secret_scan, simhash_trie, stream_dedup, warc,
+    bpe, chat_parts, edit_counts, language_id, line_quality, packing, prefix_trie, secret_scan, simhash_trie, stream_dedup,
+    warc,
 )
 from carelake.llm.common import importable, table
 
@@ -35,6 +36,7 @@ QUERIES = {
     "op8_edit_counts": _query(edit_counts.op8),
     "op9_simhash_trie": _documents(simhash_trie.op9),
     "op10_chat_parts": _query(chat_parts.op10),
+    "op11_prefix_trie": _query(prefix_trie.op11),
 }
 
 SQL = {
@@ -42,4 +44,5 @@ SQL = {
     "op5_line_quality": line_quality.SQL,
     "op7_stream_dedup": stream_dedup.SQL,
     "op10_chat_parts": chat_parts.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
 }

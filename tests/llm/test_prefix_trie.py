@@ -1,0 +1,130 @@
+"""Operator 11 against a plain trie in Python."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import duckdb
+from pyspark.sql import functions as F
+
+from carelake.llm import prefix_trie
+from carelake.llm.queries import QUERIES
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, conv int, node string, pos int, words string, `end` int"
+
+
+def plain_turns(rows):
+    """conv -> [(role, text)] in order."""
+    out = defaultdict(list)
+    for conv, turn, role, text in (r[:4] for r in rows):
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+            out[conv].append((turn is not None, turn or 0, digest, (role, text)))
+    return {c: [t[-1] for t in sorted(own)] for c, own in out.items()}
+
+
+def plain_rebuilt(own):
+    out = {}
+    for c, turns in own.items():
+        base = c - (abs(c) % 20) * (1 if c >= 0 else -1)
+        h = zlib.crc32(str(c).encode()) % 4
+        out[c] = own.get(base, [])[:h] + turns[h:]
+    return out
+
+
+def plain_trie(sequences):
+    """(conv_id, depth) -> the other columns."""
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in sequences.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+        ends[tuple(turns)].append(c)
+    saved, leaves, children = defaultdict(int), defaultdict(int), defaultdict(int)
+    for p, own in members.items():
+        children[p[:-1]] += bool(p)
+    for p, own in members.items():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", p[-1][1])) if p else 0
+        for d in range(len(p) + 1):
+            saved[p[:d]] += (len(own) - 1) * words
+            leaves[p[:d]] += not children[p]
+    return sorted((min(own), len(p), min(members[p[:-1]]) if p else None, len(own), children[p], leaves[p], saved[p],
+                   hashlib.sha256(",".join(map(str, sorted(ends[p]))).encode()).hexdigest()) for p, own in members.items())
+
+
+def plain(rows):
+    return plain_trie(plain_rebuilt(plain_turns(rows)))
+
+
+COLUMNS = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def result(spark, folder):
+    found = QUERIES["op11_prefix_trie"](spark, folder)
+    assert [t for _, t in found.dtypes] == ["bigint"] * 7 + ["string"] and tuple(found.columns) == COLUMNS
+    return sorted(map(tuple, found.collect()))
+
+
+def crowd(seed, n):
+    """Conversations from few texts, so that many are equal, or prefixes of others; ties, nulls, repeated rows, gaps."""
+    chance, rows = random.Random(seed), []
+    for c in range(-25, n):
+        for t in range(chance.choice([0, 1, 1, 2, 2, 3, 4, 6])):
+            turn = chance.choice([t, t, t, t, 0, None, 7 - t])
+            row = (c * chance.choice([1, 1, 1, 1, 3]), turn, chance.choice(["user", "assistant", None, "", "a:b"]), chance.choice(["a b", "a b", "c", "", None, "é\x1cf  g\n"]))
+            rows += [row] * chance.choice([1, 1, 1, 1, 2])
+    return [(*r, 1, "x", 2, "y", 3) for r in [*rows, (None, 0, "user", "lost"), (10**18, 0, "user", "a b"), (-(10**18), 1, None, None)]]
+
+
+def test_equals_the_plain_trie(spark, parquet):
+    for seed in range(3):
+        rows = crowd(seed, 60)
+        folder = parquet("conversations", rows, SCHEMA)
+        assert result(spark, folder) == plain(rows)
+        own = duckdb.connect()
+        own.sql(f"create view conversations as select * from read_parquet('{folder}/conversations.parquet/*.parquet')")
+        wanted = own.sql(prefix_trie.SQL)
+        assert wanted.columns == list(COLUMNS) and sorted(wanted.fetchall()) == plain(rows)
+
+
+def test_conversations_without_turns(spark, parquet):
+    """One whose first turns are taken from a block that isn't there keeps none and is a member of the root."""
+    c = next(x for x in range(21, 40) if zlib.crc32(str(x).encode()) % 4 == 2)
+    rows = [(c, 0, "user", "a", *[None] * 5), (c, 1, "user", "b", *[None] * 5)]
+    none, one = (hashlib.sha256(x).hexdigest() for x in (b"", str(c).encode()))
+    assert result(spark, parquet("conversations", rows, SCHEMA)) == [(c, 0, None, 1, 0, 1, 0, one)] and none != one
+
+
+def test_empty_table(spark, parquet):
+    assert result(spark, parquet("conversations", [], SCHEMA)) == []
+    assert result(spark, parquet("conversations", [(None, 1, "user", "x", *[None] * 5)], SCHEMA)) == []
+
+
+def test_own_conversations_without_rebuilding(spark):
+    """The operator itself takes turns as they are; a long conversation and a list of ends of several pieces."""
+    rows = [(1, i, "user", f"w{i} and more") for i in range(300)] + [(2, i, "user", f"w{i} and more") for i in range(200)]
+    rows += [(100 + 7 * i, 0, "user", "hello there") for i in range(6000)] + [(2, 200, "user", "é" * 200_000)]
+    messages = spark.createDataFrame(rows, "c bigint, n bigint, r string, t string")
+    own = prefix_trie.turns(messages, "c", "n", "r", "t")
+    nodes, pieces = prefix_trie.trie(own, own.filter("pos = 1").select("conv"))
+    wanted = {r[:2]: r for r in plain_trie(plain_turns(rows))}
+    got = {(r.conv_id, r.depth): r for r in nodes.collect()}
+    assert got.keys() == wanted.keys()
+    assert all(tuple(got[k][c] for c in COLUMNS[:-1]) == w[:-1] for k, w in wanted.items())
+    assert pieces.groupBy("node").count().agg(F.max("count")).first()[0] > 1
+    digests = {bytes(r.node): r.ends_sha256 for r in prefix_trie.ends_digest(pieces).collect()}
+    assert digests[bytes(got[100, 1].node)] == wanted[100, 1][-1]
+
+
+def test_copies_and_common_first_turns_leave_map_tasks_once(spark):
+    """The aggregations that meet hot nodes combine before their shuffle; hot children can be split in the last join."""
+    rows = [(i, t, "user", "same") for i in range(500) for t in range(3)]
+    own = prefix_trie.turns(spark.createDataFrame(rows, "c bigint, n bigint, r string, t string"), "c", "n", "r", "t")
+    nodes, _ = prefix_trie.trie(own, own.filter("pos = 1").select("conv"))
+    assert [(r.depth, r.n_convs, r.n_leaves) for r in nodes.orderBy("depth").collect()] == [(d, 500, 1) for d in range(4)]
+    plan = nodes._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan  # both sides come from tables
