@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.llm import (
-    bpe, chat_parts, edit_counts, language_id, line_quality, packing, prefix_trie, secret_scan, simhash_trie, stream_dedup,
-    warc,
+    bpe, chat_parts, edit_counts, filter_audit, language_id, line_quality, packing, prefix_trie, secret_scan, simhash_trie,
+    stream_dedup, warc,
 )
 from carelake.llm.common import importable, table
 
@@ -37,6 +37,7 @@ QUERIES = {
     "op9_simhash_trie": _documents(simhash_trie.op9),
     "op10_chat_parts": _query(chat_parts.op10),
     "op11_prefix_trie": _query(prefix_trie.op11),
+    "op12_filter_audit": _query(filter_audit.op12),
 }
 
 SQL = {
@@ -45,4 +46,5 @@ SQL = {
     "op7_stream_dedup": stream_dedup.SQL,
     "op10_chat_parts": chat_parts.SQL,
     "op11_prefix_trie": prefix_trie.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
