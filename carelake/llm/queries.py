@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.llm import (
-    bpe, chat_parts, edit_counts, filter_audit, language_id, line_quality, packing, prefix_trie, secret_scan, simhash_trie,
-    stream_dedup, warc,
+    bpe, chat_parts, edit_counts, filter_audit, language_id, line_quality, ngram_jaccard, packing, prefix_trie, secret_scan,
+    simhash_trie, stream_dedup, warc,
 )
 from carelake.llm.common import importable, table
 
@@ -38,6 +38,7 @@ QUERIES = {
     "op10_chat_parts": _query(chat_parts.op10),
     "op11_prefix_trie": _query(prefix_trie.op11),
     "op12_filter_audit": _query(filter_audit.op12),
+    "op13_ngram_jaccard": _documents(ngram_jaccard.op13),
 }
 
 SQL = {
