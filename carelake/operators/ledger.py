@@ -1,4 +1,4 @@
-"""What is still to be loaded: anti joins against what was loaded before."""
+"""What is still to be loaded: anti joins against what was loaded before, by file and version."""
 
 from __future__ import annotations
 
@@ -29,10 +29,32 @@ def dates_to_process(available: DataFrame, ledger: DataFrame, force: bool = Fals
     return dates.orderBy("source_date")
 
 
-def loaded_files(records: DataFrame) -> DataFrame:
-    """(source_file) of the files whose last record says that they were loaded.
+def last_attempts(records: DataFrame) -> DataFrame:
+    """The last attempt per file, whole. `records`: source_file, version, recorded_at, success, and more.
 
-    `records` holds one row per attempt: source_file, recorded_at, loaded.
+    One row per delivered file; of attempts recorded at the same time a success counts as the later one.
     """
-    last = records.groupBy("source_file").agg(F.max_by("loaded", F.struct("recorded_at", "loaded")).alias("loaded"))
-    return last.filter("loaded").select("source_file")
+    rest = [c for c in records.columns if c not in ("source_file", "recorded_at", "success")]
+    last = records.groupBy("source_file").agg(F.max(F.struct("recorded_at", "success", *rest)).alias("last"))
+    return last.select("source_file", "last.*")
+
+
+def due_files(listed: DataFrame, records: DataFrame, force: bool = False) -> DataFrame:
+    """K1, K3: files whose present version was not processed by their last attempt, or all with `force`.
+
+    `listed` holds one row per file: source_file, version, and more. So a file is due when it is new, however late it
+    comes for its day, when it was delivered again with other content, and when its last attempt failed.
+    """
+    if force:
+        return listed
+    done = last_attempts(records).filter("success").select(
+        F.col("source_file").alias("_file"), F.col("version").alias("_version"))
+    same = (F.col("source_file") == F.col("_file")) & (F.col("version") == F.col("_version"))
+    return listed.join(done, same, "left_anti")
+
+
+def whole_days(records: DataFrame) -> DataFrame:
+    """Files whose last attempt succeeded, of the days of which no file's last attempt failed."""
+    last = last_attempts(records)
+    broken = last.filter(~F.col("success")).select("source_date").distinct()
+    return last.filter("success").join(broken, "source_date", "left_anti")

@@ -28,18 +28,23 @@ SECRET_VARIABLE = "CARELAKE_PSEUDONYM_SECRET"
 
 FLOW_KINDS = ("patients", "sejours", "diagnostics", "monitoring", "actes")
 
+# One row per attempt to bring a version of a delivered file into the lake.
 _LEDGER = T.StructType([
+    T.StructField("kind", T.StringType()),
     T.StructField("source_date", T.DateType()),
-    T.StructField("synced_at", T.TimestampType()),
+    T.StructField("source_file", T.StringType()),
+    T.StructField("version", T.StringType()),
+    T.StructField("recorded_at", T.TimestampType()),
     T.StructField("success", T.BooleanType()),
     T.StructField("error", T.StringType()),
 ])
-# One row per attempt to load a file into a bronze table; the file is loaded if its last row says so.
+# One row per attempt to load a version of a lake file into its bronze table.
 _LOADS = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("source_file", T.StringType()),
+    T.StructField("version", T.StringType()),
     T.StructField("recorded_at", T.TimestampType()),
-    T.StructField("loaded", T.BooleanType()),
+    T.StructField("success", T.BooleanType()),
 ])
 # One row per finished build of silver; the last one is what is read.
 _BUILDS = T.StructType([
@@ -49,7 +54,12 @@ _BUILDS = T.StructType([
 # Conditions under which Spark reports that a delivered file, not the cluster, is at fault.
 _FILE_FAULTS = (
     "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "MALFORMED_", "UNABLE_TO_INFER_SCHEMA", "PARQUET_",
-    "FAILED_MERGE_SCHEMA", "CANNOT_MERGE_SCHEMAS", "UNRESOLVED_COLUMN",
+    "FAILED_MERGE_SCHEMA", "CANNOT_MERGE_SCHEMAS",
+)
+# Causes below such a condition that are no fault of the file: the storage, the network, the machine.
+_OUTAGES = (
+    "java.net.", "javax.net.", "java.nio.file.", "java.io.InterruptedIOException", "java.io.FileNotFoundException",
+    "java.lang.OutOfMemoryError", "org.apache.hadoop.security.", "org.apache.hadoop.ipc.", "org.apache.hadoop.net.",
 )
 _REJECTS = T.StructType([
     T.StructField("reason", T.StringType()),
@@ -114,30 +124,30 @@ class Warehouse:
     # ---- lake ------------------------------------------------------------------------------------
 
     def sync_lake(self, force: bool = False) -> list[str]:
-        """Pseudonymise the drops of every date not yet synchronised; returns their files.
+        """Pseudonymise the delivered files that are due; returns those that are in the lake now.
 
-        All dates go through one job per kind. If a delivered file cannot be read, the files of that
-        kind are halved until the bad one stands alone: its date is recorded as failed and tried again
-        by the next run, and every other file is still written once. Any other error, such as a full
-        disk, is raised at once.
+        A file is due in every version of it that was not synchronised yet, however old its day is, or if its
+        last attempt failed. All files of a kind go through one job. If one cannot be read, the files of that
+        kind are halved until the bad one stands alone: it is recorded as failed and tried again by the next
+        run, what the lake had of it stays, and every other file is still written once. Any other error, such
+        as a full disk, is raised at once.
         """
         files = drops.list_files(self.spark, self.folders.drops)
-        due = ledger.dates_to_process(files, self.admin.read("lake_sync"), force)
-        # one row per delivered file of the new dates: file names, never file content
-        listed = files.join(due, "source_date").orderBy("source_date", "source_file").collect()
+        due = ledger.due_files(files, self.admin.read("lake_sync"), force)
+        # one row per delivered file that is due: file names, never file content
+        listed = due.orderBy("source_date", "source_file").collect()
         if not listed:
             return []
-        dates = {f.source_date for f in listed}
-        if force:  # until they are through again, these dates don't count as synchronised
-            self._record_sync(dict.fromkeys(dates, "being synchronised again"))
-        failed: dict[date, str] = {}
+        if force:  # until they are through again, these files don't count as synchronised
+            self._record_sync(listed, dict.fromkeys((f.source_file for f in listed), "being synchronised again"))
+        failed: dict[str, str] = {}
         for kind in drops.FILE_OF:
-            failed |= self._to_lake(kind, [f for f in listed if f.kind == kind and f.source_date not in failed])
-        self._record_sync({d: failed.get(d) for d in dates})
-        return [f.source_file for f in listed if f.source_date not in failed]
+            failed |= self._to_lake(kind, [f for f in listed if f.kind == kind])
+        self._record_sync(listed, failed)
+        return [f.source_file for f in listed if f.source_file not in failed]
 
-    def _to_lake(self, kind: str, files: list) -> dict[date, str]:
-        """Write the lake rows of files of one kind; returns the dates of those that cannot be read, with the error."""
+    def _to_lake(self, kind: str, files: list) -> dict[str, str]:
+        """Write the lake rows of files of one kind; returns those that cannot be read, with the error."""
         if not files:
             return {}
         try:
@@ -148,62 +158,68 @@ class Warehouse:
             if not is_file_fault(error):
                 raise
             if len(files) == 1:
-                return {files[0].source_date: str(error)[:runlog.ERROR_CHARS]}
+                return {files[0].source_file: str(error)[:runlog.ERROR_CHARS]}
             middle = len(files) // 2
             return self._to_lake(kind, files[:middle]) | self._to_lake(kind, files[middle:])
         return {}
 
-    def _record_sync(self, errors: dict[date, str | None]) -> None:
+    def _record_sync(self, files: list, errors: dict[str, str]) -> None:
         rows = self.spark.createDataFrame(
-            [(d, e is None, e) for d, e in sorted(errors.items())], "source_date date, success boolean, error string")
-        self.admin.append_log("lake_sync", rows.withColumn("synced_at", F.current_timestamp()))
+            [(f.kind, f.source_date, f.source_file, f.version, f.source_file not in errors, errors.get(f.source_file)) for f in files],
+            "kind string, source_date date, source_file string, version string, success boolean, error string")
+        self.admin.append_log("lake_sync", rows.withColumn("recorded_at", F.current_timestamp()))
 
     # ---- bronze ----------------------------------------------------------------------------------
 
     def load_bronze(self, force: bool = False) -> list[str]:
-        """Load the lake files that were not loaded yet; returns them.
+        """Load the lake files that were not loaded yet in their present version; returns them, without reference files.
 
-        A file counts as loaded only by its record, written after its rows and its rejects are: a load
-        cut short anywhere is done again as a whole. `force` loads every lake file again, each replacing
-        its own rows and rejects; until that is done its record says that it is not loaded.
+        A day is loaded when all its delivered files are sound: files of a day of which one could not be read wait
+        until that one is corrected. A file counts as loaded only by its record, written after its rows and its rejects
+        are: a load cut short anywhere is done again as a whole. `force` loads every lake file again, each
+        replacing its own rows and rejects; until that is done its record says that it is not loaded.
         """
+        synced = self.admin.read("lake_sync")
+        due = ledger.due_files(ledger.whole_days(synced), self.admin.read("bronze_loads"), force)
+        # one row per file that is due, names only
+        files = due.select("kind", "source_date", "source_file", "version").orderBy("source_file").collect()
         loaded: list[str] = []
         for kind in FLOW_KINDS:
-            table = bronze.TABLE_OF[kind]
-            files = self.lake.files([kind])
-            if not force:
-                files = ledger.unseen(files, self._loaded(table))
-            new = files.orderBy("source_file").collect()  # one row per file of this kind, names only
+            table, new = bronze.TABLE_OF[kind], [f for f in files if f.kind == kind]
             if new:
-                names = [f.source_file for f in new]
                 if force:
-                    self._record_load(table, names, False)
-                # a predicate on partition columns: only the new files' partitions are scanned
-                rows = self.lake.read(kind).filter(F.col("source_file").isin(names))
+                    self._record_load(table, new, False)
+                # a kind has one file a day: a predicate on a partition column, so only these are scanned
+                rows = self.lake.read(kind).filter(F.col("source_date").isin([f.source_date for f in new]))
                 # the rejects are counted as the valid rows are written: without any, one scan is all
                 tagged, counted = bronze.tagged(kind, rows), Observation()
                 bad = F.count(quality.REASON).alias("n")
                 self.bronze.replace_files(
                     table, quality.valid(tagged.observe(counted, bad)), new, stamp="ingested_at")
-                self.rejects.remove_files(table, new)
                 if counted.get["n"]:
                     self.rejects.replace_files(table, bronze.rejects(tagged), new)
-                self._record_load(table, names, True)
-                loaded += names
+                else:
+                    self.rejects.remove_files(table, new)
+                self._record_load(table, new, True)
+                loaded += [f.source_file for f in new]
         for kind in drops.REFERENCE_KINDS:
-            snapshot = newest_snapshot(self.lake.read(kind))
-            if not snapshot.isEmpty():
-                table, tagged = bronze.TABLE_OF[kind], bronze.tagged(kind, snapshot)
-                self.rejects.replace_table(table, bronze.rejects(tagged))
-                self.bronze.replace_table(table, quality.valid(tagged), stamp="ingested_at")
+            table, new = bronze.TABLE_OF[kind], [f for f in files if f.kind == kind]
+            if new:  # K2: the table is left alone where nothing was delivered
+                if force:
+                    self._record_load(table, new, False)
+                whole = ledger.whole_days(synced).filter(F.col("kind") == kind).select("source_date")
+                snapshot = newest_snapshot(self.lake.read(kind).join(whole, "source_date", "left_semi"))
+                if not snapshot.isEmpty():
+                    tagged = bronze.tagged(kind, snapshot)
+                    self.rejects.replace_table(table, bronze.rejects(tagged))
+                    self.bronze.replace_table(table, quality.valid(tagged), stamp="ingested_at")
+                self._record_load(table, new, True)
         return loaded
 
-    def _loaded(self, table: str) -> DataFrame:
-        return ledger.loaded_files(self.admin.read("bronze_loads").filter(F.col("table_name") == table))
-
-    def _record_load(self, table: str, files: list[str], loaded: bool) -> None:
+    def _record_load(self, table: str, files: list, success: bool) -> None:
         rows = self.spark.createDataFrame(
-            [(table, f, loaded) for f in files], "table_name string, source_file string, loaded boolean")
+            [(table, f.source_file, f.version, success) for f in files],
+            "table_name string, source_file string, version string, success boolean")
         self.admin.append_log("bronze_loads", rows.withColumn("recorded_at", F.current_timestamp()))
 
     def bronze_tables(self) -> dict[str, DataFrame]:
@@ -302,20 +318,27 @@ class Warehouse:
         return log.run_id
 
     def _rows_of(self, store: DeliveryStore, files: list[str]) -> DataFrame:
-        per_table = (
-            store.read(bronze.TABLE_OF[kind]).filter(F.col("source_file").isin(files)).select("source_file")
-            for kind in FLOW_KINDS
-        )
-        return reduce(DataFrame.unionByName, per_table)
+        """The rows of loaded files; a kind has one file a day, so its partitions are picked by day."""
+        def of(kind: str) -> DataFrame:
+            entity = drops.FILE_OF[kind].split("/")[0]
+            days = [date.fromisoformat(f.split("/")[1]) for f in files if f.startswith(f"{entity}/")]
+            return store.read(bronze.TABLE_OF[kind]).filter(F.col("source_date").isin(days)).select("source_file")
+
+        return reduce(DataFrame.unionByName, map(of, FLOW_KINDS))
 
 
 def is_file_fault(error: Exception) -> bool:
-    """Whether an error says that a delivered file cannot be read, and not that something else failed."""
+    """Whether an error says that a delivered file cannot be read, and not that something else failed.
+
+    What Spark says of a file it cannot read is only believed where no failure of storage, network or machine lies below.
+    """
+    if isinstance(error, drops.DamagedFile):
+        return True
     if not isinstance(error, PySparkException | Py4JJavaError):
         return False
     condition = (isinstance(error, PySparkException) and error.getCondition()) or ""
     text = str(error)
-    if "No space left on device" in text:
+    if "No space left on device" in text or any(c.startswith(_OUTAGES) for c in _causes(error)):
         return False
     return (
         condition.startswith(_FILE_FAULTS)
@@ -325,6 +348,15 @@ def is_file_fault(error: Exception) -> bool:
     )
 
 
+def _causes(error: Exception) -> list[str]:
+    """Class names of the Java exceptions of an error, from the outermost to the cause."""
+    below, names = getattr(error, "_origin", None) or getattr(error, "java_exception", None), []
+    while below is not None and len(names) < 50:
+        names.append(below.getClass().getName())
+        below = below.getCause()
+    return names
+
+
 def write_silver(store: TableStore, name: str, rows: DataFrame) -> None:
     """Write one silver table: vital signs by month, filtered facts clustered by their filters."""
     by_month = name == "fact_monitoring"

@@ -32,14 +32,20 @@ FILE_OF = {kind: path for path, kind in KINDS.items()}
 REFERENCE_KINDS = ("services", "cim10", "description_service", "ccam")
 
 _DROP = rf"^.*/({'|'.join(schemas.ENTITIES)})/(\d{{4}}-\d{{2}}-\d{{2}})/([^/]+)"
+_DAY = "-".join("[0-9]" * n for n in (4, 2, 2))  # as a glob: nothing that lies deeper is taken for a delivery
+DAMAGED_COLUMNS = "a file lacks the columns"
 DAMAGED = "a diagnosis file is not one sound JSON array"
-_FILES_SCHEMA = "kind string, source_date date, source_file string, path string, bytes bigint"
+_FILES_SCHEMA = "kind string, source_date date, source_file string, path string, bytes bigint, version string"
 
 # Whole numbers below this are no nanoseconds of a date after 1973; writers that mean seconds,
 # milliseconds or microseconds without saying so are not guessed at.
 _LEAST_NANOSECONDS = 10**17
 
 
+class DamagedFile(ValueError):
+    """A delivered file that cannot be taken as what its name says."""
+
+
 def lineage(path: Column) -> list[Column]:
     """`source_date` and `source_file` (relative to the root) of a file path."""
     entity, day, file = (F.regexp_extract(path, _DROP, i) for i in (1, 2, 3))
@@ -50,16 +56,18 @@ def lineage(path: Column) -> list[Column]:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(kind, source_date, source_file, path, bytes) of every delivered file of a known kind.
+    """(kind, source_date, source_file, path, bytes, version) of every delivered file of a known kind.
 
-    The listing is a scan of file names; no content is read. A file without a byte is not listed: its
-    date stays due until it is delivered with content. A root that is not there is an error,
-    not an empty delivery.
+    The listing is a scan of file names; no content is read. The version changes whenever a part of the
+    file is written, added or removed: it is made of the parts' names, lengths and modification times. A file
+    without a byte is not delivered yet and not listed, whatever else its day holds; if it had content
+    before, that stays until it is delivered with content again. A root that is not there is an error, not
+    an empty delivery.
     """
     if not exists(spark, root):
         raise FileNotFoundError(f"no drops at {root}")
     try:
-        found = spark.read.format("binaryFile").load(f"{root}/*/*/*").select("path", "length")
+        found = spark.read.format("binaryFile").load(f"{root}/*/{_DAY}/*").select("path", "length", "modificationTime")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -72,9 +80,12 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         *lineage(F.col("path")),
         delivered,
         "length",
+        F.xxhash64(F.regexp_replace("path", _DROP, ""), "length", F.unix_micros("modificationTime")).alias("part"),
     ).filter("kind is not null and source_date is not null").groupBy(
         "kind", "source_date", "source_file", "path",
-    ).agg(F.sum("length").alias("bytes"))
+    ).agg(
+        F.sum("length").alias("bytes"),
+        F.concat_ws("-", F.count("*"), F.sum("length"), F.hex(F.bit_xor("part"))).alias("version"))
 
 
 def source_dates(files: DataFrame) -> DataFrame:
@@ -157,6 +168,9 @@ def _read_parquet(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataF
     declared = {"monitoring": schemas.RAW_MONITORING, "actes": schemas.RAW_ACTES}[kind]
     raw = spark.read.parquet(*paths)
     types = dict(raw.dtypes)
+    lacking = [f.name for f in declared if f.name not in types]
+    if lacking:
+        raise DamagedFile(f"{DAMAGED_COLUMNS} {', '.join(lacking)}: {', '.join(paths)}")
     typed, misfits = typed_columns(declared, types)
     return raw.select(*typed, F.coalesce(*misfits).alias("malformed"), F.col("_metadata.file_path").alias("_path"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +40,15 @@ class DeliveryStore:
             *(source_file.alias("source_file") if f.name == "source_file" else F.col(f.name) for f in schema))
 
     def replace_files(self, table: str, rows: DataFrame, files: Iterable, stamp: str | None = None) -> None:
-        """Write the rows of `files` (source_date, source_file), replacing all that the table has of them."""
-        self.remove_files(table, files)
-        self._overwrite("dynamic", table, rows, stamp)
+        """Write the rows of `files` (source_date, source_file), replacing all that the table has of them.
+
+        What the table has is replaced only when the new rows are written whole; rows that cannot be read leave it as
+        it was. Files without rows, which no written partition replaces, are removed then.
+        """
+        written = Observation()
+        names = F.collect_set("source_file").alias("names")  # one name per delivered file
+        self._overwrite("dynamic", table, rows.observe(written, names), stamp)
+        self.remove_files(table, [f for f in files if f.source_file not in set(written.get["names"])])
 
     def remove_files(self, table: str, files: Iterable) -> None:
         """Remove all rows of `files`."""

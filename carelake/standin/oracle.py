@@ -6,7 +6,7 @@ the Spark plans, which reduce the facts before joining them.
 
 from __future__ import annotations
 
-from carelake.standin import loading
+from carelake.standin import loading, redelivery
 
 SECRET = "carelake-check-only"  # the check needs a known key; real runs take theirs from the settings
 
@@ -354,6 +354,7 @@ SQL: dict[str, str] = {
         select distinct cast(o_orderdate as date) as source_date from orders
         where cast(o_orderdate as date) not in (select source_date from last where success)""",
     **loading.SQL,
+    **redelivery.SQL,
     # quality and audit
     "rejects_by_reason": _with("""
         select 'patients' as table_name, 'latest' as reason, count(distinct patient_pseudo_id) as nb_rows from patients

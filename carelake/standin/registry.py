@@ -20,7 +20,7 @@ from carelake.sources import drops
 from carelake.sources import privacy as lake_rows
 from carelake.sources.diagnostics import flatten
 from carelake.sources.store import TableStore
-from carelake.standin import loading
+from carelake.standin import loading, redelivery
 from carelake.standin.oracle import SECRET
 from carelake.standin.tables import Standin
 from carelake.streaming import ingest
@@ -167,6 +167,7 @@ _on_standin("ref_snapshot_replace", lambda s: newest_snapshot(s.ref_ccam_deliver
 _on_standin("lake_dates_to_process", _dates_due)
 
 QUERIES.update(loading.QUERIES)
+QUERIES.update(redelivery.QUERIES)
 
 # ---- quality and audit ---------------------------------------------------------------------------
 

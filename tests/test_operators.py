@@ -55,6 +55,20 @@ def test_dates_to_process(spark):
     assert ledger.dates_to_process(available, log, force=True).count() == 4
 
 
+def test_due_files_by_version(spark):
+    listed = spark.createDataFrame(
+        [("new", "1"), ("same", "1"), ("changed", "2"), ("failed", "1"), ("again", "1")], "source_file string, version string")
+    log = spark.createDataFrame([
+        ("same", "1", datetime(2026, 9, 1), True, day("2026-08-01")), ("changed", "2", datetime(2026, 9, 1), True, day("2026-08-01")),
+        ("changed", "1", datetime(2026, 9, 2), True, day("2026-08-01")), ("failed", "1", datetime(2026, 9, 1), True, day("2026-08-02")),
+        ("failed", "1", datetime(2026, 9, 2), False, day("2026-08-02")), ("again", "1", datetime(2026, 9, 1), False, day("2026-08-02")),
+        ("again", "1", datetime(2026, 9, 1), True, day("2026-08-02")),
+    ], "source_file string, version string, recorded_at timestamp, success boolean, source_date date")
+    assert rows(ledger.due_files(listed, log), "source_file") == [("changed",), ("failed",), ("new",)]
+    assert ledger.due_files(listed, log, force=True).count() == 5
+    assert rows(ledger.whole_days(log), "source_file") == [("changed",), ("same",)]
+
+
 def test_newest_snapshot_replaces_all_earlier_rows(spark):
     df = versions(spark, ("a", 1, "2026-08-01", "f"), ("b", 2, "2026-08-01", "f"), ("a", 3, "2026-08-29", "f"))
     assert rows(newest_snapshot(df), "k", "v") == [("a", 3)]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 from pathlib import Path
 
 import numpy as np
@@ -12,7 +13,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from carelake.plans import gold, silver
-from carelake.plans.warehouse import SECRET_SETTING, SECRET_VARIABLE, Folders, Warehouse, pseudonym_secret
+from carelake.plans.warehouse import SECRET_SETTING, SECRET_VARIABLE, Folders, Warehouse, is_file_fault, pseudonym_secret
 from carelake.sources import drops
 from test_functions import expected_pseudonym
 
@@ -158,12 +159,100 @@ def test_damaged_diagnoses_fail_their_date_and_never_vanish(spark, tmp_path, tex
     assert str(failed.source_date) == "2026-08-02" and "2026-08-02/diagnostics.json" in failed.error
 
 
-def test_a_file_without_a_byte_leaves_its_date_due(warehouse, tmp_path):
-    put(tmp_path / "drops", "diagnostics/2026-08-02/diagnostics.json", "")
+def test_a_file_without_a_byte_is_not_delivered_yet(warehouse, tmp_path):
+    """Alone on its day or beside a full file: it is taken up when it has content."""
+    drops_ = tmp_path / "drops"
+    put(drops_, "diagnostics/2026-08-02/diagnostics.json", "")
+    put(drops_, "patients/2026-08-03/patients.csv", "")
+    put(drops_, "sejours/2026-08-03/sejours.csv", SEJOURS)
     warehouse.sync_lake()
-    assert [str(r[0]) for r in rows(warehouse.admin.read("lake_sync"), "source_date")] == ["2026-08-01"]
-    put(tmp_path / "drops", "diagnostics/2026-08-02/diagnostics.json", "[]")
-    assert warehouse.sync_lake() == ["diagnostics/2026-08-02/diagnostics.json"]
+    warehouse.load_bronze()
+    assert [str(r[0]) for r in rows(warehouse.admin.read("lake_sync").select("source_date").distinct())] == ["2026-08-01", "2026-08-03"]
+    put(drops_, "diagnostics/2026-08-02/diagnostics.json", "[]")
+    put(drops_, "patients/2026-08-03/patients.csv", PATIENTS)
+    late = ["diagnostics/2026-08-02/diagnostics.json", "patients/2026-08-03/patients.csv"]
+    assert warehouse.sync_lake() == late and sorted(warehouse.load_bronze()) == late
+    assert warehouse.bronze.read("patients").filter("source_date = '2026-08-03'").count() == 3
+
+
+def test_corrected_files_of_a_failed_day_reach_bronze(warehouse, tmp_path):
+    """A day with a damaged file waits as a whole; its corrected files replace what was delivered first."""
+    drops_, day = tmp_path / "drops", "2026-08-02"
+    put(drops_, f"patients/{day}/patients.csv", PATIENTS.replace("1985", "1980"))
+    put(drops_, f"diagnostics/{day}/diagnostics.json", '[{"stay_id": "S')
+    assert f"patients/{day}/patients.csv" in warehouse.sync_lake()
+    assert f"patients/{day}/patients.csv" not in warehouse.load_bronze()
+    put(drops_, f"patients/{day}/patients.csv", PATIENTS.replace("1985", "1999"))
+    put(drops_, f"diagnostics/{day}/diagnostics.json", json.dumps(DIAGNOSTICS))
+    both = [f"diagnostics/{day}/diagnostics.json", f"patients/{day}/patients.csv"]
+    assert warehouse.sync_lake() == both and sorted(warehouse.load_bronze()) == both
+    of_day = F.col("source_date") == day
+    assert rows(warehouse.bronze.read("patients").filter(of_day), "birth_year") == [(0,), (1999,), (2001,)]
+    assert warehouse.sync_lake() == [] and warehouse.load_bronze() == []
+
+
+def test_a_damaged_redelivery_leaves_what_was_loaded(warehouse, tmp_path):
+    warehouse.sync_lake()
+    warehouse.load_bronze()
+    name = "monitoring/2026-08-01/monitoring.parquet"
+    put(tmp_path / "drops", name, "no parquet")
+    put(tmp_path / "drops", "sejours/2026-08-01/sejours.csv", SEJOURS.splitlines()[0] + "\n")
+    assert warehouse.sync_lake() == ["sejours/2026-08-01/sejours.csv"] and warehouse.load_bronze() == []
+    assert warehouse.lake.read("monitoring").count() == warehouse.bronze.read("monitoring").count() == 3
+    assert warehouse.load_bronze(force=True) == []  # the day waits, also here
+    put(tmp_path / "drops", name, pd.DataFrame({
+        "stay_id": ["S1"], "ts": pd.to_datetime(["2026-08-01"]).astype("datetime64[us]"), "heart_rate": [70], "spo2": [98], "temp_c": [37.0]}))
+    assert warehouse.sync_lake() == [name] and len(warehouse.load_bronze()) == 2  # the stays waited for it
+    assert warehouse.bronze.read("monitoring").count() == 1
+    assert warehouse.bronze.read("sejours").count() == warehouse.rejects.read("sejours").count() == 0
+
+
+def test_versions_follow_every_part_of_a_delivery(spark, tmp_path):
+    def version():
+        return drops.list_files(spark, str(tmp_path)).first().version
+
+    put(tmp_path, "actes/2026-08-29/actes.parquet/a", "x")
+    put(tmp_path, "actes/2026-08-29/actes.parquet/b", "y")
+    seen = [version(), version()]
+    assert seen[0] == seen[1]
+    os.utime(tmp_path / "actes/2026-08-29/actes.parquet/b", (1_700_000_000, 1_700_000_000))
+    seen.append(version())
+    put(tmp_path, "actes/2026-08-29/actes.parquet/c", "z")
+    seen.append(version())
+    assert len(set(seen)) == 3
+
+
+def test_a_file_that_lacks_a_column_is_damaged(warehouse, tmp_path):
+    put(tmp_path / "drops", "actes/2026-08-05/actes.parquet", pd.DataFrame({"stay_id": ["S1"], "code": ["X"]}))
+    assert len(warehouse.sync_lake()) == 6
+    (failed,) = warehouse.admin.read("lake_sync").filter("not success").collect()
+    assert "code_ccam, acte_ts" in failed.error
+
+
+def test_outages_are_no_fault_of_a_file(spark, tmp_path):
+    """The same condition is a damaged file or not by what lies below it."""
+    class Java:
+        def __init__(self, name, cause=None):
+            self.name, self.cause = name, cause
+
+        def getClass(self):  # noqa: N802
+            return self
+
+        def getName(self):  # noqa: N802
+            return self.name
+
+        def getCause(self):  # noqa: N802
+            return self.cause
+
+    put(tmp_path, "monitoring/2026-08-01/monitoring.parquet", "no parquet")
+    with pytest.raises(Exception) as caught:
+        spark.read.schema("a int").parquet(f"{tmp_path}/monitoring/2026-08-01/monitoring.parquet").collect()
+    assert is_file_fault(caught.value) and not is_file_fault(KeyError("a"))
+    caught.value._origin = Java("org.apache.spark.SparkException", Java("java.net.SocketTimeoutException"))
+    assert not is_file_fault(caught.value)
+    with pytest.raises(Exception) as unresolved:
+        spark.range(1).select("nothing")
+    assert not is_file_fault(unresolved.value)
 
 
 def test_torn_and_short_csv_records_are_rejected(warehouse, tmp_path):
@@ -308,18 +397,19 @@ def test_bronze_types_rejects_and_is_idempotent(warehouse):
     assert warehouse.rejects.read("sejours").count() == 2
 
 
-def test_redelivered_file_is_ignored_until_forced(warehouse, tmp_path):
+def test_redelivered_file_is_due_again(warehouse, tmp_path, monkeypatch):
     warehouse.sync_lake()
     warehouse.load_bronze()
     put(tmp_path / "drops", "sejours/2026-08-01/sejours.csv",
         "\n".join(SEJOURS.splitlines()[:2]) + "\n")
-    assert warehouse.sync_lake() == []
-    assert warehouse.load_bronze() == []
-    assert warehouse.bronze.read("sejours").count() == 3
-    warehouse.sync_lake(force=True)
-    warehouse.load_bronze(force=True)
+    replaced = []
+    monkeypatch.setattr(warehouse.bronze, "replace_table", lambda table, *_, **__: replaced.append(table))
+    assert warehouse.sync_lake() == ["sejours/2026-08-01/sejours.csv"]
+    assert warehouse.load_bronze() == ["sejours/2026-08-01/sejours.csv"]
     assert rows(warehouse.bronze.read("sejours"), "stay_id") == [("S1",)]
+    assert warehouse.rejects.read("sejours").count() == 0
     assert warehouse.bronze.read("patients").count() == 3
+    assert warehouse.sync_lake() == [] and warehouse.load_bronze() == [] and replaced == []  # no reference file was delivered
 
 
 def test_newest_reference_replaces_the_older(warehouse, tmp_path):
