@@ -7,6 +7,8 @@ to split such keys. No join is hinted: Catalyst broadcasts a side only if it kno
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,8 +105,10 @@ def stay_index(sejours: DataFrame) -> DataFrame:
 # ---- events of a stay ----------------------------------------------------------------------------
 
 
-def fact_diagnostics(diagnostics: DataFrame, stays: DataFrame, patients: DataFrame) -> DataFrame:
-    """One row per (code, patient, stay) with the age at admission.
+def fact_diagnostics(
+    diagnostics: DataFrame, stays: DataFrame, patients: DataFrame, carry: Sequence[str] = (),
+) -> DataFrame:
+    """One row per (code, patient, stay) with the age at admission, and the columns to `carry` from the stay.
 
     A stay has one patient, so the key is settled before the joins; a code given both as principal
     and as associated diagnosis stays principal.
@@ -116,9 +120,10 @@ def fact_diagnostics(diagnostics: DataFrame, stays: DataFrame, patients: DataFra
         "stay_id",
         "patient_pseudo_id",
         clinical.age_at(F.col("admission_ts"), F.col("birth_year")).alias("age_at_diagnostics"),
+        *carry,
     )
     return diagnoses.join(aged_stays, "stay_id").select(
-        "stay_id", "patient_pseudo_id", "age_at_diagnostics", "code_cim10", "diag_type")
+        "stay_id", "patient_pseudo_id", "age_at_diagnostics", "code_cim10", "diag_type", *carry)
 
 
 def score_vitals(monitoring: DataFrame) -> DataFrame:

@@ -18,9 +18,10 @@ from carelake import schemas
 from carelake.functions.privacy import PSEUDONYM_HEX_CHARS
 from carelake.operators import ledger, quality
 from carelake.operators.snapshot import newest_snapshot
-from carelake.plans import gold, runlog, silver
+from carelake.plans import gold, incremental, runlog, silver
 from carelake.session import configure, delete
 from carelake.sources import bronze, drops, privacy
+from carelake.sources.changes import ChangeFeed
 from carelake.sources.store import DeliveryStore, TableStore
 
 SECRET_SETTING = "spark.carelake.pseudonym.secret"  # "secret" in the name makes Spark redact it
@@ -61,6 +62,12 @@ _OUTAGES = (
     "java.net.", "javax.net.", "java.nio.file.", "java.io.InterruptedIOException", "java.io.FileNotFoundException",
     "java.lang.OutOfMemoryError", "org.apache.hadoop.security.", "org.apache.hadoop.ipc.", "org.apache.hadoop.net.",
 )
+# One row per file and load, written before bronze changes.
+_CHANGES = T.StructType([
+    T.StructField("load", T.StringType()),
+    T.StructField("table_name", T.StringType()),
+    T.StructField("source_date", T.DateType()),
+])
 _REJECTS = T.StructType([
     T.StructField("reason", T.StringType()),
     T.StructField("record", T.StringType()),
@@ -119,7 +126,9 @@ class Warehouse:
             spark, folders.under("rejects"), dict.fromkeys(schemas.BRONZE, _REJECTS), tables)
         self.admin = TableStore(
             spark, folders.under("admin"),
-            {"lake_sync": _LEDGER, "bronze_loads": _LOADS, "silver_builds": _BUILDS})
+            {"lake_sync": _LEDGER, "bronze_loads": _LOADS, "silver_builds": _BUILDS, "bronze_changes": _CHANGES,
+             **incremental.ADMIN})
+        self.feed = ChangeFeed(spark, folders.under("changes"))
 
     # ---- lake ------------------------------------------------------------------------------------
 
@@ -183,24 +192,16 @@ class Warehouse:
         due = ledger.due_files(ledger.whole_days(synced), self.admin.read("bronze_loads"), force)
         # one row per file that is due, names only
         files = due.select("kind", "source_date", "source_file", "version").orderBy("source_file").collect()
-        loaded: list[str] = []
+        load, loaded = uuid.uuid4().hex, []
         for kind in FLOW_KINDS:
-            table, new = bronze.TABLE_OF[kind], [f for f in files if f.kind == kind]
+            new = [f for f in files if f.kind == kind]
             if new:
                 if force:
-                    self._record_load(table, new, False)
+                    self._record_load(bronze.TABLE_OF[kind], new, False)
                 # a kind has one file a day: a predicate on a partition column, so only these are scanned
                 rows = self.lake.read(kind).filter(F.col("source_date").isin([f.source_date for f in new]))
-                # the rejects are counted as the valid rows are written: without any, one scan is all
-                tagged, counted = bronze.tagged(kind, rows), Observation()
-                bad = F.count(quality.REASON).alias("n")
-                self.bronze.replace_files(
-                    table, quality.valid(tagged.observe(counted, bad)), new, stamp="ingested_at")
-                if counted.get["n"]:
-                    self.rejects.replace_files(table, bronze.rejects(tagged), new)
-                else:
-                    self.rejects.remove_files(table, new)
-                self._record_load(table, new, True)
+                self.replace_bronze(kind, rows, new, load)
+                self._record_load(bronze.TABLE_OF[kind], new, True)
                 loaded += [f.source_file for f in new]
         for kind in drops.REFERENCE_KINDS:
             table, new = bronze.TABLE_OF[kind], [f for f in files if f.kind == kind]
@@ -211,11 +212,32 @@ class Warehouse:
                 snapshot = newest_snapshot(self.lake.read(kind).join(whole, "source_date", "left_semi"))
                 if not snapshot.isEmpty():
                     tagged = bronze.tagged(kind, snapshot)
+                    self._announce(table, new, load)
                     self.rejects.replace_table(table, bronze.rejects(tagged))
                     self.bronze.replace_table(table, quality.valid(tagged), stamp="ingested_at")
                 self._record_load(table, new, True)
         return loaded
 
+    def replace_bronze(self, kind: str, rows: DataFrame, files: list, load: str) -> None:
+        """Replace the rows and rejects of `files` (source_date, source_file) by those typed from lake rows of these files.
+
+        What the load touches is noted first, see `ChangeFeed`.
+        """
+        table, tagged, counted = bronze.TABLE_OF[kind], bronze.tagged(kind, rows), Observation()
+        self.feed.append(table, quality.valid(tagged), load)
+        self._announce(table, files, load)
+        # the rejects are counted as the valid rows are written: without any, one scan is all
+        bad = F.count(quality.REASON).alias("n")
+        self.bronze.replace_files(table, quality.valid(tagged.observe(counted, bad)), files, stamp="ingested_at")
+        if counted.get["n"]:
+            self.rejects.replace_files(table, bronze.rejects(tagged), files)
+        else:
+            self.rejects.remove_files(table, files)
+
+    def _announce(self, table: str, files: list, load: str) -> None:
+        rows = self.spark.createDataFrame([(load, table, f.source_date) for f in files], _CHANGES)
+        self.admin.append_log("bronze_changes", rows)
+
     def _record_load(self, table: str, files: list, success: bool) -> None:
         rows = self.spark.createDataFrame(
             [(table, f.source_file, f.version, success) for f in files],
@@ -252,6 +274,10 @@ class Warehouse:
             delete(self.spark, self._build(old).root)
         return self.silver_tables()
 
+    def update_silver(self) -> dict[str, DataFrame]:
+        """K4, incremental: recompute only what the loads since the last update touched, see `plans/incremental.py`."""
+        return incremental.update(self)
+
     def _build(self, build: str) -> TableStore:
         tables = {**schemas.SILVER, "stay_index": _stay_index_schema()}
         return TableStore(self.spark, f"{self.folders.under('silver')}/{build}", tables, starts_empty=False)
@@ -273,20 +299,27 @@ class Warehouse:
         store = self.silver
         return {name: store.read(name) for name in schemas.SILVER}
 
-    def reject_counts(self) -> DataFrame:
-        """Q9, over what is stored: rows that did not type, then rows the silver rules leave out."""
+    def reject_counts(self, vitals: DataFrame | None = None) -> DataFrame:
+        """Q9, over what is stored: rows that did not type, then rows the silver rules leave out.
+
+        `vitals` is the vital signs' fact, that of the newest whole build by default.
+        """
         untyped = reduce(DataFrame.unionByName, (
             self.rejects.read(table).groupBy("reason").agg(F.count(F.lit(1)).alias("nb_rows"))
             .select(F.lit(table).alias("table_name"), "reason", "nb_rows")
             for table in schemas.BRONZE
         ))
-        counts = silver.reject_counts(self.bronze_tables(), self.silver.read("fact_monitoring"))
+        counts = silver.reject_counts(
+            self.bronze_tables(), self.silver.read("fact_monitoring") if vitals is None else vitals)
         return counts.unionByName(untyped)
 
     # ---- run -------------------------------------------------------------------------------------
 
-    def run(self, force: bool = False, trigger: str = "MANUAL") -> str:
-        """All steps, logged; returns the run id. A failing step is logged and raised."""
+    def run(self, force: bool = False, trigger: str = "MANUAL", incremental_silver: bool = False) -> str:
+        """All steps, logged; returns the run id. A failing step is logged and raised.
+
+        Silver is rebuilt whole, or with `incremental_silver` brought up to date.
+        """
         log = runlog.RunLog(self.spark, self.folders.under("admin"), trigger)
         step = runlog.SYNC
         try:
@@ -301,8 +334,8 @@ class Warehouse:
             log.step(step, loaded, rows["ingested"], rows["rejected"])
 
             step = runlog.SILVER
-            tables = self.build_silver()
-            rejects = self.reject_counts().filter(
+            tables = self.update_silver() if incremental_silver else self.build_silver()
+            rejects = self.reject_counts(tables["fact_monitoring"]).filter(
                 ~F.col("reason").isin("merged_duplicate", *silver.KEPT_STATES))
             nb_rejected = rejects.agg(F.coalesce(F.sum("nb_rows"), F.lit(0))).first()[0]
             nb_stays = tables["fact_sejours"].count()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,6 +121,43 @@ class TableStore:
         rows.coalesce(1).write.mode("append").parquet(self.path(table))
 
 
+class PartStore:
+    """Tables made of parts, every one of them written once per version and never changed.
+
+    Who reads names the version of each part: a build that changes one part names a new version of that one and the
+    former versions of all others, whose files it neither reads nor copies.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType]):
+        self.spark, self.root, self.schemas = spark, root, schemas
+
+    def path(self, table: str, part: str, version: str) -> str:
+        return f"{self.root}/{table}/part={part}/version={version}"
+
+    def write(
+        self, table: str, rows: DataFrame, part: Column, version: str, *,
+        cluster_by: Sequence[str] = (), stamp: str | None = None,
+    ) -> list[str]:
+        """Write the rows as a new version of the parts that they belong to; returns these parts.
+
+        A rebalance brings the rows of a part together, splits large parts and merges the files of small ones.
+        """
+        seen = Observation()
+        rows = _stamped(rows, stamp).withColumn("part", part).hint("rebalance", "part", *cluster_by[:1])
+        rows = rows.sortWithinPartitions("part", *cluster_by).observe(seen, F.collect_set("part").alias("parts"))
+        rows.withColumn("version", F.lit(version)).write.mode("append").partitionBy("part", "version").parquet(f"{self.root}/{table}")
+        return sorted(seen.get["parts"])
+
+    def read(self, table: str, versions: dict[str, str]) -> DataFrame:
+        """The table of these versions by part; no other part is even listed."""
+        if not versions:
+            return self.spark.createDataFrame([], self.schemas[table])
+        return self.spark.read.schema(self.schemas[table]).parquet(*(self.path(table, p, v) for p, v in sorted(versions.items())))
+
+    def remove(self, table: str, part: str, version: str) -> None:
+        delete(self.spark, self.path(table, part, version))
+
+
 def _stamped(rows: DataFrame, column: str | None) -> DataFrame:
     return rows.withColumn(column, F.current_timestamp()) if column else rows
 
