@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.functions import clinical
-from carelake.operators import quality
+from carelake.operators import history, quality
 from carelake.operators.dedup import latest_per_key
 from carelake.operators.lookup import lookup
 
@@ -59,6 +59,11 @@ def dim_patients(patients: DataFrame) -> DataFrame:
     )
 
 
+def dim_patients_history(patients: DataFrame) -> DataFrame:
+    """D1 as history: every version of a patient with the days it was valid on, of which `dim_patients` is the last."""
+    return history.intervals(patients, "patient_pseudo_id", ["birth_year", "sex", "region_code"])
+
+
 # ---- stays ---------------------------------------------------------------------------------------
 
 
@@ -105,6 +110,12 @@ def stay_index(sejours: DataFrame) -> DataFrame:
 # ---- events of a stay ----------------------------------------------------------------------------
 
 
+def _diagnoses(diagnostics: DataFrame) -> DataFrame:
+    """One row per stay and code, principal where any delivery says so."""
+    rank = F.struct(F.col("diag_type") != "principal", F.col("diag_type"))
+    return diagnostics.groupBy("stay_id", "code_cim10").agg(F.min_by("diag_type", rank).alias("diag_type"))
+
+
 def fact_diagnostics(
     diagnostics: DataFrame, stays: DataFrame, patients: DataFrame, carry: Sequence[str] = (),
 ) -> DataFrame:
@@ -113,19 +124,30 @@ def fact_diagnostics(
     A stay has one patient, so the key is settled before the joins; a code given both as principal
     and as associated diagnosis stays principal.
     """
-    rank = F.struct(F.col("diag_type") != "principal", F.col("diag_type"))
-    diagnoses = diagnostics.groupBy("stay_id", "code_cim10").agg(
-        F.min_by("diag_type", rank).alias("diag_type"))
     aged_stays = lookup(stays, patients, "patient_pseudo_id").select(
         "stay_id",
         "patient_pseudo_id",
         clinical.age_at(F.col("admission_ts"), F.col("birth_year")).alias("age_at_diagnostics"),
         *carry,
     )
-    return diagnoses.join(aged_stays, "stay_id").select(
+    return _diagnoses(diagnostics).join(aged_stays, "stay_id").select(
         "stay_id", "patient_pseudo_id", "age_at_diagnostics", "code_cim10", "diag_type", *carry)
 
 
+def fact_diagnostics_as_of(diagnostics: DataFrame, stays: DataFrame, versions: DataFrame) -> DataFrame:
+    """B6 with age and region as they were known at admission: of the patient's version valid on that day.
+
+    versions: `dim_patients_history`. Rows and keys are those of `fact_diagnostics`.
+    """
+    admitted = stays.select("stay_id", "patient_pseudo_id", "admission_ts", F.to_date("admission_ts").alias("admission_day"))
+    valid = history.as_of(admitted, versions, "patient_pseudo_id", "admission_day", ["birth_year", "region_code"])
+    known = valid.select(
+        "stay_id", "patient_pseudo_id", "region_code",
+        clinical.age_at(F.col("admission_ts"), F.col("birth_year")).alias("age_at_diagnostics"))
+    return _diagnoses(diagnostics).join(known, "stay_id").select(
+        "stay_id", "patient_pseudo_id", "age_at_diagnostics", "region_code", "code_cim10", "diag_type")
+
+
 def score_vitals(monitoring: DataFrame) -> DataFrame:
     """Plausible measures with their alert flags. Stateless: the same for a batch and a stream."""
     return monitoring.filter(clinical.vitals_plausible()).select(

@@ -117,6 +117,11 @@ _cte("dim_patients", "patients")("""
     qualify row_number() over (partition by patient_pseudo_id
         order by source_date desc, source_file desc, birth_year desc, sex desc, region_code desc) = 1""")
 
+_cte("patient_days", "patients")("""
+    select patient_pseudo_id, birth_year, sex, region_code, source_date from patients
+    qualify row_number() over (partition by patient_pseudo_id, source_date
+        order by source_file desc, birth_year desc, sex desc, region_code desc) = 1""")
+
 _cte("fact_sejours", "sejours")("""
     select stay_id, patient_pseudo_id, service_code, admission_ts, discharge_ts, admission_mode, discharge_mode,
            cast(discharge_ts is null as integer) as is_ongoing,
@@ -353,6 +358,24 @@ SQL: dict[str, str] = {
                 order by l_orderkey desc, l_linenumber desc, l_partkey desc, l_suppkey desc, success desc) = 1)
         select distinct cast(o_orderdate as date) as source_date from orders
         where cast(o_orderdate as date) not in (select source_date from last where success)""",
+    "dim_patients_history": _with("""
+        select patient_pseudo_id, birth_year, sex, region_code, source_date as valid_from,
+               lead(source_date) over (partition by patient_pseudo_id order by source_date) as valid_to
+        from (select *, lag((birth_year, sex, region_code)) over w as before
+              from patient_days window w as (partition by patient_pseudo_id order by source_date))
+        where before is distinct from (birth_year, sex, region_code)""", "patient_days"),
+    "diagnostics_as_of": _with("""
+        select stay_id, patient_pseudo_id, age_at_diagnostics, region_code, code_cim10, diag_type
+        from (select distinct d.stay_id, s.patient_pseudo_id, d.code_cim10, d.diag_type, p.region_code,
+                     cast(case when p.born <> 0 then greatest(0, year(s.admission_ts) - p.born) end as integer) as age_at_diagnostics
+              from diagnostics d join stays s on d.stay_id = s.stay_id
+              join (select *, birth_year + case when sex = 'M' then 5 else 0 end as born from patient_days) p
+                on s.patient_pseudo_id = p.patient_pseudo_id
+              where p.source_date = (
+                  select coalesce(max(o.source_date) filter (o.source_date <= cast(s.admission_ts as date)), min(o.source_date))
+                  from patient_days o where o.patient_pseudo_id = s.patient_pseudo_id))
+        qualify row_number() over (partition by code_cim10, patient_pseudo_id, stay_id
+            order by diag_type <> 'principal', diag_type) = 1""", "diagnostics", "stays", "patient_days"),
     **loading.SQL,
     **redelivery.SQL,
     # quality and audit

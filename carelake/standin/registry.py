@@ -41,6 +41,17 @@ for _table in (
 ):
     _on_standin(_table, lambda s, table=_table: s.silver[table])
 
+
+
+def _aging_patients(s: Standin) -> DataFrame:
+    """Patient versions whose year of birth is corrected from one to the next."""
+    return s.patients.withColumn("birth_year", (F.col("birth_year") + F.when(F.col("sex") == "M", 5).otherwise(0)).cast("int"))
+
+
+_on_standin("dim_patients_history", lambda s: silver.dim_patients_history(s.patients))
+_on_standin("diagnostics_as_of", lambda s: silver.fact_diagnostics_as_of(
+    s.diagnostics, s.stays, silver.dim_patients_history(_aging_patients(s))))
+
 GOLD = {
     "dms_by_service": gold.dms,
     "emergency_daily": gold.urgences,

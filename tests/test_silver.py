@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import helpers as h
 from helpers import at, day, rows
+from pyspark.sql import functions as F
 
+from carelake.operators import history
 from carelake.plans import silver
 
 
@@ -128,3 +130,37 @@ def test_reject_counts_add_up(spark):
         ("monitoring", "spo2_out_of_range", 1), ("monitoring", "temp_c_out_of_range", 1),
         ("monitoring", "unknown_stay", 1), ("patients", "latest", 2), ("patients", "merged_duplicate", 1),
         ("sejours", "discharge_before_admission", 1), ("sejours", "finished", 1), ("sejours", "ongoing", 1)]
+
+
+def test_patient_history_and_the_version_at_admission(spark):
+    """Runs of equal versions are one interval; a fact before, on, between and after version days, without a day, of no patient."""
+    versions = h.patients(
+        spark, ("P1", 1950, "F", "R1", "2026-08-01"), ("P1", 1950, "F", "R1", "2026-08-03"), ("P1", 1960, "F", "R2", "2026-08-05", "a"),
+        ("P1", 1961, "F", "R2", "2026-08-05", "b"), ("P1", 1950, "F", "R1", "2026-08-09"), ("P2", 0, "M", "R3", "2026-08-02"))
+    past = silver.dim_patients_history(versions)
+    assert rows(past, "patient_pseudo_id", "birth_year", "region_code", "valid_from", "valid_to") == sorted([
+        ("P1", 1950, "R1", day("2026-08-01"), day("2026-08-05")), ("P1", 1961, "R2", day("2026-08-05"), day("2026-08-09")),
+        ("P1", 1950, "R1", day("2026-08-09"), None), ("P2", 0, "R3", day("2026-08-02"), None)], key=repr)
+    facts = spark.createDataFrame([
+        (1, "P1", day("2026-07-01")), (2, "P1", day("2026-08-04")), (3, "P1", day("2026-08-05")), (4, "P1", day("2026-08-08")),
+        (5, "P1", day("2026-09-01")), (6, "P1", None), (7, "P2", day("2026-01-01")), (8, "P9", day("2026-08-01")), (9, None, day("2026-08-01")),
+        (2, "P1", day("2026-08-04")),
+    ], "id int, patient_pseudo_id string, at date")
+    found = history.as_of(facts, past, "patient_pseudo_id", "at", ["birth_year"])
+    assert rows(found, "id", "birth_year") == [(1, 1950), (2, 1950), (2, 1950), (3, 1961), (4, 1961), (5, 1950), (6, 1950), (7, 0)]
+
+
+def test_diagnoses_as_of_admission(spark):
+    stays = silver.stay_index(h.sejours(spark, ("S1", "P1", "A", "2026-08-04 10:00", None), ("S2", "P1", "A", "2026-08-06 10:00", None), ("S3", "P9", "A", "2026-08-06 10:00", None)))
+    past = silver.dim_patients_history(h.patients(spark, ("P1", 1950, "F", "R1", "2026-08-01"), ("P1", 1960, "F", "R2", "2026-08-05")))
+    found = silver.fact_diagnostics_as_of(h.diagnostics(spark, ("S1", "C1", "associe"), ("S1", "C1", "principal"), ("S2", "C1", "associe"), ("S3", "C1", "associe")), stays, past)
+    assert rows(found, "stay_id", "age_at_diagnostics", "region_code", "diag_type") == [("S1", 76, "R1", "principal"), ("S2", 66, "R2", "associe")]
+
+
+def test_a_hot_patient_is_reduced_to_days_before_any_window(spark):
+    """Every window of the as-of join reads rows that an aggregation by patient and day gave; the facts meet it in a join that can be split."""
+    past = silver.dim_patients_history(h.patients(spark, ("P1", 1950, "F", "R1", "2026-08-01")))
+    facts = spark.range(100).select(F.lit("P1").alias("patient_pseudo_id"), F.lit(day("2026-08-01")).alias("at"), "id")
+    plan = history.as_of(facts, past, "patient_pseudo_id", "at", ["birth_year"])._jdf.queryExecution().optimizedPlan().toString()
+    facts_side, days_side = plan.split("Window", 1)
+    assert "Aggregate" in days_side and "Aggregate" not in facts_side and "Window" not in facts_side
