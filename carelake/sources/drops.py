@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from carelake import schemas
 from carelake.session import exists
-from carelake.sources import diagnostics
+from carelake.sources import arrays, diagnostics
 
 # Which file of a drop holds what. Other files in a drop are left alone.
 KINDS = {
@@ -109,17 +109,18 @@ def read(spark: SparkSession, kind: str, paths: Sequence[str]) -> DataFrame:
 
 
 def _read_diagnostics(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Records of the delivered arrays, one parser for files of every size.
+    """Records of the delivered arrays. A file of any size is read by as many tasks as it has byte ranges.
 
     A file that is not one sound array fails the read and is named in the error: nothing of it is
-    taken for a success. Each file is parsed by one task; a day too large for that is delivered as a
-    folder of part files.
+    taken for a success.
     """
-    text = spark.read.text(list(paths), wholetext=True).select("value", F.col("_metadata.file_path").alias("_path"))
-    parsed = diagnostics.parse(F.col("value"))
-    broken = F.raise_error(F.concat(F.lit(f"{DAMAGED}: "), F.col("_path"))).cast(f"array<{schemas.RAW_DIAGNOSTICS.simpleString()}>")
-    sound = F.when(diagnostics.damaged(parsed), broken).otherwise(diagnostics.records(parsed))
-    return text.select(F.explode(sound).alias("r"), "_path").select("r.*", "_path")
+    parts = arrays.sound(arrays.records(spark, paths))
+    parsed = diagnostics.parse(F.concat(F.lit("["), "record", F.lit("]")))
+    broken = F.raise_error(F.concat(F.lit(f"{DAMAGED}: "), F.col("path"))).cast(f"array<{schemas.RAW_DIAGNOSTICS.simpleString()}>")
+    none = F.array().cast(f"array<{schemas.RAW_DIAGNOSTICS.simpleString()}>")
+    found = F.when(F.col("damaged"), broken).when(F.col("record").isNull(), none).when(
+        diagnostics.damaged(parsed), broken).otherwise(diagnostics.records(parsed))
+    return parts.select(F.explode(found).alias("r"), F.col("path").alias("_path")).select("r.*", "_path")
 
 
 _RECORD = "_unparsed_record"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +108,29 @@ def parse_diagnostics(spark: SparkSession, folder: str) -> DataFrame:
         F.when(~bad & (F.size(found) > 0), found[0]["stay_id"]).alias("first_stay"))
 
 
+def diagnosis_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as diagnoses of their orders, written as four JSON arrays and read back in byte ranges of 16 KB.
+
+    Ids hold braces, quotes and backslashes, and records lie across the ranges.
+    """
+    own = spark.newSession()  # the size of the ranges is a setting
+    own.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    key = F.col("l_orderkey")
+    diagnosis = F.struct(F.concat(F.lit("C]["), "l_partkey").alias("code_cim10"), F.when(F.col("l_linenumber") > 1, "{").alias("type"))
+    stays = _table(own, folder, "lineitem").groupBy("l_orderkey").agg(F.collect_list(diagnosis).alias("diagnostics"))
+    record = F.to_json(F.struct(F.concat(F.lit('S}"\\'), key).alias("stay_id"), "diagnostics"))
+    order = Window.partitionBy("file").orderBy("l_orderkey")
+    lines = stays.withColumn("file", F.pmod(key, F.lit(4))).select(
+        "file", "l_orderkey", F.concat(
+            F.when(F.lag("l_orderkey").over(order).isNull(), "[").otherwise(""), record,
+            F.when(F.lead("l_orderkey").over(order).isNull(), "]").otherwise(",")).alias("line"))
+    root = f"{shared_folder(spark)}/diagnosis-arrays-{uuid.uuid4().hex}"
+    lines.repartition("file").sortWithinPartitions("file", "l_orderkey").select("file", "line").write.partitionBy("file").text(root)
+    paths = [f"{root}/file={r.file}" for r in lines.select("file").distinct().orderBy("file").collect()]  # four at most
+    return diagnostics.flatten(drops.read(own, "diagnostics", paths)).select("stay_id", "code_cim10", "diag_type")
+
+
 def delivery_reload(spark: SparkSession, folder: str) -> DataFrame:
     """K1: two deliveries, then one of them delivered again with fewer rows and one with none."""
     schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType()), *schemas.LINEAGE])
@@ -133,6 +156,7 @@ QUERIES = {
     "bronze_actes": bronze_actes,
     "bronze_ccam": bronze_ccam,
     "parse_diagnostics": parse_diagnostics,
+    "diagnosis_arrays": diagnosis_arrays,
     "delivery_reload": delivery_reload,
 }
 
@@ -174,6 +198,10 @@ SQL = {
                case l_linenumber % 7 when 0 then 1 when 1 then 2 when 2 then 2 when 6 then 0 end as nb_records,
                case when l_linenumber % 7 in (0, 1, 2) then 'S' || l_orderkey end as first_stay
         from lineitem""",
+    "diagnosis_arrays": """
+        select 'S}"\\' || l_orderkey as stay_id, 'C][' || l_partkey as code_cim10,
+               case when l_linenumber > 1 then '{' else 'principal' end as diag_type
+        from lineitem""",
     "delivery_reload": """
         select o_orderkey, o_orderstatus, cast(date '2026-08-01' + cast(o_orderkey % 4 as integer) as date) as source_date,
                'sejours/' || cast(date '2026-08-01' + cast(o_orderkey % 4 as integer) as date) || '/sejours.csv' as source_file
