@@ -313,6 +313,7 @@ SQL: dict[str, str] = {
     "dms_by_service": _from("dms"),
     "emergency_daily": _from("urgences"),
     "readmission_30d": _from("readmissions"),
+    "readmission_stream": _from("readmissions"),
     "alerts_daily": _from("alertes"),
     "alerts_daily_written": _from("alertes"),
     "prevalence": _from("prevalence"),

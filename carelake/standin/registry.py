@@ -23,7 +23,7 @@ from carelake.sources.store import TableStore
 from carelake.standin import loading, redelivery
 from carelake.standin.oracle import SECRET
 from carelake.standin.tables import Standin
-from carelake.streaming import ingest
+from carelake.streaming import ingest, readmissions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,6 +128,15 @@ def _stream_twice(s: Standin) -> DataFrame:
     return ingest.read_batches(s.spark, f"{folder}/bronze", schemas.BRONZE["monitoring"])
 
 
+def _readmission_stream(s: Standin) -> DataFrame:
+    """W1, G3 as a stream: the stays in six files dealt by chance, two a batch, counted from keyed state."""
+    folder = f"{shared_folder(s.spark)}/readmission-stream-{uuid.uuid4().hex}"
+    s.silver["fact_sejours"].repartition(6, F.xxhash64("stay_id")).write.parquet(f"{folder}/stays")
+    source = s.spark.readStream.schema(schemas.SILVER["fact_sejours"]).option("maxFilesPerTrigger", 2).parquet(f"{folder}/stays")
+    readmissions.count_readmissions(source, f"{folder}/counts", "20000 days")
+    return readmissions.readmissions_30j(s.spark, f"{folder}/counts")
+
+
 def _dates_due(s: Standin) -> DataFrame:
     """K3: order dates against a ledger in which every line item is a synchronisation attempt."""
     available = s.table("orders").select(F.col("o_orderdate").cast("date").alias("source_date"))
@@ -174,6 +183,7 @@ _on_standin("flatten_diagnostics", _nested_json)
 _on_standin("source_dates", _all_dates)
 _on_standin("ingest_idempotent", _load_twice)
 _on_standin("ingest_stream", _stream_twice)
+_on_standin("readmission_stream", _readmission_stream)
 _on_standin("ref_snapshot_replace", lambda s: newest_snapshot(s.ref_ccam_deliveries))
 _on_standin("lake_dates_to_process", _dates_due)
 
