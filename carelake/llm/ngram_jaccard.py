@@ -107,8 +107,11 @@ def frequencies(texts: DataFrame, shingle: int) -> np.ndarray:
 MARKS = "n int, key binary, maps array<bigint>, prefix array<bigint>, whole array<bigint>, cost double"
 
 
-def mark(own: np.ndarray, counts: np.ndarray, percent: int) -> tuple:
-    """Size, digest, parity bitmap, prefix (rarest first), the whole set if it may be light, and cost of scanning its lists."""
+def mark(own: np.ndarray, counts: np.ndarray, usual: float, percent: int) -> tuple:
+    """Size, digest, parity bitmap, prefix (rarest first), the whole set if it may be light, and cost of scanning its lists.
+
+    counts: of the buckets; usual: their mean, which an element that is no other set's would find in its bucket.
+    """
     n = len(own)
     if not n:
         return 0, None, None, None, None, None
@@ -117,7 +120,7 @@ def mark(own: np.ndarray, counts: np.ndarray, percent: int) -> tuple:
     first = np.lexsort((own, seen))[:length]
     flips = np.bincount((own >> np.uint64(20)).astype(np.int64) % (64 * MAPS), minlength=64 * MAPS) % 2
     maps = np.packbits(flips.astype(np.uint8)).view(np.int64)
-    lists = np.maximum(1, seen[first] - counts.mean()).sum()
+    lists = np.maximum(1, seen[first] - usual).sum()
     return (n, xxhash.xxh3_128_digest(own.tobytes()), maps, own[first].view(np.int64),
             own.view(np.int64) if n < MOST_LIGHT else None, float(lists))
 
@@ -126,10 +129,11 @@ def marks(docs: DataFrame, rest: list[str], counts: np.ndarray, shingle: int, pe
     schema = ", ".join(f"{c} {t}" for c, t in docs.select(*rest).dtypes) + ", " + MARKS
     names = [c.split()[0] for c in MARKS.split(", ")]
     kinds = (pa.int32(), pa.binary(), *[pa.list_(pa.int64())] * 3, pa.float64())
+    usual = counts.mean()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [mark(own, counts, percent) for own in _texts(batch, shingle)]
+            rows = [mark(own, counts, usual, percent) for own in _texts(batch, shingle)]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * len(kinds), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *columns], [*rest, *names])
 

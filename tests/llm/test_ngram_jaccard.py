@@ -176,5 +176,5 @@ def test_very_long_text():
     text = " ".join(f"w{i % 90_001}" for i in range(400_000)).encode()
     own = ngram_jaccard.elements(text, 4)
     assert len(own) == 90_001
-    n, _, maps, prefix, whole, _ = ngram_jaccard.mark(own, np.ones(ngram_jaccard.BUCKETS, np.int64), 85)
+    n, _, maps, prefix, whole, _ = ngram_jaccard.mark(own, np.ones(ngram_jaccard.BUCKETS, np.int64), 1.0, 85)
     assert n == 90_001 and len(maps) == ngram_jaccard.MAPS and whole is None and len(prefix) == n - ngram_jaccard.need(n, -(-85 * n // 100)) + 1
