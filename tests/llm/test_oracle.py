@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", SQL)
 def test_equals_sql(spark, name):
     own = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "labels"):
         own.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     wanted = own.sql(SQL[name])
     found = QUERIES[name](spark, SF)
