@@ -127,18 +127,17 @@ def categories(silver: dict[str, DataFrame]) -> DataFrame:
 # ---- vital signs ---------------------------------------------------------------------------------
 
 
+def alert_counts() -> list[Column]:
+    """Measures, alerts, and alerts per vital sign."""
+    flags = {"totales": "is_alert", "fc": "is_alert_fc", "spo2": "is_alert_spo2", "temp": "is_alert_temp"}
+    return [_rows().alias("nb_mesures_totales"), *(F.count_if(F.col(c) == 1).alias(f"nb_alertes_{n}") for n, c in flags.items())]
+
+
 def alertes(silver: dict[str, DataFrame]) -> DataFrame:
     """Measures and alerts per day."""
-    def count_flag(name: str) -> Column:
-        return F.count_if(F.col(name) == 1)
-
     return silver["fact_monitoring"].groupBy(F.to_date("ts").alias("jour")).agg(
-        _rows().alias("nb_mesures_totales"),
-        count_flag("is_alert").alias("nb_alertes_totales"),
-        count_flag("is_alert_fc").alias("nb_alertes_fc"),
-        count_flag("is_alert_spo2").alias("nb_alertes_spo2"),
-        count_flag("is_alert_temp").alias("nb_alertes_temp"),
-        percent(count_flag("is_alert"), _rows()).alias("taux_alertes_pct"),
+        *alert_counts(),
+        percent(F.count_if(F.col("is_alert") == 1), _rows()).alias("taux_alertes_pct"),
     ).orderBy("jour")
 
 
