@@ -212,6 +212,31 @@ _cte("alertes", "fact_monitoring")(f"""
            {_pct("cast(sum(is_alert) as bigint)", "count(*)")} as taux_alertes_pct
     from fact_monitoring group by 1""")
 
+_cte("delivered", "fact_monitoring")("""
+    select f.*, unnest(case when epoch(date_trunc('second', ts)) % 10 = 0 then [eighth + 1]
+                            when epoch(date_trunc('second', ts)) % 7 = 1 then [eighth, eighth + 1] else [eighth] end) as delivery
+    from (select *, least(3, (cast(ts as date) - date '2024-01-01') // 8) as eighth from fact_monitoring) f""")
+
+_cte("flagged", "delivered")("""
+    select d.*, coalesce(ts <= (select max(ts) from delivered b where b.delivery < d.delivery) - to_days(3), false) as late
+    from delivered d""")
+
+_cte("alert_windows", "flagged")(f"""
+    select coalesce(c.debut, l.debut) as debut, coalesce(c.debut, l.debut) + to_days(2) as fin,
+           coalesce(nb_mesures_totales, 0) as nb_mesures_totales, coalesce(nb_alertes_totales, 0) as nb_alertes_totales,
+           coalesce(nb_alertes_fc, 0) as nb_alertes_fc, coalesce(nb_alertes_spo2, 0) as nb_alertes_spo2,
+           coalesce(nb_alertes_temp, 0) as nb_alertes_temp, coalesce(nb_tardives, 0) as nb_tardives,
+           {_pct("nb_alertes_totales", "nb_mesures_totales")} as taux_alertes_pct
+    from (select debut, count(*) as nb_mesures_totales, count(*) filter (where is_alert = 1) as nb_alertes_totales,
+                 count(*) filter (where is_alert_fc = 1) as nb_alertes_fc, count(*) filter (where is_alert_spo2 = 1) as nb_alertes_spo2,
+                 count(*) filter (where is_alert_temp = 1) as nb_alertes_temp
+          from (select distinct stay_id, ts, heart_rate, spo2, temp_c, is_alert, is_alert_fc, is_alert_spo2, is_alert_temp,
+                       date_trunc('day', ts) - to_days(cast(back as integer)) as debut
+                from flagged, (values (0), (1)) as w(back) where not late)
+          where debut + to_days(2) <= (select max(ts) from delivered) - to_days(3) group by debut) c
+    full join (select date_trunc('day', ts) - to_days(cast(back as integer)) as debut, count(*) as nb_tardives
+               from flagged, (values (0), (1)) as w(back) where late group by 1) l on c.debut = l.debut""")
+
 _cte("prevalence", "fact_diagnostics", "dim_cim10")("""
     select d.code_cim10, coalesce(any_value(r.libelle), d.code_cim10) as libelle_pathologie,
            count(distinct patient_pseudo_id) as nb_patients_uniques, count(*) as nb_diagnostics_total,
@@ -316,6 +341,7 @@ SQL: dict[str, str] = {
     "readmission_stream": _from("readmissions"),
     "alerts_daily": _from("alertes"),
     "alerts_daily_written": _from("alertes"),
+    "alerts_stream": _from("alert_windows"),
     "prevalence": _from("prevalence"),
     "cohorts": _from("cohortes"),
     "cohorts_suppressed": _from("cohortes", "*", "where nb_patients >= 5"),

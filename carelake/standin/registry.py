@@ -23,7 +23,7 @@ from carelake.sources.store import TableStore
 from carelake.standin import loading, redelivery
 from carelake.standin.oracle import SECRET
 from carelake.standin.tables import Standin
-from carelake.streaming import ingest, readmissions
+from carelake.streaming import alerts, ingest, readmissions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,6 +137,22 @@ def _readmission_stream(s: Standin) -> DataFrame:
     return readmissions.readmissions_30j(s.spark, f"{folder}/counts")
 
 
+def _alert_stream(s: Standin) -> DataFrame:
+    """B7, G4 in event time: measures of eight days a delivery, some a delivery too late, some in two; windows of two days, one a day."""
+    folder = f"{shared_folder(s.spark)}/alert-stream-{uuid.uuid4().hex}"
+    second = F.unix_timestamp("ts")
+    eighth = F.least(F.lit(3), F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 8))
+    delivery = F.when(second % 10 == 0, F.array(eighth + 1)).when(second % 7 == 1, F.array(eighth, eighth + 1)).otherwise(F.array(eighth))
+    dealt = s.monitoring.withColumn("delivery", F.explode(delivery))
+    for k in range(5):
+        dealt.filter(F.col("delivery") == k).drop("delivery").write.parquet(f"{folder}/in/d{k}")
+        source = s.spark.readStream.schema(schemas.BRONZE["monitoring"]).option("recursiveFileLookup", True).parquet(f"{folder}/in")
+        alerts.divert(source, s.stays, f"{folder}/out", "3 days")
+        if k in (2, 4):
+            alerts.count_windows(s.spark, f"{folder}/out", "3 days", "2 days", "1 day")
+    return alerts.alerts_by_window(s.spark, f"{folder}/out", "2 days", "1 day")
+
+
 def _dates_due(s: Standin) -> DataFrame:
     """K3: order dates against a ledger in which every line item is a synchronisation attempt."""
     available = s.table("orders").select(F.col("o_orderdate").cast("date").alias("source_date"))
@@ -184,6 +200,7 @@ _on_standin("source_dates", _all_dates)
 _on_standin("ingest_idempotent", _load_twice)
 _on_standin("ingest_stream", _stream_twice)
 _on_standin("readmission_stream", _readmission_stream)
+_on_standin("alerts_stream", _alert_stream)
 _on_standin("ref_snapshot_replace", lambda s: newest_snapshot(s.ref_ccam_deliveries))
 _on_standin("lake_dates_to_process", _dates_due)
 
