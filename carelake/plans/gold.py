@@ -43,9 +43,17 @@ def dms(silver: dict[str, DataFrame]) -> DataFrame:
     Stays are counted per service and length in hundredths of a day, which spreads a large service
     over many keys; mean, exact median and extremes then come from those few weighted rows.
     """
-    lengths = silver["fact_sejours"].groupBy(
-        "service_code", "is_ongoing", hundredths(F.col("duree_sejour_jours")).alias("length"),
-    ).agg(_rows().alias("n"))
+    return dms_of_lengths(length_counts(silver["fact_sejours"]), silver["dim_services"])
+
+
+def length_counts(stays: DataFrame, *keys: str | Column) -> DataFrame:
+    """Stays per service, state, length in hundredths of a day, and `keys`."""
+    return stays.groupBy(
+        "service_code", "is_ongoing", hundredths(F.col("duree_sejour_jours")).alias("length"), *keys).agg(_rows().alias("n"))
+
+
+def dms_of_lengths(lengths: DataFrame, services: DataFrame) -> DataFrame:
+    """G1 from counted lengths; counts of the same length may come in several rows."""
     length = F.when(_finished(), F.col("length"))
     finished = F.coalesce(F.sum(F.when(_finished(), F.col("n"))), F.lit(0))
     per_service = lengths.groupBy("service_code").agg(
@@ -56,7 +64,7 @@ def dms(silver: dict[str, DataFrame]) -> DataFrame:
         (F.min(length) / 100.0).alias("dms_min_jours"),
         (F.max(length) / 100.0).alias("dms_max_jours"),
     )
-    labels = silver["dim_services"].select("service_code", "service_label")
+    labels = services.select("service_code", "service_label")
     return per_service.join(labels, "service_code", "left").select(
         "service_code",
         F.coalesce("service_label", "service_code").alias("service_label"),

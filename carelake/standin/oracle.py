@@ -173,7 +173,8 @@ def _pct(part: str, whole: str) -> str:
     return f"round_even(100.0 * {part} / nullif({whole}, 0) * 100, 0) / 100"
 
 
-_cte("dms", "fact_sejours", "dim_services")("""
+def _dms(where: str = "") -> str:
+    return f"""
     select f.service_code, coalesce(any_value(s.service_label), f.service_code) as service_label,
            count(*) filter (where is_ongoing = 0) as nb_sejours_termines,
            count(*) filter (where is_ongoing = 1) as nb_sejours_en_cours,
@@ -181,8 +182,19 @@ _cte("dms", "fact_sejours", "dim_services")("""
                / count(duree_sejour_jours), 0) / 100 as dms_jours,
            round_even(median(round_even(duree_sejour_jours * 100, 0)), 0) / 100 as dms_mediane_jours,
            min(duree_sejour_jours) as dms_min_jours, max(duree_sejour_jours) as dms_max_jours
-    from fact_sejours f left join dim_services s on f.service_code = s.service_code
-    group by f.service_code""")
+    from fact_sejours f left join dim_services s on f.service_code = s.service_code {where}
+    group by f.service_code"""
+
+
+_cte("dms", "fact_sejours", "dim_services")(_dms())
+
+_PERIOD = "between date '1996-03-15' and date '1998-09-14'"
+_cte("dms_period", "fact_sejours", "dim_services")(_dms(f"where cast(admission_ts as date) {_PERIOD}"))
+
+# the stay index has one admission per stay, that of the newest delivery
+_cte("diagnosed", "fact_diagnostics", "stays")(f"""
+    select d.*, cast(least(100, age_at_diagnostics // 10 * 10) as integer) as band_start
+    from fact_diagnostics d join stays s on d.stay_id = s.stay_id where cast(s.admission_ts as date) {_PERIOD}""")
 
 _cte("urgences", "fact_sejours")(f"""
     select cast(admission_ts as date) as date_passage, count(*) as nb_passages_total,
@@ -336,6 +348,16 @@ SQL: dict[str, str] = {
         "fact_monitoring", "fact_acte")},
     # gold
     "dms_by_service": _from("dms"),
+    "dms_period": _from("dms_period"),
+    "prevalence_period": _from("diagnosed", """code_cim10, case when age_at_diagnostics is not null then band_start end as band_start,
+        count(distinct patient_pseudo_id) as nb_patients""", "group by all"),
+    "comorbidity_period": _with("""
+        select code_a, code_b, count(distinct a.patient_pseudo_id) filter (where b.patient_pseudo_id is not null) as nb_patients
+        from (select distinct 'C' || (p_partkey % 41) as code_a, 'C' || (p_partkey * 7 % 43) as code_b from part)
+        left join (select distinct code_cim10, patient_pseudo_id from diagnosed) a on a.code_cim10 = code_a
+        left join (select distinct code_cim10, patient_pseudo_id from diagnosed) b
+            on b.code_cim10 = code_b and b.patient_pseudo_id = a.patient_pseudo_id
+        group by code_a, code_b""", "diagnosed"),
     "emergency_daily": _from("urgences"),
     "readmission_30d": _from("readmissions"),
     "readmission_stream": _from("readmissions"),

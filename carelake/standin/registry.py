@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from carelake.functions import clinical, privacy
 from carelake.operators import ledger, quality
 from carelake.operators.snapshot import newest_snapshot
 from carelake.operators.suppression import suppress_small_cells
-from carelake.plans import gold, reports, runlog, silver
+from carelake.plans import gold, periods, reports, runlog, silver
 from carelake.plans.warehouse import write_silver
 from carelake.session import shared_folder
 from carelake.sources import drops
@@ -74,6 +75,36 @@ _on_standin("age_band", lambda s: s.silver["fact_diagnostics"].groupBy(
     clinical.age_band(F.col("age_at_diagnostics")).alias("tranche_age"),
 ).agg(F.count(F.lit(1)).alias("nb_diagnostics")))
 
+# ---- any period, from stored states ------------------------------------------------------------
+
+_PERIOD = (date(1996, 3, 15), date(1998, 9, 14))
+
+
+def _period_store(s: Standin, name: str, facts: DataFrame, state: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """States of the facts in two loads, each with half of the stays of every day, read for the period."""
+    store = periods.PeriodStore(s.spark, f"{shared_folder(s.spark)}/{name}-{uuid.uuid4().hex}")
+    half = F.pmod(F.xxhash64("stay_id"), F.lit(2))
+    store.write(state(facts.filter(half == 0)))
+    store.append(state(facts.filter(half == 1)))
+    return store.read(*_PERIOD)
+
+
+def _patients_of_period(s: Standin) -> DataFrame:
+    facts = silver.fact_diagnostics(s.diagnostics, s.stays, s.silver["dim_patients"], ["admission_ts"])
+    return _period_store(s, "patient-sketches", facts, periods.patient_sketches)
+
+
+def _pairs(s: Standin) -> DataFrame:
+    part = F.col("p_partkey")
+    return s.table("part").select(F.concat(F.lit("C"), (part % 41).cast("string")).alias("code_a"),
+                                  F.concat(F.lit("C"), (part * 7 % 43).cast("string")).alias("code_b"))
+
+
+_on_standin("dms_period", lambda s: periods.dms_between(
+    _period_store(s, "lengths", s.silver["fact_sejours"], periods.length_state), s.silver["dim_services"]))
+_on_standin("prevalence_period", lambda s: periods.patients_by(_patients_of_period(s), "code_cim10", "band_start"))
+_on_standin("comorbidity_period", lambda s: periods.patients_with_both(_patients_of_period(s), _pairs(s)))
+
 # ---- reports -------------------------------------------------------------------------------------
 
 for _name, _report in reports.REPORTS.items():

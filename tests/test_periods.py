@@ -1,0 +1,140 @@
+"""Stored states of days against the marts over the facts of a period."""
+
+from __future__ import annotations
+
+import random
+from datetime import date, datetime, timedelta
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from carelake import schemas
+from carelake.plans import gold, periods
+
+BEGIN = datetime(2026, 1, 1)
+FIRST, LAST = date(2026, 1, 20), date(2026, 3, 10)
+
+
+def stays(spark, chance, n, prefix="S"):
+    out = []
+    for i in range(n):
+        admission = BEGIN + timedelta(minutes=chance.randrange(100 * 1440))
+        length = None if chance.random() < 0.1 else round(chance.expovariate(0.2), 2)
+        discharge = None if length is None else admission + timedelta(days=length)
+        out.append((f"{prefix}{i}", f"P{i % 50}", chance.choice(["A", "B", "C", None]), admission, discharge, "", "", int(length is None),
+                    length and length * 24, length))
+    return spark.createDataFrame(out, schemas.SILVER["fact_sejours"])
+
+
+def services(spark):
+    return spark.createDataFrame([("A", "Alpha", "", 1, "")], schemas.SILVER["dim_services"])
+
+
+def within(table):
+    return table.filter(F.to_date("admission_ts").between(F.lit(FIRST), F.lit(LAST)))
+
+
+def test_lengths_of_a_period_are_the_marts(spark, tmp_path):
+    """Two loads of the same days; whole, and within bounds that cut months."""
+    one, two = stays(spark, random.Random(1), 200), stays(spark, random.Random(2), 300, "T")
+    store = periods.PeriodStore(spark, f"{tmp_path}/lengths")
+    store.write(periods.length_state(one))
+    store.append(periods.length_state(two))
+    facts = one.unionByName(two)
+    for state, given in ((store.read(), facts), (store.read(FIRST, LAST), within(facts))):
+        wanted = gold.dms({"fact_sejours": given, "dim_services": services(spark)})
+        assert rows(periods.dms_between(state, services(spark))) == rows(wanted)
+    assert "PartitionFilters: [isnotnull(month" in store.read(FIRST, LAST)._jdf.queryExecution().toString()
+
+
+def test_corrected_months_are_swapped(spark, tmp_path):
+    """February is delivered anew and March emptied; January stays the very files it was."""
+    facts = stays(spark, random.Random(3), 300)
+    store = periods.PeriodStore(spark, f"{tmp_path}/lengths")
+    store.write(periods.length_state(facts))
+    before = {f for f in store.read().inputFiles() if "202601" in f}
+    month = F.month("admission_ts")
+    corrected = facts.filter(month.isin(1, 4)).unionByName(facts.filter((month == 2) & (F.col("service_code") == "A")))
+    store.replace_months(periods.length_state(corrected), [202602, 202603])
+    wanted = gold.dms({"fact_sejours": corrected, "dim_services": services(spark)})
+    assert rows(periods.dms_between(store.read(), services(spark))) == rows(wanted)
+    assert {f for f in store.read().inputFiles() if "202601" in f} == before != set()
+
+
+def test_quantiles_from_sketches_keep_their_rank(spark):
+    """Merged over a hundred days, each quantile lies within 0.7 % of its rank among all lengths (twice that is allowed: 99 %)."""
+    facts = spark.range(60_000).select(
+        F.lit("S").alias("stay_id"), F.element_at(F.array(F.lit("A"), F.lit("B")), (F.col("id") % 2 + 1).cast("int")).alias("service_code"),
+        F.timestamp_seconds(F.lit(1_767_225_600) + F.col("id") % 100 * 86_400).alias("admission_ts"),
+        (F.col("id") % 13 == 0).cast("int").alias("is_ongoing"),
+        F.when(F.col("id") % 13 != 0, F.pmod(F.xxhash64("id"), F.lit(100_000)) / 100.0).alias("duree_sejour_jours"))
+    ranks = [0.0, 0.05, 0.5, 0.95, 1.0]
+    sketches = periods.length_sketches(facts)
+    assert sketches.count() == 100  # a day has one service here
+    found = {r.service_code: r for r in periods.length_quantiles(sketches, ranks).collect()}
+    for service in "AB":
+        lengths = sorted(r[0] for r in facts.filter((F.col("service_code") == service) & (F.col("is_ongoing") == 0)).select("duree_sejour_jours").collect())
+        assert found[service].nb_sejours_termines == len(lengths)
+        for rank, value in zip(ranks, found[service].quantiles_jours, strict=True):
+            at = sum(v <= value for v in lengths) / len(lengths)
+            assert abs(at - rank) < 0.014, (service, rank)
+        assert found[service].quantiles_jours[0] == lengths[0] and found[service].quantiles_jours[-1] == lengths[-1]
+
+
+def diagnoses(spark, n, patients):
+    """Five codes of which each patient has some, ages that some lack, one nameless patient."""
+    key = F.pmod(F.xxhash64("id"), F.lit(patients))
+    return spark.range(n).select(
+        F.when(key == 0, "").when(key != 1, F.concat(F.lit("P"), key.cast("string"))).alias("patient_pseudo_id"),
+        F.when(F.col("id") % 11 != 0, (key % 110).cast("int")).alias("age_at_diagnostics"),
+        F.concat(F.lit("C"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5)).cast("string")).alias("code_cim10"),
+        F.timestamp_seconds(F.lit(1_767_225_600) + F.col("id") % 100 * 86_400).alias("admission_ts"))
+
+
+def counts(df, *keys):
+    return {tuple(r[k] for k in keys): r.nb_patients for r in df.collect()}
+
+
+def exact_pairs(facts):
+    one, other = (facts.select(F.col("code_cim10").alias(f"code_{c}"), "patient_pseudo_id").distinct() for c in "ab")
+    return one.join(other, "patient_pseudo_id").groupBy("code_a", "code_b").agg(F.count("*").alias("nb_patients"))
+
+
+def test_patients_of_days_codes_and_bands_are_exact_while_few(spark, tmp_path):
+    facts = diagnoses(spark, 3000, 400)
+    store = periods.PeriodStore(spark, f"{tmp_path}/patients")
+    store.write(periods.patient_sketches(facts.filter("code_cim10 < 'C3'")))
+    store.append(periods.patient_sketches(facts.filter("code_cim10 >= 'C3'")))
+    for sketches, given in ((store.read(), facts), (store.read(FIRST, LAST), within(facts))):
+        by_code = given.groupBy("code_cim10").agg(F.count_distinct("patient_pseudo_id").alias("nb_patients"))
+        assert counts(periods.patients_by(sketches, "code_cim10"), "code_cim10") == counts(by_code, "code_cim10")
+        assert periods.patients_by(sketches).first()[0] == given.select(F.count_distinct("patient_pseudo_id")).first()[0]
+        wanted = counts(exact_pairs(given), "code_a", "code_b")
+        pairs = spark.createDataFrame([*wanted, ("C0", "C9"), ("C0", "C1"), ("C9", "C9")], "code_a string, code_b string")
+        found = counts(periods.patients_with_both(sketches, pairs), "code_a", "code_b")
+        assert found == wanted | {("C0", "C9"): 0, ("C9", "C9"): 0}
+
+
+@pytest.mark.parametrize("lg_entries", [9, 12])
+def test_estimates_of_many_patients_keep_their_error(spark, lg_entries):
+    """Within four standard errors, 4 / sqrt(2 ** lg_entries): of the count for unions, of the union for intersections."""
+    facts = diagnoses(spark, 60_000, 30_000).filter("patient_pseudo_id is not null")
+    sketches = periods.patient_sketches(facts, lg_entries)
+    bound = 4 / 2 ** (lg_entries / 2)
+    total = facts.select("patient_pseudo_id").distinct().count()
+    found = periods.patients_by(sketches, lg_entries=lg_entries).first()[0]
+    assert found != total and abs(found / total - 1) < bound
+    wanted = counts(exact_pairs(facts), "code_a", "code_b")
+    pairs = spark.createDataFrame(list(wanted), "code_a string, code_b string")
+    for (a, b), n in counts(periods.patients_with_both(sketches, pairs, lg_entries), "code_a", "code_b").items():
+        union = wanted[a, a] + wanted[b, b] - wanted[a, b]
+        assert abs(n - wanted[a, b]) < bound * union, (a, b)
+
+
+def test_no_rows(spark, tmp_path):
+    store = periods.PeriodStore(spark, f"{tmp_path}/empty")
+    store.write(periods.patient_sketches(diagnoses(spark, 0, 5)))
+    empty = periods.patient_sketches(diagnoses(spark, 0, 5))
+    assert periods.patients_by(empty, "code_cim10").isEmpty() and periods.patients_by(empty).first()[0] == 0
+    assert periods.length_quantiles(periods.length_sketches(stays(spark, random.Random(1), 1).limit(0)), [0.5]).isEmpty()
