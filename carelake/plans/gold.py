@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from carelake.functions import clinical
 from carelake.functions.numeric import hundredths, percent, ratio, round_even
+from carelake.operators.generalise import Hierarchy, as_it_is, generalised, merged
+from carelake.operators.suppression import MINIMUM_CELL
 
 EMERGENCY_SERVICE = "URGENCES"
 READMISSION_DAYS = (1, 30)
@@ -193,6 +195,38 @@ def cohortes(silver: dict[str, DataFrame]) -> DataFrame:
         clinical.age_band(F.col("band_start")).alias("tranche_age"), "sex", "nb_patients")
 
 
+def cohort_cells(silver: dict[str, DataFrame]) -> DataFrame:
+    """Patients per pathology, age at its first diagnosis (the youngest), region and sex.
+
+    Each patient is in one cell of a pathology, so cells may be added up; ages unknown come last and are one.
+    """
+    first = silver["fact_diagnostics"].groupBy("code_cim10", "patient_pseudo_id").agg(F.min("age_at_diagnostics").alias("age"))
+    people = silver["dim_patients"].select("patient_pseudo_id", "region_code", "sex")
+    return first.join(people, "patient_pseudo_id").groupBy("code_cim10", "age", "region_code", "sex").agg(_rows().alias("nb_patients"))
+
+
+def _age_span(years: int) -> Callable[[Column], Column]:
+    """Ages as `from-to`, in spans that divide those above them; no age is `inconnu`."""
+    def span(age: Column) -> Column:
+        start = F.floor(age / years) * years
+        named = start.cast("string") if years == 1 else F.concat_ws("-", start.cast("string"), (start + years - 1).cast("string"))
+        return F.when(age.isNull(), F.lit(clinical.UNKNOWN_BAND)).otherwise(named)
+
+    return span
+
+
+COHORT_LEVELS = (
+    Hierarchy("age", (*map(_age_span, (1, 5, 10, 20, 40)), merged)),
+    Hierarchy("region_code", (as_it_is, merged)),
+    Hierarchy("sex", (as_it_is, merged)),
+)
+
+
+def cohortes_generalisees(cells: DataFrame, minimum: int = MINIMUM_CELL) -> DataFrame:
+    """G6 for publication without a hole: written `cohort_cells` at the finest levels at which every cohort has `minimum` patients."""
+    return generalised(cells, COHORT_LEVELS, ["code_cim10"], "nb_patients", minimum)
+
+
 def synthese(silver: dict[str, DataFrame]) -> DataFrame:
     """Patients, diagnoses and pathologies overall."""
     return silver["fact_diagnostics"].agg(

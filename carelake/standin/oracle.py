@@ -266,6 +266,22 @@ _cte("cohortes", "fact_diagnostics", "dim_patients", "dim_cim10")("""
     from fact_diagnostics d join dim_patients p on d.patient_pseudo_id = p.patient_pseudo_id
     left join dim_cim10 r on d.code_cim10 = r.code_cim10 group by d.code_cim10, 3, p.sex""")
 
+_cte("cohort_cells", "fact_diagnostics", "dim_patients")("""
+    select code_cim10, age, region_code, sex, count(*) as n
+    from (select code_cim10, patient_pseudo_id, min(age_at_diagnostics) as age from fact_diagnostics group by all) d
+    join dim_patients p on d.patient_pseudo_id = p.patient_pseudo_id group by all""")
+
+# all 24 nodes of the lattice, each rolled up; the finest that holds
+_cte("lattice", "cohort_cells")("""
+    select niveau_age, niveau_region_code, niveau_sex, code_cim10,
+           case when niveau_age = 5 then '*' when age is null then 'inconnu' when niveau_age = 0 then cast(age as varchar)
+                else (age // years * years) || '-' || (age // years * years + years - 1) end as age,
+           case when niveau_region_code = 1 then '*' else region_code end as region_code,
+           case when niveau_sex = 1 then '*' else sex end as sex, cast(sum(n) as bigint) as nb_patients
+    from cohort_cells, (values (0, 1), (1, 5), (2, 10), (3, 20), (4, 40), (5, 0)) as a(niveau_age, years),
+         (values (0), (1)) as r(niveau_region_code), (values (0), (1)) as s(niveau_sex)
+    where code_cim10 in (select code_cim10 from cohort_cells group by code_cim10 having sum(n) >= 5) group by all""")
+
 _cte("synthese", "fact_diagnostics")("""
     select count(distinct patient_pseudo_id) as nb_patients_total, count(*) as nb_diagnostics_total,
            count(distinct code_cim10) as nb_pathologies_surveillees from fact_diagnostics""")
@@ -367,6 +383,12 @@ SQL: dict[str, str] = {
     "prevalence": _from("prevalence"),
     "cohorts": _from("cohortes"),
     "cohorts_suppressed": _from("cohortes", "*", "where nb_patients >= 5"),
+    "cohorts_generalised": _with("""
+        select l.* from lattice l join (
+            select niveau_age, niveau_region_code, niveau_sex from lattice
+            group by niveau_age, niveau_region_code, niveau_sex having min(nb_patients) >= 5
+            order by niveau_age + 5 * niveau_region_code + 5 * niveau_sex, niveau_age, niveau_region_code, niveau_sex limit 1) f
+        using (niveau_age, niveau_region_code, niveau_sex)""", "lattice"),
     "research_summary": _from("synthese"),
     "activity_by_category": _from("categories"),
     "procedures_by_service": _from("actes_services"),

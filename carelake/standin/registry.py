@@ -71,6 +71,15 @@ for _name, _view in GOLD.items():
     _on_standin(_name, lambda s, view=_view: view(s.silver))
 
 _on_standin("cohorts_suppressed", lambda s: suppress_small_cells(gold.cohortes(s.silver), "nb_patients"))
+
+
+def _generalised(s: Standin) -> DataFrame:
+    place = f"{shared_folder(s.spark)}/cohort-cells-{uuid.uuid4().hex}"
+    gold.cohort_cells(s.silver).write.parquet(place)
+    return gold.cohortes_generalisees(s.spark.read.parquet(place))
+
+
+_on_standin("cohorts_generalised", _generalised)
 _on_standin("age_band", lambda s: s.silver["fact_diagnostics"].groupBy(
     clinical.age_band(F.col("age_at_diagnostics")).alias("tranche_age"),
 ).agg(F.count(F.lit(1)).alias("nb_diagnostics")))
