@@ -4,7 +4,12 @@ Candidates are keys of issued formats wherever they stand, values of at least 6
 announcing name is assigned, and runs of at least 16 key characters. Each is described by its length, the transitions between character
 classes, the share of its letters that dictionary words cover, the path of its document and the words around it. A
 random forest trained on labelled findings decides. Labelled findings can be passed in; otherwise they are taken from
-the scanned candidates themselves by `labelled_by_format`, as many distinct vectors as `train_rows` at most.
+the scanned candidates themselves by `labelled_by_evidence`, as many distinct vectors as `train_rows` at most.
+
+Null and empty texts and empty tables have no candidates; a null path counts as an empty one. Rows are told apart by their place in
+the files, so equal rows, rows with the same id and rows without one are each scanned. Texts are scanned whole, of any length. Candidates
+never overlap: the leftmost begins first, an issued format before an assigned value before a run. Further columns are kept, and
+names that clash with those used here do no harm.
 """
 
 from __future__ import annotations
@@ -26,6 +31,10 @@ REDACTED = "[SECRET]"
 #: The forest is fitted on at most so many distinct vectors of labelled findings, half of each label.
 TRAIN_ROWS = 8000
 TREES, DEPTH, SEED = 40, 8, 11
+#: A value in so many different surroundings is no secret.
+MANY_CONTEXTS = 4
+#: A value's findings are spread over so many keys in the join with the common ones.
+SALTS = 32
 #: Code points kept of the text before and after a candidate.
 BEFORE, AFTER = 48, 16
 
@@ -129,20 +138,36 @@ FEATURES = (
     "n", *TRANSITIONS, "digits", "capitals", "distinct", "hex", "issued", "named", "assigned", "quoted",
     "prose_before", "prose_after", "plain", "sample_path", "dictionary",
 )
+#: Features that labels by evidence are also told by.
+TELLING = ("issued", "named", "assigned", "quoted", "plain")
+
 
+def labelled_by_evidence(found: DataFrame) -> DataFrame:
+    """Labelled findings, `label` 1 a secret, from evidence that no feature holds where it can be had.
 
-def labelled_by_format(found: DataFrame) -> DataFrame:
-    """Labelled findings: `label` 1 for issued formats and for random-looking values that are assigned to a telling
-    name, also with the words around them removed; 0 for values without such signs and for plain ones of a name."""
+    Keys of issued formats are secrets: 1. Any other value met in `MANY_CONTEXTS` different surroundings is common knowledge, whatever
+    announces it: 0. Of the rest, mixed values of an announcing name are secrets: 1; plain values of a name are not, nor is what no name
+    announces and is all letters or all digits: 0. Mixed values that nothing announces stay without label: the forest judges them by their
+    characters. Copies of a document are one surrounding, so copied secrets are not common.
+    """
     named = F.col("before").rlike(NAMES + r"[A-Za-z0-9_ ]{0,12}" + ASSIGNED)
     mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
     issued = F.col("candidate").rlike(ISSUED)
     plain = F.col("candidate").rlike(PLAIN)
-    marked = found.withColumn("label", F.when(issued | (named & mixed & ~plain), 1.0).when(~named | plain, 0.0))
-    marked = marked.filter("label is not null")
-    bare = marked.filter((F.col("label") == 1) & (F.length("candidate") >= 20)).withColumns({
-        "before": F.lit(" "), "after": F.lit(" "), "pos": -1 - F.col("pos")})
-    return marked.unionByName(bare)
+    # a value may own a third of all findings: counted by a bounded sketch in each map task, joined over salts
+    common = found.groupBy(F.col("candidate").alias("_value")).agg(
+        F.approx_count_distinct(F.xxhash64("before", "after")).alias("_contexts")).filter(F.col("_contexts") >= MANY_CONTEXTS)
+    common = common.select("_value", F.lit(True).alias("_common"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_at"))
+    salt = F.pmod(F.xxhash64(*KEY), F.lit(SALTS)).cast("int")
+    told = found.join(common, (F.col("candidate") == F.col("_value")) & (salt == F.col("_at")), "left")
+    label = F.when(issued, 1.0).when(F.col("_common"), 0.0).when(named & mixed & ~plain, 1.0).when(plain | (~named & ~mixed), 0.0)
+    return told.select(*found.columns, label.alias("label")).filter("label is not null")
+
+
+def withheld(known: DataFrame) -> DataFrame:
+    """The labelled findings, and each again without the features that its label may come from, so that the forest has to
+    judge values by their characters and words as well."""
+    return known.unionByName(known.withColumns({name: F.lit(0.0) for name in TELLING}))
 
 
 def sample(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -189,12 +214,15 @@ def scored(found: DataFrame, forest: Transformer | None) -> DataFrame:
 
 
 def scan(docs: DataFrame, at: str, text_col: str, path_col: str | None = None, labelled: DataFrame | None = None) -> DataFrame:
-    """All candidates of the located documents: file, row, pos, start, length, candidate, score, secret."""
+    """All candidates of the located documents: file, row, pos, start, length, candidate, score, secret.
+
+    Without any finding, or with findings of one label only, no forest is fitted and the rule of `scored` decides.
+    """
     spark = docs.sparkSession
     words = dictionary(spark, public_tokenizers.path(DICTIONARY))
     found = written(candidates(docs, at, text_col, path_col), "op3-candidates")
-    known = labelled_by_format(found) if labelled is None else labelled
-    forest = train(written(features(known, words), "op3-labelled"))
+    known = written(features(labelled_by_evidence(found) if labelled is None else labelled, words), "op3-labelled")
+    forest = train(withheld(known) if labelled is None else known)
     return scored(features(found, words), forest).select(*KEY, "start", "length", "candidate", "score", "secret")
 
 
