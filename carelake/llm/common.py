@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,14 @@ def free_name(rows: DataFrame, base: str) -> str:
     return base
 
 
+def making_room(rows: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The rows, whose columns called like one of `names` (in any case) go by a free name instead: `tokens` becomes `tokens_`."""
+    wanted = {n.lower() for n in names}
+    for column in [c for c in rows.columns if c.lower() in wanted]:
+        rows = rows.withColumnRenamed(column, free_name(rows, column))
+    return rows
+
+
 def text_of(column: str) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm.bpe import read_ranks
-from carelake.llm.common import table, text_of
+from carelake.llm.common import making_room, table, text_of
 from carelake.llm.pretokens import Memo, cuts, split
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -27,6 +27,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 LEAF = 64
 #: Pre-tokens before an edit that it can change, beside the one it touches.
 CONTEXT = 2
+#: Columns that `build` and `apply` add.
+MADE = ("lengths", "counts", "n_pretokens", "n_tokens", "reencoded")
 EDITS = "array<struct<pos: bigint, removed: bigint, inserted: string>>"
 
 
@@ -148,7 +150,12 @@ def _unpacked(data: bytes) -> list[int]:
 
 
 def build(texts: DataFrame, path: str, text_col: str) -> DataFrame:
-    """The rows with `lengths` and `counts` (32-bit numbers, the leaves of the tree), n_pretokens and n_tokens."""
+    """The rows with `lengths` and `counts` (32-bit numbers, the leaves of the tree), n_pretokens and n_tokens.
+
+    Null texts are empty: a tree without leaves. Every row gets a tree of its own, repeated ones too; an empty table gives none.
+    Given columns of the names in `MADE` stay under a free name (`counts_`); `text_col` must not be one of them.
+    """
+    texts = making_room(texts, MADE)
     schema = texts.select(
         "*", F.lit(b"").alias("lengths"), F.lit(b"").alias("counts"), F.lit(0).cast("bigint").alias("n_pretokens"),
         F.lit(0).cast("bigint").alias("n_tokens")).schema
@@ -177,7 +184,8 @@ def gathered(edits: DataFrame, id_col: str, order_col: str) -> DataFrame:
 
 def apply(trees: DataFrame, path: str, text_col: str, edits_col: str) -> DataFrame:
     """The rows after their edits (`EDITS`, in order): text, lengths, counts and n_pretokens and n_tokens follow them;
-    `reencoded` pre-tokens were encoded again. Null edits are none; null numbers count as 0, null texts as empty."""
+    `reencoded` pre-tokens were encoded again. Null edits are none; null numbers count as 0, null texts as empty. Rows are
+    edited one by one, repeated ones alike; an empty table gives none."""
     rest = [c for c in trees.columns if c not in (text_col, edits_col, "lengths", "counts", "n_pretokens", "n_tokens")]
     names = [*rest, text_col, "lengths", "counts", "n_pretokens", "n_tokens", "reencoded"]
     schema = trees.withColumn("reencoded", F.lit(0).cast("bigint")).select(*names).schema

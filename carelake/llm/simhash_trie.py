@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm.common import located, only, text_of, written
+from carelake.llm.common import located, making_room, only, text_of, written
 from carelake.operators.lookup import lookup
 
 BITS = 64
@@ -276,9 +276,12 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, keep: list[str]
     """One row per document: doc_id, the columns `keep`, fp, component_id (smallest id reachable, itself included).
 
     Null texts count as empty; texts without words have fingerprint zero and are linked like any other. Null ids
-    come last; a component that has no other has component_id null. Repeated rows are one row each.
+    come last; a component that has no other has component_id null. Repeated rows are one row each. A column of `keep` that is
+    called like one of the four others goes by a free name (`root_`).
     """
-    ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *keep, text_of(text_col).alias("norm"))
+    # by number on the way, so that no name of theirs meets one used here
+    kept = [F.col(c).alias(f"_kept{i}") for i, c in enumerate(keep)]
+    ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *kept, text_of(text_col).alias("norm"))
     marked = written(fingerprints(ids, "norm", shingle), "op9-marks")
     firsts = written(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "op9-prints")
     roots = components(links(firsts.select("fp"), budget))
@@ -290,7 +293,9 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, keep: list[str]
     named = lookup(named.select("fp", F.col("root").cast("string").alias("key")), lows, "key")
     named = named.select(F.col("fp").cast("string").alias("key"), F.col("key").alias("root"), "component_id")
     joined = lookup(marked.withColumn("key", F.col("fp").cast("string")), written(named, "op9-components"), "key")
-    return joined.select("doc_id", *keep, "fp", "root", "component_id")
+    named = making_room(docs.select(*keep), ["doc_id", "fp", "root", "component_id"]).columns
+    back = [F.col(f"_kept{i}").alias(c) for i, c in enumerate(named)]
+    return joined.select("doc_id", *back, "fp", "root", "component_id")
 
 
 def op9(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from carelake.llm import edit_counts
 from carelake.llm.pretokens import split
 from carelake.llm.queries import QUERIES
@@ -94,3 +96,14 @@ def test_edited_digest_is_of_the_edited_text(spark, parquet):
 
 def test_empty_table(spark, parquet):
     assert QUERIES["op8_edit_counts"](spark, parquet("documents", [], "doc_id bigint, text string")).collect() == []
+
+
+def test_given_columns_of_the_same_names_stay(spark):
+    rows = [(1, "Hello world", 7, "c", 5), (1, "Hello world", 7, "c", 5), (2, None, None, None, None)]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens int, Counts string, reencoded int")
+    path = edit_counts.public_tokenizers.path(edit_counts.VOCABULARY)
+    trees = edit_counts.build(given, path, "text").withColumn("e", F.expr(f"from_json('[{{\"pos\":0,\"inserted\":\"x\"}}]', '{edit_counts.EDITS}')"))
+    found = edit_counts.apply(trees, path, "text", "e").orderBy("doc_id").collect()
+    assert [(r.n_tokens_, r.Counts_, r.reencoded_, r.text) for r in found] == [(7, "c", 5, "xHello world")] * 2 + [(None, None, None, "x")]
+    assert [r.n_tokens for r in found] == [sum(COUNT[p] for p in split(r.text)) for r in found]
+    assert edit_counts.build(given.limit(0), path, "text").count() == 0

@@ -142,3 +142,12 @@ def test_empty_table(spark, parquet):
 def test_hex_is_unsigned(spark):
     row = spark.createDataFrame([(-1,)], "fp bigint").select(F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("h")).first()
     assert row.h == "f" * 16
+
+
+def test_kept_columns_may_have_any_name(spark):
+    rows = [(1, "a b c d", 10, "x", 1, 5), (2, "a b c d", 20, "y", 2, 6), (3, "other words stand here", 30, None, 3, 7)]
+    given = spark.createDataFrame(rows, "id bigint, text string, FP int, norm string, root int, key int")
+    found = simhash_trie.near_duplicates(given, "id", "text", ["FP", "norm", "root", "key"])
+    assert found.columns == ["doc_id", "FP_", "norm", "root_", "key", "fp", "root", "component_id"]
+    assert sorted((r.doc_id, r.FP_, r.norm, r.root_, r.key, r.component_id) for r in found.collect()) == [
+        (1, 10, "x", 1, 5, 1), (2, 20, "y", 2, 6, 1), (3, 30, None, 3, 7, 3)]
