@@ -108,17 +108,29 @@ def parse_diagnostics(spark: SparkSession, folder: str) -> DataFrame:
         F.when(~bad & (F.size(found) > 0), found[0]["stay_id"]).alias("first_stay"))
 
 
+_RANGE, _RANGE_TASKS = "16k", 512
+
+
+def small_ranges(spark: SparkSession) -> SparkSession:
+    """A session of its own that reads files in byte ranges of 16 KB, for their size is a setting.
+
+    A task reads as many ranges as it takes for no more than `_RANGE_TASKS` tasks, as each one reports to the driver.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", _RANGE)
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.maxPartitionNum", _RANGE_TASKS)
+    return own
+
+
 def diagnosis_arrays(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as diagnoses of their orders, written as four JSON arrays and read back in byte ranges of 16 KB.
 
     Ids hold braces, quotes and backslashes, and records lie across the ranges.
     """
-    own = spark.newSession()  # the size of the ranges is a setting
-    own.conf.set("spark.sql.files.maxPartitionBytes", "16k")
-    own.conf.set("spark.sql.files.openCostInBytes", "0")
     key = F.col("l_orderkey")
     diagnosis = F.struct(F.concat(F.lit("C]["), "l_partkey").alias("code_cim10"), F.when(F.col("l_linenumber") > 1, "{").alias("type"))
-    stays = _table(own, folder, "lineitem").groupBy("l_orderkey").agg(F.collect_list(diagnosis).alias("diagnostics"))
+    stays = _table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.collect_list(diagnosis).alias("diagnostics"))
     record = F.to_json(F.struct(F.concat(F.lit('S}"\\'), key).alias("stay_id"), "diagnostics"))
     order = Window.partitionBy("file").orderBy("l_orderkey")
     lines = stays.withColumn("file", F.pmod(key, F.lit(4))).select(
@@ -128,7 +140,7 @@ def diagnosis_arrays(spark: SparkSession, folder: str) -> DataFrame:
     root = f"{shared_folder(spark)}/diagnosis-arrays-{uuid.uuid4().hex}"
     lines.repartition("file").sortWithinPartitions("file", "l_orderkey").select("file", "line").write.partitionBy("file").text(root)
     paths = [f"{root}/file={r.file}" for r in lines.select("file").distinct().orderBy("file").collect()]  # four at most
-    return diagnostics.flatten(drops.read(own, "diagnostics", paths)).select("stay_id", "code_cim10", "diag_type")
+    return diagnostics.flatten(drops.read(small_ranges(spark), "diagnostics", paths)).select("stay_id", "code_cim10", "diag_type")
 
 
 def delivery_reload(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,0 +1,38 @@
+"""Byte ranges of diagnosis files and the tasks that read them."""
+
+from __future__ import annotations
+
+import json
+
+from helpers import rows
+from pyspark.sql import functions as F
+
+from carelake.sources import arrays, diagnostics, drops
+from carelake.standin import loading
+
+
+def test_many_ranges_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Ranges grow in number with the file, tasks do not; the records are whole, also across ranges."""
+    monkeypatch.setattr(loading, "_RANGE", "1k")
+    monkeypatch.setattr(loading, "_RANGE_TASKS", 8)
+    records = [{"stay_id": f'S}}"\\{i}', "diagnostics": [{"code_cim10": f"C][{i}", "type": "{"}]} for i in range(2000)]
+    (tmp_path / "d.json").write_text(json.dumps(records))
+    own = loading.small_ranges(spark)
+    pieces = arrays.pieces(own, [str(tmp_path / "d.json")])
+    assert pieces.select("block").distinct().count() > 100 and pieces.rdd.getNumPartitions() <= 9
+    found = diagnostics.flatten(drops.read(own, "diagnostics", [str(tmp_path / "d.json")])).select("stay_id", "code_cim10", "diag_type")
+    assert rows(found) == sorted((f'S}}"\\{i}', f"C][{i}", "{") for i in range(2000))
+
+
+def test_the_table_is_not_read_in_small_ranges(spark, tmp_path, monkeypatch):
+    """Only the arrays are: the line items are read as the caller's session says."""
+    monkeypatch.setattr(loading, "_RANGE", "1k")
+    seen = []
+    monkeypatch.setattr(loading, "_table", lambda session, folder, name: seen.append(session) or session.read.parquet(f"{folder}/{name}.parquet"))
+    spark.range(3000).select(
+        F.floor(F.col("id") / 3).alias("l_orderkey"), (F.col("id") * 7).alias("l_partkey"), (F.col("id") % 3 + 1).alias("l_linenumber"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = loading.diagnosis_arrays(spark, str(tmp_path))
+    assert rows(found) == sorted(
+        (f'S}}"\\{i // 3}', f"C][{i * 7}", "{" if i % 3 else "principal") for i in range(3000))
+    assert all(session is spark for session in seen)
