@@ -6,6 +6,7 @@ import random
 from datetime import datetime, timedelta
 
 from helpers import rows
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from carelake import schemas
@@ -81,3 +82,52 @@ def test_unfinished_streams_are_not_started_twice(spark, tmp_path):
     for _ in range(2):  # nothing new: no change
         readmissions.count_readmissions(stream(spark, tmp_path, 1), f"{tmp_path}/out", "10 days")
     assert readmissions.readmissions_30j(spark, f"{tmp_path}/out").first().nb_sejours_total <= 5
+
+
+def test_calls_for_a_bucket_are_not_multiplied_by_its_patients():
+    """A state is read and written once for all its patients, timers are one a call, and each patient's days stay apart."""
+    micros, calls, value = 86_400_000_000, [], []
+
+    class Handle:
+        def getValueState(self, name, schema):  # noqa: N802
+            return self
+
+        def get(self):
+            calls.append("get")
+            return value[-1] if value else None
+
+        def update(self, new):
+            calls.append("update")
+            value.append(new)
+
+        def clear(self):
+            calls.append("clear")
+            value.clear()
+
+        def registerTimer(self, at):  # noqa: N802
+            calls.append(("timer", at))
+
+    class Now:
+        def __init__(self, day):
+            self.day = day
+
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return self.day * 86_400_000
+
+    def row(patient, day, n=1, days=1):
+        return Row(patient=patient, day=day, n=n, admission=day * micros, discharge=(day + days) * micros)
+
+    days = readmissions._Days()
+    days.init(Handle())
+    first = list(days.handleInputRows((0,), iter([row(f"P{i}", 100) for i in range(50)]), Now(0)))
+    assert first == [Row(nb_sejours=50, nb_readmissions=0)] and calls == ["get", "update", ("timer", 131 * 86_400_000)]
+    again = list(days.handleInputRows((0,), iter([row("P3", 110), row("P4", 110, 2), row("P9", 300, 1, 60)]), Now(0)))
+    assert again == [Row(nb_sejours=4, nb_readmissions=2)] and len(value[-1][0]) == 53
+    del calls[:]
+    assert list(days.handleExpiredTimer((0,), Now(132), None)) == []
+    assert sorted(zip(*value[-1][:2], strict=True)) == [("P3", 110), ("P4", 110), ("P9", 300)]
+    assert calls == ["get", "update", ("timer", 141 * 86_400_000)]
+    list(days.handleExpiredTimer((0,), Now(340), None))  # the discharge of day 360 can be asked for until day 390
+    assert value[-1][:2] == (["P9"], [300]) and calls[-1] == ("timer", 391 * 86_400_000)
+    list(days.handleExpiredTimer((0,), Now(391), None))
+    assert not value and calls[-1] == "clear"
