@@ -21,6 +21,7 @@ from carelake.llm.common import SPACES, located, only, scratch, text_of, written
 from carelake.operators.lookup import lookup
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_MB = 128
 ARRIVALS = "digest string, doc_id bigint, file string, row bigint"
 
 
@@ -63,6 +64,10 @@ def state_session(spark: SparkSession) -> SparkSession:
     own.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     # each store would reserve 4 MB for its manifest, however little it holds
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    # however many partitions of the state an executor holds, they share this memory, and buffers begin small
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", STATE_MB)
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB", "4")
     return own
 
 

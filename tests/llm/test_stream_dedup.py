@@ -98,5 +98,11 @@ def test_state_settings_stay_in_their_session(spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
 
 
+def test_partitions_of_the_state_share_their_memory(spark):
+    own, before = stream_dedup.state_session(spark), "spark.sql.streaming.stateStore.rocksdb."
+    assert own.conf.get(before + "boundedMemoryUsage") == "true" and int(own.conf.get(before + "maxMemoryUsageMB")) <= 256
+    assert spark.conf.get(before + "boundedMemoryUsage", "false") == "false"
+
+
 def test_empty_table(spark, parquet):
     assert QUERIES["op7_stream_dedup"](spark, parquet("documents", [], SCHEMA)).collect() == []
