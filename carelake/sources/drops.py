@@ -32,6 +32,7 @@ FILE_OF = {kind: path for path, kind in KINDS.items()}
 REFERENCE_KINDS = ("services", "cim10", "description_service", "ccam")
 
 _DROP = rf"^.*/({'|'.join(schemas.ENTITIES)})/(\d{{4}}-\d{{2}}-\d{{2}})/([^/]+)"
+_PLACE = rf"^.*/((?:{'|'.join(schemas.ENTITIES)})/\d{{4}}-\d{{2}}-\d{{2}}/[^/]+)"
 _DAY = "-".join("[0-9]" * n for n in (4, 2, 2))  # as a glob: nothing that lies deeper is taken for a delivery
 DAMAGED_COLUMNS = "a file lacks the columns"
 DAMAGED = "a diagnosis file is not one sound JSON array"
@@ -47,8 +48,12 @@ class DamagedFile(ValueError):
 
 
 def lineage(path: Column) -> list[Column]:
-    """`source_date` and `source_file` (relative to the root) of a file path."""
-    entity, day, file = (F.regexp_extract(path, _DROP, i) for i in (1, 2, 3))
+    """`source_date` and `source_file` (relative to the root) of a file path.
+
+    Every row of a file goes through this, so the pattern is looked for once and not for each part of the place.
+    """
+    place = F.regexp_extract(path, _PLACE, 1)
+    entity, day, file = (F.split_part(place, F.lit("/"), F.lit(i)) for i in (1, 2, 3))
     return [
         day.try_cast("date").alias("source_date"),
         F.concat_ws("/", entity, day, file).alias("source_file"),

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import re
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from carelake.functions import clinical, numeric, privacy
+from carelake.sources import drops
 
 
 def expected_pseudonym(raw, secret):
@@ -179,3 +181,27 @@ def test_vital_rules(spark):
         if plausible:
             assert tuple(row)[2:6] == flags
             assert (row.reasons, row.compact) == (reasons, compact)
+
+
+# ---- cost a row ----------------------------------------------------------------------------------
+
+
+def test_strip_looks_at_the_ends_alone(spark, capsys):
+    """All that Python strips, and nothing else, without a regular expression over the text."""
+    points = [chr(i) for i in range(0x3100) if not 0xD800 <= i < 0xE000]
+    values = [*(f"{c}a{c}b{c}" for c in points), "", "  ", " \u3000\x1f", "a b", None]
+    stripped = column(spark, values).select("i", privacy.strip(F.col("x")).alias("y"))
+    assert [r.y for r in stripped.orderBy("i").collect()] == [v if v is None else v.strip() for v in values]
+    stripped.explain()
+    assert "regexp" not in capsys.readouterr().out
+
+
+def test_lineage_looks_for_the_pattern_once(spark, capsys):
+    paths = ["file:/d/sejours/2026-08-01/sejours.csv", "s3a://b/sejours/2020-01-01/x/patients/2026-08-02/patients.csv/part-0.csv",
+             "/d/sejours/2026-13-01/sejours.csv", "/d/other/2026-08-01/sejours.csv", "/d/sejours/2026-08-01"]
+    found = column(spark, paths).select("i", *drops.lineage(F.col("x")))
+    assert [(str(r.source_date), r.source_file) for r in found.orderBy("i").collect()] == [
+        ("2026-08-01", "sejours/2026-08-01/sejours.csv"), ("2026-08-02", "patients/2026-08-02/patients.csv"),
+        ("None", "sejours/2026-13-01/sejours.csv"), ("None", "//"), ("None", "//")]
+    found.select("source_file").explain()
+    assert set(re.findall(r"regexp_extract\(.*?, (\d)\)", capsys.readouterr().out)) == {"1"}  # one expression, which Spark computes once a row
