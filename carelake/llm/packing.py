@@ -11,24 +11,28 @@ from __future__ import annotations
 
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from carelake.llm.common import table, text_of, written
-from carelake.llm.pretokens import Memo, split
+from carelake.llm.pretokens import places
 
 VOCABULARY = "byte_bpe_50k.json"
 SIZE = 1024
 END = 2
-#: Documents tokenised at a time.
-CHUNK = 128
+#: Code points of the documents tokenised at a time; a longer document is taken alone.
+CHUNK = 2_000_000
+#: Pre-tokens that an encoder remembers; beyond that it begins anew.
+KNOWN = 600_000
 _END = END.to_bytes(4, "little")
 ITERATIONS = 600
 
@@ -36,31 +40,61 @@ ITERATIONS = 600
 # ---- tokens --------------------------------------------------------------------------------------
 
 
-def _byte_characters() -> dict[int, str]:
+def _byte_characters() -> np.ndarray:
     """The character by which byte-level vocabularies write a byte: printable ones themselves, the others from 256 on."""
     printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = iter(range(256, 512))
-    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
+    return np.array([b if b in printable else next(others) for b in range(256)], "<u2")
 
 
 class _Encoder:
     """Ids by the tokenizers library's model, asked once for each pre-token it remembers.
 
-    The model knows no special tokens, so their strings in a text are ordinary text.
+    Of the texts encoded together, Arrow finds the distinct pre-tokens and puts the ids in the place of each. The model
+    knows no special tokens, so their strings in a text are ordinary text.
     """
 
     def __init__(self, path: str):
         self.model = Tokenizer.from_file(path).model
         self.characters = _byte_characters()
-        self.ids = Memo(self._piece)
-
-    def _piece(self, piece: str) -> bytes:
-        written_out = piece.encode().decode("latin-1").translate(self.characters)
-        return array("I", [t.id for t in self.model.tokenize(written_out)]).tobytes()
+        self.known: dict[str, bytes] = {}
+
+    def _asked(self, pieces: pa.StringArray) -> list[bytes]:
+        """The model's ids of pre-tokens."""
+        _, offsets, data = pieces.buffers()
+        ends = np.frombuffer(offsets, np.int32)[: len(pieces) + 1].tolist()
+        written_out = self.characters[np.frombuffer(data, np.uint8)[: ends[-1]]].tobytes().decode("utf-16-le")
+        tokenize = self.model.tokenize
+        return [array("I", [t.id for t in tokenize(written_out[a:b])]).tobytes() for a, b in pairwise(ends)]
+
+    def _ids(self, pieces: pa.StringArray) -> list[bytes]:
+        """The ids of distinct pre-tokens."""
+        names = pieces.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, names))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            if len(self.known) + len(new) > KNOWN:
+                self.known.clear()
+            for i, ids in zip(new, self._asked(pieces.take(pa.array(new, pa.int32()))), strict=True):
+                found[i] = ids
+            self.known.update((names[i], found[i]) for i in new[:KNOWN])
+        return found
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text and the end, as unsigned 32-bit numbers, little endian."""
+        data, at, counts = places(texts)
+        if not data:
+            yield from [_END] * len(texts)
+            return
+        cut = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data))
+        pieces = cut.dictionary_encode()
+        _, offsets, ids = pa.array(self._ids(pieces.dictionary), pa.binary()).take(pieces.indices).buffers()
+        ends = np.frombuffer(offsets, np.int32)[np.cumsum(counts)].tolist()
+        for begin, end in pairwise([0, *ends]):
+            yield ids[begin:end].to_pybytes() + _END
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text and the end, as unsigned 32-bit numbers, little endian."""
-        return b"".join(map(self.ids.__getitem__, split(text))) + _END
+        return next(self.encode_all([text]))
 
 
 @cache
@@ -69,6 +103,17 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
+def _groups(lengths: Iterable[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts of at most `CHUNK` code points together, or of one text."""
+    begin = end = held = 0
+    for end, length in enumerate(lengths):
+        if end > begin and held + length > CHUNK:
+            yield begin, end
+            begin, held = end, 0
+        held += length
+    yield begin, end + 1
+
+
 def pieces(texts: DataFrame, path: str, text_col: str, size: int = SIZE) -> DataFrame:
     """One row per piece: the other columns, piece, start, length and ids (unsigned 32-bit, little endian).
 
@@ -83,9 +128,12 @@ def pieces(texts: DataFrame, path: str, text_col: str, size: int = SIZE) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _encoder(path)
         for batch in batches:
-            for part in (batch.slice(i, CHUNK) for i in range(0, batch.num_rows, CHUNK)):
+            if not batch.num_rows:
+                continue
+            for top, bottom in _groups(pc.utf8_length(batch.column(text_col)).fill_null(0).to_pylist()):
+                part = batch.slice(top, bottom - top)
                 row, piece, start, length, ids = [], [], [], [], []
-                for i, found in enumerate(own.encode(t.as_py() or "") for t in part.column(text_col)):
+                for i, found in enumerate(own.encode_all([t or "" for t in part.column(text_col).to_pylist()])):
                     n = len(found) // 4
                     for k, end in enumerate(range((n - 1) % size + 1, n + 1, size)):
                         begin = max(0, end - size) if k else 0

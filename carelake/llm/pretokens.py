@@ -2,7 +2,8 @@
 
 The cut runs in `re`, with a pattern of its own that cuts alike: its first alternative is the most common one, and no
 character can begin both that and a contraction. `re` classes some code points unlike the tokenizer libraries; for the
-cut only, these are replaced by one of the right class.
+cut only, these are replaced by one of the right class. Where many texts are cut at once, numpy compares the library's
+classes of neighbouring code points instead (`places`).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import sys
 from collections.abc import Iterator
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -22,15 +24,25 @@ _CLASSES = {r"\p{L}": r"[^\W\d_]", r"\p{N}": r"\d", r"\s": r"\s"}
 _LIKE = {r"\p{L}": "a", r"\p{N}": "0", r"\s": "\t", "": "§"}
 
 
+def _points() -> str:
+    """All code points that a text may hold."""
+    return "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+
+
+def _of_class(name: str, points: str) -> str:
+    """Those of the code points that the tokenizer library puts in a class, found by asking it."""
+    single = {bytes([i]): i for i in range(256)}
+    library = tiktoken.Encoding("class", pat_str=name, mergeable_ranks=single, special_tokens={})
+    return bytes(library.encode_ordinary(points)).decode()
+
+
 @cache
 def _stand_ins() -> dict[int, str]:
-    """Code points that the tokenizer library classes unlike `re`, found by asking the library itself."""
-    points = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
-    single = {bytes([i]): i for i in range(256)}
+    """Code points that the tokenizer library classes unlike `re`."""
+    points = _points()
     theirs, ours = {}, {}
     for name, own in _CLASSES.items():
-        matched = tiktoken.Encoding("class", pat_str=name, mergeable_ranks=single, special_tokens={}).encode_ordinary(points)
-        theirs |= dict.fromkeys(bytes(matched).decode(), name)
+        theirs |= dict.fromkeys(_of_class(name, points), name)
         ours |= dict.fromkeys(re.findall(own, points), name)
     odd = (c for c in theirs.keys() | ours.keys() if theirs.get(c, "") != ours.get(c, ""))
     return {ord(c): _LIKE[theirs.get(c, "")] for c in odd}
@@ -67,6 +79,51 @@ def cuts(text: str, start: int) -> Iterator[str]:
     return (text[m.start() : m.end()] for m in _SAME_CUT.finditer(_regular(text), start))
 
 
+@cache
+def _class_numbers() -> np.ndarray:
+    """By code point the number of its class: 0 white space, 1 letters, 2 numbers, 3 all others."""
+    numbers, points = np.full(sys.maxunicode + 1, 3, np.uint8), _points()
+    for number, name in enumerate((r"\s", r"\p{L}", r"\p{N}")):
+        numbers[np.frombuffer(_of_class(name, points).encode("utf-32-le"), "<u4")] = number
+    return numbers
+
+
+def places(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The texts in UTF-8, one after another; where each pre-token begins there, and the end; how many each text has."""
+    joined = "".join(texts)
+    points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    n = len(points)
+    first = np.zeros(n + 1, bool)  # a text begins here, or all end
+    first[0], first[ends] = True, True
+    kind = _class_numbers()[points]
+    begins = first.copy()
+    begins[1:n] |= kind[1:] != kind[:-1]
+    # the last white space before something else stands alone, or begins it if it is a space
+    after = 1 + np.flatnonzero((kind[:-1] == 0) & (kind[1:] != 0) & ~first[1:n])
+    begins[after - 1] = True
+    begins[after[points[after - 1] == 0x20]] = False
+    # contractions: an apostrophe that begins a pre-token, and the letters behind it in the same text
+    quote = np.flatnonzero((points == ord("'")) & begins[:n])
+    if len(quote):
+        stop = ends[np.searchsorted(ends, quote, "right")]
+        for letters in ("s", "t", "m", "d", "re", "ve", "ll"):
+            fits = quote[quote + len(letters) < stop]
+            for k, letter in enumerate(letters, 1):
+                fits = fits[points[fits + k] == ord(letter)]
+            begins[fits + 1] = False
+            begins[fits + 1 + len(letters)] = True
+    at = np.flatnonzero(begins)
+    counts = np.diff(np.searchsorted(at, ends), prepend=0)
+    if joined.isascii():
+        return joined.encode(), at, counts
+    widths = np.ones(n + 1, np.uint8)
+    for low in (0x80, 0x800, 0x10000):
+        widths[1:] += points >= low
+    widths[0] = 0
+    return joined.encode(), np.cumsum(widths, dtype=np.int32)[at], counts
+
+
 class Memo(dict):
     """Results by pre-token, filled on first use and emptied when it holds `most`; a task needs no more memory."""
 

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from carelake.llm import packing
+from carelake.llm.pretokens import places, split
 from carelake.llm.queries import QUERIES
 
 PATH = public_tokenizers.path(packing.VOCABULARY)
@@ -30,6 +31,53 @@ def test_ids(text):
     assert np.frombuffer(packing._encoder(PATH).encode(text), "<u4").tolist() == ids(text)
 
 
+def pretokens(texts):
+    data, at, counts = places(texts)
+    assert data == "".join(texts).encode() and at[0] == 0 and at[-1] == len(data) and len(counts) == len(texts)
+    cut = iter([data[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)])
+    return [[next(cut) for _ in range(n)] for n in counts]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.one_of(
+    st.sampled_from(" \n\t\r\x1c\x85\xa0\u3000'sdmtrevlLx09_.!é½²日😀\u0301"), st.characters(exclude_categories=["Cs"])), max_size=30), max_size=6))
+def test_texts_cut_together_are_cut_by_the_pattern(texts):
+    assert pretokens(texts) == [split(t) for t in texts]
+
+
+def test_contractions_spaces_and_every_code_point():
+    pool = ["'", "'", "s", "ll", "l", "re", "ve", "v", "d", "m", "t", " ", " ", "\n", "x", "7", "!", "é"]
+    chance = random.Random(12)
+    texts = ["".join(chance.choice(pool) for _ in range(chance.randint(0, 25))) for _ in range(4000)]
+    texts += [f"a{chr(c)}a {chr(c)} {chr(c)}0{chr(c)}.'s" for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3100 or c % 61 == 0)]
+    assert pretokens(texts) == [split(t) for t in texts]
+
+
+def test_each_distinct_pretoken_is_looked_up_once_for_texts_together(monkeypatch):
+    asked = []
+    own = packing._Encoder(PATH)
+    monkeypatch.setattr(own, "_ids", lambda pieces, f=own._ids: asked.append(len(pieces)) or f(pieces))
+    texts = ["the thndou of the\n9 é"] * 300 + ["of it's the", ""]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_all(texts)] == [ids(t) for t in texts]
+    assert asked == [len({p for t in texts for p in split(t)})]
+
+
+def test_what_is_remembered_is_bounded_and_changes_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN", 20)
+    chance = random.Random(13)
+    own = packing._Encoder(PATH)
+    for n in (3, 60, 5, 4, 7, 9):
+        texts = [" ".join("".join(chance.choices("etaoiné", k=4)) for _ in range(n)) for _ in range(3)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_all(texts)] == [ids(t) for t in texts]
+        assert len(own.known) <= 20
+
+
+def test_groups():
+    size = packing.CHUNK
+    assert list(packing._groups([1, 0, size, 2, size - 2, 1, 2 * size, 0])) == [(0, 2), (2, 3), (3, 5), (5, 6), (6, 7), (7, 8)]
+    assert list(packing._groups([0, 0])) == [(0, 2)]
+
+
 def test_plan_uses_up_the_histogram():
     chance = random.Random(6)
     for size, n in ((8, 40), (64, 500), (64, 3), (16, 0)):
